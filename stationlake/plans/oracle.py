@@ -103,3 +103,70 @@ SELECT c.year, c.month, c.station_id, c.station_name, c.country, c.state, c.lati
        c.avg_temp, b.baseline_temp, c.avg_temp - b.baseline_temp AS temp_anomaly
 FROM monthly c JOIN base b ON c.station_id = b.station_id AND c.month = b.month
 WHERE c.year >= 1999"""
+
+
+OBS = f"WITH {OBS_LI}\n"
+OBS_COLS = ("station_id, date, element, value, measurement_flag, quality_flag, source_flag, "
+            "observation_time, year, month")
+ST_COLS = "station_id, name, latitude, longitude, elevation, country, state, first_year, last_year"
+
+ORACLES["month_distribution"] = OBS + "SELECT year, month, CAST(COUNT(*) AS BIGINT) AS row_count FROM obs GROUP BY year, month"
+ORACLES["dq_row_counts"] = f"""WITH {OBS_LI}, {ST_SUP}
+SELECT 'stations' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM st
+UNION ALL
+SELECT 'observations' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM obs WHERE date = DATE '1998-06-15'"""
+ORACLES["semi_join_stations"] = f"""WITH {OBS_LI}, {ST_SUP}
+SELECT * FROM obs WHERE station_id IN (SELECT station_id FROM st WHERE state IN ('AMERICA', 'EUROPE'))"""
+ORACLES["scan_partition_filter"] = OBS + "SELECT station_id, date, element, value FROM obs WHERE year = 1998 AND month = 1"
+ORACLES["derive_partitions"] = OBS + "SELECT * FROM obs"
+ORACLES["scale_units"] = OBS + """SELECT station_id, date, element,
+  CASE WHEN element IN ('TMIN', 'TMAX', 'TAVG', 'PRCP') THEN value / 10.0 ELSE value END AS value FROM obs"""
+ORACLES["scan_limit"] = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate
+FROM orders ORDER BY o_orderkey LIMIT 10"""
+ORACLES["temp_trend"] = f"""{CHAIN}
+SELECT country, year, month, {davg('avg_temp', 4)} AS avg_temp, CAST(COUNT(avg_temp) AS BIGINT) AS station_months
+FROM monthly GROUP BY country, year, month"""
+ORACLES["region_grid"] = f"""{CHAIN}
+SELECT CAST(floor(latitude / 30.0) * 30.0 AS DOUBLE) AS grid_lat, CAST(floor(longitude / 30.0) * 30.0 AS DOUBLE) AS grid_lon,
+       year, {davg('avg_temp', 4)} AS avg_temp, MAX(highest_max_temp) AS highest_max_temp,
+       MIN(lowest_min_temp) AS lowest_min_temp, CAST(COUNT(*) AS BIGINT) AS station_months
+FROM monthly GROUP BY 1, 2, year"""
+ORACLES["precip_year_over_year"] = f"""{CHAIN}
+SELECT c.station_id, c.year, c.month, c.total_precipitation, p.total_precipitation AS prev_year_precipitation,
+       c.total_precipitation - p.total_precipitation AS precipitation_change
+FROM monthly c LEFT JOIN monthly p ON c.station_id = p.station_id AND c.month = p.month AND c.year = p.year + 1"""
+ORACLES["current_vs_history"] = f"""{CHAIN},
+m AS (SELECT * FROM monthly WHERE avg_temp IS NOT NULL),
+latest AS (SELECT station_id, year, month, avg_temp AS latest_avg_temp FROM (
+  SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY year DESC, month DESC) AS rn FROM m) WHERE rn = 1)
+SELECT l.station_id, l.year, l.month, l.latest_avg_temp,
+       CAST(SUM(CAST(h.avg_temp AS DECIMAL(38,4))) AS DOUBLE) / COUNT(h.avg_temp) AS historical_avg_temp,
+       l.latest_avg_temp - CAST(SUM(CAST(h.avg_temp AS DECIMAL(38,4))) AS DOUBLE) / COUNT(h.avg_temp) AS difference
+FROM latest l LEFT JOIN m h ON h.station_id = l.station_id AND h.month = l.month AND h.year < l.year
+GROUP BY l.station_id, l.year, l.month, l.latest_avg_temp"""
+ORACLES["temp_precip_corr"] = f"""{CHAIN}
+SELECT station_id, CAST(COUNT(*) AS BIGINT) AS n_months,
+       round(corr(avg_max_temp, total_precipitation), 6) AS temp_precip_corr,
+       round(regr_slope(total_precipitation, avg_max_temp), 6) AS precip_per_degree
+FROM monthly WHERE avg_max_temp IS NOT NULL AND total_precipitation IS NOT NULL GROUP BY station_id"""
+ORACLES["annual_materialize"] = f"{CHAIN}\n" + ANNUAL_SELECT.format(where="")
+ORACLES["annual_refresh"] = f"{CHAIN}\n" + ANNUAL_SELECT.format(where="WHERE year <= 2000")
+ORACLES["src_parquet_declared_schema"] = OBS + "SELECT * FROM obs"
+ORACLES["sink_append_stations"] = f"WITH {ST_SUP} SELECT * FROM st"
+ORACLES["sink_append_partitioned"] = OBS + "SELECT * FROM obs"
+ORACLES["sink_register_files"] = OBS + "SELECT * FROM obs"
+ORACLES["sink_create_table"] = f"""WITH {OBS_LI}, {ST_SUP}
+SELECT 'stations' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM st
+UNION ALL SELECT 'observations', CAST(COUNT(*) AS BIGINT) FROM obs"""
+ORACLES["describe_table"] = OBS + """SELECT * FROM (VALUES
+  ('station_id', 'string', 1, false), ('date', 'date', 2, false), ('element', 'string', 3, false),
+  ('value', 'double', 4, false), ('measurement_flag', 'string', 5, false), ('quality_flag', 'string', 6, false),
+  ('source_flag', 'string', 7, false), ('observation_time', 'timestamp_ntz', 8, false),
+  ('year', 'int', 9, true), ('month', 'int', 10, true)) v(column_name, data_type, ordinal_position, is_partition)
+JOIN (UNPIVOT (SELECT CAST(COUNT(station_id) AS BIGINT) AS station_id, CAST(COUNT(date) AS BIGINT) AS date,
+   CAST(COUNT(element) AS BIGINT) AS element, CAST(COUNT(value) AS BIGINT) AS value,
+   CAST(COUNT(measurement_flag) AS BIGINT) AS measurement_flag, CAST(COUNT(quality_flag) AS BIGINT) AS quality_flag,
+   CAST(COUNT(source_flag) AS BIGINT) AS source_flag, CAST(COUNT(observation_time) AS BIGINT) AS observation_time,
+   CAST(COUNT(year) AS BIGINT) AS year, CAST(COUNT(month) AS BIGINT) AS month FROM obs)
+  ON COLUMNS(*) INTO NAME column_name VALUE non_null_count) c USING (column_name)"""
+ORACLES["compact_files"] = OBS + "SELECT * FROM obs"

@@ -62,3 +62,186 @@ def q_annual_summary(spark, sf_dir):
 def q_temp_anomaly(spark, sf_dir):
     return S.temp_anomaly(_monthly(spark, sf_dir), BASELINE_FROM, BASELINE_TO, REPORT_FROM,
                           exact_scale=EXACT)
+
+
+# --- step 2: quality, analytics, scans -------------------------------------------
+import datetime as _dt  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from stationlake.operators import analytics as A  # noqa: E402
+from stationlake.operators import quality as Q  # noqa: E402
+from stationlake.operators import tables as TB  # noqa: E402
+from stationlake.operators.joins import semi_join_stations  # noqa: E402
+from stationlake.functions.parse import scale_units  # noqa: E402
+from stationlake.plans.maintenance import compact_observations  # noqa: E402
+from stationlake.schemas import OBSERVATION_COLUMNS, STATION_COLUMNS  # noqa: E402
+from stationlake.session import scratch_path  # noqa: E402
+from stationlake.sinks import tables as SK  # noqa: E402
+
+RUN_DATE = _dt.date(1998, 6, 15)       # dq_row_counts run date
+SCAN_YEAR, SCAN_MONTH = 1998, 1        # partition-filtered scan
+REFRESH_AS_OF = _dt.date(2001, 6, 30)  # annual refresh "today" -> refreshes 2000
+MATERIALIZED_BEFORE = _dt.date(2000, 7, 1)  # the annual table was built before this date
+GRID_DEGREES = 30.0
+CORR_DIGITS = 6
+LIMIT_N = 10
+
+
+@register("month_distribution")
+def q_month_distribution(spark, sf_dir):
+    return Q.month_distribution(FX.obs_li(spark, sf_dir))
+
+
+@register("dq_row_counts")
+def q_dq_row_counts(spark, sf_dir):
+    obs = SK.read_observations(spark, FX.observations_table(spark, sf_dir))
+    return Q.dq_row_counts(FX.st_sup(spark, sf_dir), obs, RUN_DATE)
+
+
+@register("semi_join_stations")
+def q_semi_join_stations(spark, sf_dir):
+    return semi_join_stations(FX.obs_li(spark, sf_dir), FX.st_selected(spark, sf_dir))
+
+
+@register("scan_partition_filter")
+def q_scan_partition_filter(spark, sf_dir):
+    obs = SK.read_observations(spark, FX.observations_table(spark, sf_dir))
+    return obs.filter((F.col("year") == SCAN_YEAR) & (F.col("month") == SCAN_MONTH)) \
+        .select("station_id", "date", "element", "value")
+
+
+@register("derive_partitions")
+def q_derive_partitions(spark, sf_dir):
+    return SK.derive_partitions(FX.obs_li(spark, sf_dir).drop("year", "month"))
+
+
+@register("scale_units")
+def q_scale_units(spark, sf_dir):
+    o = FX.obs_li(spark, sf_dir)
+    return o.select("station_id", "date", "element", scale_units("element", "value").alias("value"))
+
+
+@register("scan_limit")
+def q_scan_limit(spark, sf_dir):
+    o = FX.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                                 "o_totalprice", "o_orderdate")
+    return TB.scan_limit(o, LIMIT_N, ["o_orderkey"])
+
+
+@register("temp_trend")
+def q_temp_trend(spark, sf_dir):
+    return A.temp_trend(_monthly(spark, sf_dir), exact_scale=EXACT + 2)
+
+
+@register("region_grid")
+def q_region_grid(spark, sf_dir):
+    return A.region_grid(_monthly(spark, sf_dir), GRID_DEGREES, exact_scale=EXACT + 2)
+
+
+@register("precip_year_over_year")
+def q_precip_year_over_year(spark, sf_dir):
+    return A.precip_year_over_year(_monthly(spark, sf_dir))
+
+
+@register("current_vs_history")
+def q_current_vs_history(spark, sf_dir):
+    return A.current_vs_history(_monthly(spark, sf_dir), exact_scale=EXACT + 2)
+
+
+@register("temp_precip_corr")
+def q_temp_precip_corr(spark, sf_dir):
+    return A.temp_precip_corr(_monthly(spark, sf_dir), digits=CORR_DIGITS)
+
+
+# --- step 4: sinks -------------------------------------------------------------
+@register("annual_materialize")
+def q_annual_materialize(spark, sf_dir):
+    path = scratch_path(spark, "annual")
+    SK.materialize_annual(S.annual_summary(_monthly(spark, sf_dir), exact_scale=EXACT), path)
+    return SK.read_annual(spark, path, S.ANNUAL_COLUMNS)
+
+
+@register("annual_refresh")
+def q_annual_refresh(spark, sf_dir):
+    """Materialize from the observations known before MATERIALIZED_BEFORE,
+    then refresh the previous year from all observations."""
+    path = scratch_path(spark, "annual")
+    obs = FX.obs_li(spark, sf_dir)
+    early = obs.filter(F.col("date") < F.lit(MATERIALIZED_BEFORE))
+    st = FX.st_sup(spark, sf_dir)
+    annual = lambda o: S.annual_summary(
+        S.monthly_summary(S.daily_summary(o, st), exact_scale=EXACT), exact_scale=EXACT)
+    SK.materialize_annual(annual(early), path)
+    SK.refresh_annual(annual(obs), path, as_of=REFRESH_AS_OF)
+    return SK.read_annual(spark, path, S.ANNUAL_COLUMNS)
+
+
+@register("src_parquet_declared_schema")
+def q_src_parquet_declared_schema(spark, sf_dir):
+    return SK.read_observations(spark, FX.observations_table(spark, sf_dir))
+
+
+@register("sink_append_stations")
+def q_sink_append_stations(spark, sf_dir):
+    path = scratch_path(spark, "stations")
+    st = FX.st_sup(spark, sf_dir)
+    SK.append_stations(st.filter(F.col("state") < "B"), path)
+    SK.append_stations(st.filter(~(F.col("state") < "B")), path)
+    return SK.read_stations(spark, path)
+
+
+@register("sink_append_partitioned")
+def q_sink_append_partitioned(spark, sf_dir):
+    path = scratch_path(spark, "observations")
+    obs = FX.obs_li(spark, sf_dir)
+    # two loads: first half of the period, then the rest
+    SK.append_observations(obs.filter(F.col("year") <= 1998), path)
+    SK.append_observations(obs.filter(F.col("year") > 1998), path)
+    return SK.read_observations(spark, path)
+
+
+def _fresh_db(spark):
+    db = f"stationlake_{_uuid.uuid4().hex[:10]}"
+    return db, scratch_path(spark, db)
+
+
+@register("sink_create_table")
+def q_sink_create_table(spark, sf_dir):
+    db, loc = _fresh_db(spark)
+    SK.create_tables(spark, db, loc)
+    SK.create_tables(spark, db, loc, recreate=True)  # drop and recreate
+    SK.append_stations(FX.st_sup(spark, sf_dir), f"{db}.stations", is_table=True)
+    SK.append_observations(FX.obs_li(spark, sf_dir), f"{db}.observations", is_table=True)
+    counts = [spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).cast("long").alias("row_count"))
+              .select(F.lit(t).alias("table_name"), "row_count") for t in ("stations", "observations")]
+    return counts[0].unionByName(counts[1])
+
+
+@register("sink_register_files")
+def q_sink_register_files(spark, sf_dir):
+    """Files written straight into the table's folder become table data once
+    the partitions are registered."""
+    db, loc = _fresh_db(spark)
+    SK.create_tables(spark, db, loc)
+    SK.append_observations(FX.obs_li(spark, sf_dir), f"{loc}/observations")
+    SK.register_files(spark, f"{db}.observations")
+    return spark.table(f"{db}.observations").select(*OBSERVATION_COLUMNS)
+
+
+@register("describe_table")
+def q_describe_table(spark, sf_dir):
+    obs = SK.read_observations(spark, FX.observations_table(spark, sf_dir))
+    return TB.describe_table(obs, ["year", "month"])
+
+
+@register("table_files")
+def q_table_files(spark, sf_dir):
+    obs = SK.read_observations(spark, FX.observations_table(spark, sf_dir, max_records_per_file=250))
+    return TB.table_files(obs)
+
+
+@register("compact_files")
+def q_compact_files(spark, sf_dir):
+    src = FX.observations_table(spark, sf_dir, max_records_per_file=250)
+    res = compact_observations(spark, src, scratch_path(spark, "observations-compacted"))
+    return SK.read_observations(spark, res["path"])

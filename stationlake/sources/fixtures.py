@@ -299,3 +299,16 @@ def change_log_table(spark: SparkSession, sf_dir: str) -> str:
 
 def observations_sorted(df: DataFrame) -> DataFrame:
     return df.select(*OBSERVATION_COLUMNS)
+
+
+def observations_table(spark: SparkSession, sf_dir: str, max_records_per_file: int | None = None) -> str:
+    """obs_li appended to a year/month partitioned Parquet folder; returns the
+    path. With ``max_records_per_file`` it is written as many small files
+    (the state compaction starts from)."""
+    from stationlake.sinks.tables import append_observations
+
+    def build():
+        path = scratch_path(spark, "observations")
+        append_observations(obs_li(spark, sf_dir), path, max_records_per_file=max_records_per_file)
+        return path
+    return _written(spark, ("observations", sf_dir, max_records_per_file), build)
