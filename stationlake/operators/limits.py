@@ -1,0 +1,30 @@
+"""Cap of accepted rows per load, in file order (INP-2)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from stationlake.operators.joins import maybe_broadcast
+
+
+def cap_rows_in_file_order(df: DataFrame, n: int, group_cols: list[str],
+                           file_col: str = "_file", block_col: str = "_block",
+                           row_col: str = "_row") -> DataFrame:
+    """Keep the first ``n`` rows of each group in file order (file path, then
+    block offset, then read position).
+
+    Each file block is ranked on its own (``row_number <= n``; Spark runs a
+    partial group limit before the shuffle, so at most ``n`` rows per block
+    move). Block offsets come from a running sum over the small per-block
+    count table. No group is ever gathered into one task.
+    """
+    part = [*group_cols, file_col, block_col]
+    ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(row_col))) \
+        .filter(F.col("_rn") <= n)
+    counts = ranked.groupBy(*part).agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*group_cols).orderBy(file_col, block_col) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*part, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_start"))
+    return ranked.join(maybe_broadcast(offsets), part) \
+        .filter(F.col("_start") + F.col("_rn") <= n).drop("_rn", "_start")

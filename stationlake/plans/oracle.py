@@ -170,3 +170,53 @@ JOIN (UNPIVOT (SELECT CAST(COUNT(station_id) AS BIGINT) AS station_id, CAST(COUN
    CAST(COUNT(year) AS BIGINT) AS year, CAST(COUNT(month) AS BIGINT) AS month FROM obs)
   ON COLUMNS(*) INTO NAME column_name VALUE non_null_count) c USING (column_name)"""
 ORACLES["compact_files"] = OBS + "SELECT * FROM obs"
+
+
+# Raw-file fixtures, re-derived from the source columns (not from the text).
+LI_CSV = f"""li AS (
+  SELECT l_orderkey % 50 AS d, l_orderkey, l_linenumber, {_sid('l_suppkey')} AS station_id,
+         CAST(l_shipdate AS DATE) AS date, {ELEMENT_CASE} AS element,
+         CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS q,
+         NULLIF(l_returnflag, 'N') AS quality_flag, l_linestatus AS source_flag,
+         CAST(EXTRACT(YEAR FROM l_shipdate) AS INTEGER) AS year,
+         CAST(EXTRACT(MONTH FROM l_shipdate) AS INTEGER) AS month
+  FROM lineitem),
+acc AS (
+  SELECT station_id, date, element,
+         CASE WHEN element IN ('TMIN', 'TMAX', 'TAVG', 'PRCP') THEN q / 10.0 ELSE q END AS value,
+         CAST(NULL AS VARCHAR) AS measurement_flag, quality_flag, source_flag,
+         CASE d WHEN 4 THEN CAST(date + INTERVAL 1 DAY AS TIMESTAMP)
+                WHEN 5 THEN CAST(date AS TIMESTAMP) + INTERVAL 7 HOUR
+                WHEN 6 THEN CAST(date AS TIMESTAMP) + INTERVAL 450 MINUTE END AS observation_time,
+         year, month, d, l_orderkey, l_linenumber,
+         CASE d WHEN 4 THEN '2400' WHEN 5 THEN '0700' WHEN 6 THEN '07:30' WHEN 7 THEN '700' ELSE '' END AS time_text
+  FROM li WHERE d NOT IN (0, 2, 3))"""
+
+ORACLES["src_observations_csv"] = f"WITH {LI_CSV}\nSELECT {OBS_COLS} FROM acc"
+ORACLES["parse_dates"] = f"""WITH {LI_CSV}
+SELECT station_id,
+       CASE WHEN d = 2 THEN strftime(date, '%Y') || '13' || strftime(date, '%d') ELSE strftime(date, '%Y%m%d') END AS date_text,
+       CASE WHEN d = 2 THEN NULL ELSE date END AS date
+FROM li WHERE d <> 0"""
+ORACLES["observation_time_batch"] = f"WITH {LI_CSV}\nSELECT station_id, date, element, time_text, observation_time FROM acc"
+ORACLES["cap_rows_per_file"] = f"""WITH {LI_CSV}
+SELECT {OBS_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY year ORDER BY l_orderkey, l_linenumber) AS rn FROM acc) WHERE rn <= 1000"""
+ORACLES["reject_report"] = f"""WITH {LI_CSV}
+SELECT 'observations' AS source,
+       CASE d WHEN 0 THEN 'too_few_fields' WHEN 2 THEN 'invalid_date' ELSE 'invalid_value' END AS reject_reason,
+       CAST(COUNT(*) AS BIGINT) AS row_count
+FROM li WHERE d IN (0, 2, 3) GROUP BY 2
+UNION ALL
+SELECT 'stations', CASE s_suppkey % 10 WHEN 7 THEN 'short_line' WHEN 3 THEN 'invalid_number' ELSE 'invalid_year' END,
+       CAST(COUNT(*) AS BIGINT)
+FROM supplier WHERE s_suppkey % 10 IN (3, 5, 7) GROUP BY 2"""
+ORACLES["src_stations_fixed_width"] = f"""SELECT {_sid('s_suppkey')} AS station_id, s_name AS name,
+       CAST((s_suppkey * 37) % 180 - 90 AS DOUBLE) AS latitude,
+       CAST((s_suppkey * 53) % 360 - 180 AS DOUBLE) AS longitude,
+       CASE WHEN s_suppkey % 10 = 9 THEN 0.0 ELSE CAST(floor(s_acctbal) AS DOUBLE) END AS elevation,
+       CASE WHEN s_suppkey % 2 = 0 THEN 'US' ELSE lpad(CAST(s_nationkey AS VARCHAR), 2, '0') END AS country,
+       CASE WHEN s_suppkey % 2 = 0 THEN substr(r_name, 1, 2) ELSE '' END AS state,
+       1995 AS first_year, 2001 AS last_year
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE s_suppkey % 10 NOT IN (3, 5, 7)"""

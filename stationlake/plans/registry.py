@@ -245,3 +245,55 @@ def q_compact_files(spark, sf_dir):
     src = FX.observations_table(spark, sf_dir, max_records_per_file=250)
     res = compact_observations(spark, src, scratch_path(spark, "observations-compacted"))
     return SK.read_observations(spark, res["path"])
+
+
+# --- step 3: raw file parsing ----------------------------------------------------
+from stationlake.operators.limits import cap_rows_in_file_order  # noqa: E402
+from stationlake.sources import fixed_width as FW  # noqa: E402
+from stationlake.sources import observations_csv as OC  # noqa: E402
+
+CAP_ROWS = 1000  # accepted rows kept per year load (reference default 100,000)
+
+
+def _parsed_csv(spark, sf_dir):
+    return OC.read_observations_csv(spark, FX.observation_files(spark, sf_dir))
+
+
+def _parsed_stations(spark, sf_dir):
+    return FW.read_stations_fixed_width(spark, FX.station_file(spark, sf_dir))
+
+
+@register("src_stations_fixed_width")
+def q_src_stations_fixed_width(spark, sf_dir):
+    return FW.accepted(_parsed_stations(spark, sf_dir))
+
+
+@register("src_observations_csv")
+def q_src_observations_csv(spark, sf_dir):
+    return OC.accepted(_parsed_csv(spark, sf_dir))
+
+
+@register("parse_dates")
+def q_parse_dates(spark, sf_dir):
+    p = _parsed_csv(spark, sf_dir)
+    return p.filter(F.coalesce(F.col("reject_reason"), F.lit("")) != "too_few_fields") \
+        .select("station_id", "date_text", "date")
+
+
+@register("observation_time_batch")
+def q_observation_time_batch(spark, sf_dir):
+    p = _parsed_csv(spark, sf_dir)
+    return p.filter(F.col("reject_reason").isNull()) \
+        .select("station_id", "date", "element", "time_text", "observation_time")
+
+
+@register("cap_rows_per_file")
+def q_cap_rows_per_file(spark, sf_dir):
+    acc = OC.accepted(_parsed_csv(spark, sf_dir), keep_position=True)
+    return cap_rows_in_file_order(acc, CAP_ROWS, ["year"]).select(*OBSERVATION_COLUMNS)
+
+
+@register("reject_report")
+def q_reject_report(spark, sf_dir):
+    return Q.reject_report(("observations", OC.rejects(_parsed_csv(spark, sf_dir))),
+                           ("stations", FW.rejects(_parsed_stations(spark, sf_dir))))
