@@ -174,7 +174,8 @@ ORACLES["compact_files"] = OBS + "SELECT * FROM obs"
 
 # Raw-file fixtures, re-derived from the source columns (not from the text).
 LI_CSV = f"""li AS (
-  SELECT l_orderkey % 50 AS d, l_orderkey, l_linenumber, {_sid('l_suppkey')} AS station_id,
+  SELECT l_orderkey % 50 AS d, l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_quantity, l_returnflag,
+         l_linestatus, {_sid('l_suppkey')} AS station_id,
          CAST(l_shipdate AS DATE) AS date, {ELEMENT_CASE} AS element,
          CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS q,
          NULLIF(l_returnflag, 'N') AS quality_flag, l_linestatus AS source_flag,
@@ -188,7 +189,7 @@ acc AS (
          CASE d WHEN 4 THEN CAST(date + INTERVAL 1 DAY AS TIMESTAMP)
                 WHEN 5 THEN CAST(date AS TIMESTAMP) + INTERVAL 7 HOUR
                 WHEN 6 THEN CAST(date AS TIMESTAMP) + INTERVAL 450 MINUTE END AS observation_time,
-         year, month, d, l_orderkey, l_linenumber,
+         year, month, d, l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_quantity, l_returnflag, l_linestatus,
          CASE d WHEN 4 THEN '2400' WHEN 5 THEN '0700' WHEN 6 THEN '07:30' WHEN 7 THEN '700' ELSE '' END AS time_text
   FROM li WHERE d NOT IN (0, 2, 3))"""
 
@@ -201,7 +202,8 @@ FROM li WHERE d <> 0"""
 ORACLES["observation_time_batch"] = f"WITH {LI_CSV}\nSELECT station_id, date, element, time_text, observation_time FROM acc"
 ORACLES["cap_rows_per_file"] = f"""WITH {LI_CSV}
 SELECT {OBS_COLS} FROM (
-  SELECT *, row_number() OVER (PARTITION BY year ORDER BY l_orderkey, l_linenumber) AS rn FROM acc) WHERE rn <= 1000"""
+  SELECT *, row_number() OVER (PARTITION BY year ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate,
+                                               l_quantity, l_returnflag, l_linestatus) AS rn FROM acc) WHERE rn <= 1000"""
 ORACLES["reject_report"] = f"""WITH {LI_CSV}
 SELECT 'observations' AS source,
        CASE d WHEN 0 THEN 'too_few_fields' WHEN 2 THEN 'invalid_date' ELSE 'invalid_value' END AS reject_reason,
@@ -220,3 +222,57 @@ ORACLES["src_stations_fixed_width"] = f"""SELECT {_sid('s_suppkey')} AS station_
        1995 AS first_year, 2001 AS last_year
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE s_suppkey % 10 NOT IN (3, 5, 7)"""
+
+
+# Messages: the outcome of each event follows from event_id % 20.
+EV = f"""ev AS (
+  SELECT event_id, event_id % 20 AS c, {_sid('user_id')} AS station_id, CAST(ts AS DATE) AS date,
+         CASE event_type WHEN 'purchase' THEN 'TMAX' WHEN 'signup' THEN 'TMIN' WHEN 'view' THEN 'TAVG'
+              WHEN 'click' THEN 'PRCP' WHEN 'error' THEN 'SNOW' END AS element,
+         value, ts, user_id,
+         CAST(EXTRACT(YEAR FROM ts) AS INTEGER) AS year, CAST(EXTRACT(MONTH FROM ts) AS INTEGER) AS month
+  FROM events),
+rr AS (
+  SELECT *, CASE c WHEN 0 THEN 'invalid_json' WHEN 1 THEN 'missing_station_id' WHEN 2 THEN 'value_not_numeric'
+                   WHEN 3 THEN 'invalid_date' WHEN 4 THEN 'station_id_not_string' WHEN 7 THEN 'value_wrong_type'
+                   WHEN 8 THEN 'invalid_observation_time' WHEN 11 THEN 'date_not_string'
+                   WHEN 12 THEN 'not_an_object' END AS reject_reason
+  FROM ev),
+acc_msgs AS (
+  SELECT event_id, station_id, date, element, CASE WHEN c = 10 THEN 1.0 ELSE value END AS value,
+         '' AS measurement_flag, '' AS quality_flag, '' AS source_flag,
+         CASE WHEN c = 6 THEN NULL ELSE date_trunc('minute', ts) END AS observation_time, year, month
+  FROM rr WHERE reject_reason IS NULL)"""
+
+ORACLES["validate_messages"] = f"WITH {EV}\nSELECT event_id, reject_reason FROM rr"
+ORACLES["message_status"] = f"""WITH {EV}
+SELECT event_id, reject_reason,
+       CASE WHEN reject_reason IS NULL THEN 200
+            WHEN reject_reason IN ('value_wrong_type', 'date_not_string', 'invalid_observation_time') THEN 500
+            ELSE 400 END AS status_code,
+       CASE WHEN reject_reason IS NULL THEN 'Success'
+            WHEN reject_reason = 'invalid_json' THEN 'Error: Invalid JSON in message'
+            WHEN reject_reason IN ('value_wrong_type', 'date_not_string', 'invalid_observation_time')
+                 THEN 'Error processing message'
+            ELSE 'Error: Invalid message format or data' END AS status_message
+FROM rr"""
+ORACLES["message_batch_status"] = f"""WITH {EV},
+b AS (SELECT event_id // 10 AS batch_id, CAST(COUNT(*) FILTER (WHERE reject_reason IS NULL) AS BIGINT) AS processed,
+             CAST(COUNT(*) FILTER (WHERE reject_reason IS NOT NULL) AS BIGINT) AS failed
+      FROM rr GROUP BY event_id // 10)
+SELECT batch_id, processed, failed,
+       CASE WHEN failed > 0 AND processed = 0 THEN 500 ELSE 200 END AS status_code,
+       CASE WHEN failed > 0 THEN 'Processed ' || processed || ' messages, failed ' || failed
+            ELSE 'Successfully processed ' || processed || ' messages' END AS status_message
+FROM b"""
+ORACLES["src_envelope_base64"] = f"""WITH {EV}
+SELECT event_id, c = 5 AS envelope,
+       CASE WHEN c IN (0, 1, 12) THEN NULL WHEN c = 4 THEN CAST(user_id AS VARCHAR) ELSE station_id END AS station_id
+FROM ev"""
+ORACLES["observation_time_stream"] = f"""WITH {EV}
+SELECT event_id, CASE c WHEN 6 THEN '' WHEN 8 THEN '2400' ELSE strftime(ts, '%H:%M') END AS observation_time_text,
+       CASE WHEN c IN (6, 8) THEN NULL ELSE date_trunc('minute', ts) END AS observation_time
+FROM rr WHERE reject_reason IS NULL OR reject_reason = 'invalid_observation_time'"""
+ORACLES["src_json_file"] = f"WITH {EV}\nSELECT {OBS_COLS} FROM acc_msgs"
+ORACLES["src_message_batch"] = f"WITH {EV}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"
+ORACLES["stream_ingest"] = f"WITH {EV}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"

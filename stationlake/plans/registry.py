@@ -297,3 +297,68 @@ def q_cap_rows_per_file(spark, sf_dir):
 def q_reject_report(spark, sf_dir):
     return Q.reject_report(("observations", OC.rejects(_parsed_csv(spark, sf_dir))),
                            ("stations", FW.rejects(_parsed_stations(spark, sf_dir))))
+
+
+# --- step 5: messages and streaming ---------------------------------------------
+from stationlake.sources import messages as M  # noqa: E402
+from stationlake.streaming import ingest as STR  # noqa: E402
+
+
+def _validated(spark, sf_dir):
+    return M.validate_messages(FX.messages(spark, sf_dir).withColumnRenamed("event_id", "message_id"))
+
+
+@register("validate_messages")
+def q_validate_messages(spark, sf_dir):
+    return _validated(spark, sf_dir).select(F.col("message_id").alias("event_id"), "reject_reason")
+
+
+@register("message_status")
+def q_message_status(spark, sf_dir):
+    return M.message_status(_validated(spark, sf_dir)).withColumnRenamed("message_id", "event_id")
+
+
+@register("message_batch_status")
+def q_message_batch_status(spark, sf_dir):
+    """Queue events read from the landing folder; outcome per event."""
+    recs = M.read_queue_events(spark, FX.queue_event_dir(spark, sf_dir))
+    v = M.validate_messages(recs).withColumn(
+        "batch_id", F.floor(F.col("message_id").cast("long") / FX.QUEUE_BATCH_SIZE))
+    return M.batch_status(v, "batch_id")
+
+
+@register("src_envelope_base64")
+def q_src_envelope_base64(spark, sf_dir):
+    return _validated(spark, sf_dir).select(F.col("message_id").alias("event_id"), "envelope", "station_id")
+
+
+@register("observation_time_stream")
+def q_observation_time_stream(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    return v.filter(F.col("reject_reason").isNull() | (F.col("reject_reason") == "invalid_observation_time")) \
+        .select(F.col("message_id").alias("event_id"), "observation_time_text", "observation_time")
+
+
+@register("src_json_file")
+def q_src_json_file(spark, sf_dir):
+    return M.accepted(M.validate_messages(M.read_message_files(spark, FX.message_files(spark, sf_dir))))
+
+
+@register("src_message_batch")
+def q_src_message_batch(spark, sf_dir):
+    v = M.validate_messages(M.read_queue_events(spark, FX.queue_event_dir(spark, sf_dir)))
+    return M.accepted(v, [F.col("message_id").cast("long").alias("event_id")])
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """readStream over the landing folder, several micro-batches, one
+    idempotent write per batch; returns the accepted observations."""
+    log = scratch_path(spark, "message-log")
+    q = STR.start_ingest(spark, FX.queue_event_dir(spark, sf_dir), log, scratch_path(spark, "ingest-ckpt"),
+                         max_files_per_trigger=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return STR.accepted_observations(spark, log).select(F.col("message_id").cast("long").alias("event_id"),
+                                                        *OBSERVATION_COLUMNS)

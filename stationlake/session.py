@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -44,7 +45,7 @@ def get_session(master: str = "local[*]", shuffle_partitions: int | None = None,
 def configure(spark: SparkSession) -> None:
     """Apply the runtime (non-static) settings to an existing session."""
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.ui."):
+        if k.startswith("spark.ui.") or k == "spark.driver.memory":
             continue
         spark.conf.set(k, v)
     checkpoint_dir(spark)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.functions.parse import parse_number, strip_ws
+from stationlake.functions.frames import freeze
 from stationlake.schemas import (STATE_COUNTRY, STATION_COLUMNS, STATION_LAYOUT,
                                  STATION_LINE_MIN_LENGTH)
 
@@ -54,7 +55,7 @@ def parse_station_lines(lines: DataFrame, layout=STATION_LAYOUT,
               .when(~all_of(int_ok), "invalid_year"))
     out_cols = [cols[c].alias(c) for c in STATION_COLUMNS if c in cols]
     extra = [F.col("_file")] if "_file" in lines.columns else []
-    return lines.select(*out_cols, reason.alias("reject_reason"), line.alias("raw_line"), *extra)
+    return freeze(lines.select(*out_cols, reason.alias("reject_reason"), line.alias("raw_line"), *extra))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -131,6 +131,12 @@ def station_file(spark: SparkSession, sf_dir: str) -> str:
     return _written(spark, ("stations-txt", sf_dir), build)
 
 
+# File order of the rendered lines: every column a line depends on, so rows
+# that tie render identical lines.
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag",
+              "l_linestatus"]
+
+
 def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations rendered as CSV text (no header) with defects by
     l_orderkey % 50: 0 seven fields, 1 nine fields, 2 month 13, 3 value
@@ -152,7 +158,7 @@ def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = (F.when(defect == 0, F.concat_ws(",", *fields[:7]))
             .when(defect == 1, F.concat_ws(",", *fields, F.lit("X")))
             .otherwise(F.concat_ws(",", *fields)))
-    return li.select(F.year("l_shipdate").alias("year"), "l_orderkey", "l_linenumber", line.alias("value"))
+    return li.select(F.year("l_shipdate").alias("year"), *LINE_ORDER, line.alias("value"))
 
 
 def obs_li_raw_columns(li: DataFrame) -> dict:
@@ -171,14 +177,14 @@ def obs_li_raw_columns(li: DataFrame) -> dict:
 def observation_files(spark: SparkSession, sf_dir: str) -> str:
     """Write the observation CSV as gzip text, one directory per year (the
     reference loads one file per year). Range partitioning keeps each part
-    file sorted, so file-name order then line order equals (l_orderkey,
-    l_linenumber) order within a year; no year is forced into one task."""
+    file sorted, so file-name order then line order equals LINE_ORDER within
+    a year; no year is forced into one task."""
     def build():
         path = scratch_path(spark, "observations-csv")
         lines = observation_lines(spark, sf_dir)
         n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        (lines.repartitionByRange(n, "year", "l_orderkey", "l_linenumber")
-         .sortWithinPartitions("year", "l_orderkey", "l_linenumber")
+        (lines.repartitionByRange(n, "year", *LINE_ORDER)
+         .sortWithinPartitions("year", *LINE_ORDER)
          .select("year", "value")
          .write.mode("overwrite").option("compression", "gzip")
          .partitionBy("year").text(path))
@@ -222,7 +228,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     no_station = obj(pairs[1:])
     body = (F.when(cls == 0, F.substring(full, 1, 25))
             .when(cls == 1, no_station)
-            .when(cls == 5, F.concat(F.lit('{"message": {"data": "'), F.base64(F.encode(full, "UTF-8")),
+            .when(cls == 5, F.concat(F.lit('{"message": {"data": "'), F.regexp_replace(F.base64(F.encode(full, "UTF-8")), "[\\r\\n]", ""),
                                      F.lit('"}}')))
             .when(cls == 12, F.concat(F.lit("["), full, F.lit("]")))
             .otherwise(full))
@@ -312,3 +318,40 @@ def observations_table(spark: SparkSession, sf_dir: str, max_records_per_file: i
         append_observations(obs_li(spark, sf_dir), path, max_records_per_file=max_records_per_file)
         return path
     return _written(spark, ("observations", sf_dir, max_records_per_file), build)
+
+
+# Queue batches: a queue delivers at most this many records per event.
+QUEUE_BATCH_SIZE = 10
+
+
+def message_files(spark: SparkSession, sf_dir: str) -> str:
+    """One JSON document per file: a queue event of at most QUEUE_BATCH_SIZE
+    records, pretty-printed over several lines (so only a whole-file read
+    sees a complete document)."""
+    def build():
+        path = scratch_path(spark, "message-files")
+        (queue_events(spark, sf_dir)
+         .select(F.regexp_replace("value", '\\},\\{"messageId"', '},\n  {"messageId"').alias("value"))
+         .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))
+        return path
+    return _written(spark, ("message-files", sf_dir), build)
+
+
+def queue_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages grouped into queue events of at most QUEUE_BATCH_SIZE records:
+    one JSON line ``{"Records": [{"messageId": .., "body": ..}, ..]}`` each."""
+    m = messages(spark, sf_dir)
+    rec = F.struct(F.col("event_id").cast("string").alias("messageId"), F.col("body"))
+    return (m.groupBy(F.floor(F.col("event_id") / QUEUE_BATCH_SIZE).alias("batch"))
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("event_id"), rec.alias("r")))).alias("rs"))
+            .select("batch", F.to_json(F.struct(F.col("rs.r").alias("Records"))).alias("value")))
+
+
+def queue_event_dir(spark: SparkSession, sf_dir: str) -> str:
+    def build():
+        path = scratch_path(spark, "queue-events")
+        n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        queue_events(spark, sf_dir).repartitionByRange(n, "batch").select("value") \
+            .write.mode("overwrite").text(path)
+        return path
+    return _written(spark, ("queue-events", sf_dir), build)

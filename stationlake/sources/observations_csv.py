@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stationlake.functions.parse import (csv_field_count, empty_to_null, observation_time_batch,
                                          parse_number, parse_yyyymmdd, scale_units)
+from stationlake.functions.frames import freeze
 from stationlake.schemas import OBSERVATION_COLUMNS, OBSERVATION_MIN_FIELDS
 
 FIELDS = ["station_id", "date_text", "element", "value_text", "measurement_flag",
@@ -45,7 +46,7 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
               .when(date.isNull(), "invalid_date")
               .when(raw_value.isNull(), "invalid_value"))
     keep = [c for c in ("_file", "_block", "_row") if c in lines.columns]
-    return lines.select(
+    return freeze(lines.select(
         f["station_id"].alias("station_id"),
         date.alias("date"),
         f["element"].alias("element"),
@@ -61,7 +62,7 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
         reason.alias("reject_reason"),
         line.alias("raw_line"),
         *keep,
-    )
+    ))
 
 
 def accepted(parsed: DataFrame, keep_position: bool = False) -> DataFrame:
