@@ -276,3 +276,77 @@ FROM rr WHERE reject_reason IS NULL OR reject_reason = 'invalid_observation_time
 ORACLES["src_json_file"] = f"WITH {EV}\nSELECT {OBS_COLS} FROM acc_msgs"
 ORACLES["src_message_batch"] = f"WITH {EV}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"
 ORACLES["stream_ingest"] = f"WITH {EV}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"
+
+
+# Order change log: commits 1..7 append a year each, 8 deletes, 9 updates.
+ORD = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
+CHG = f"""chg AS (
+  SELECT {ORD}, 'append' AS op, CAST(EXTRACT(YEAR FROM o_orderdate) - 1994 AS BIGINT) AS commit_id FROM orders
+  UNION ALL
+  SELECT {ORD}, 'delete', CAST(8 AS BIGINT) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 4 = 0
+  UNION ALL
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1, o_orderdate, 'update', CAST(9 AS BIGINT)
+  FROM orders WHERE o_orderkey % 10 = 1 AND NOT (o_orderstatus = 'P' AND o_orderkey % 4 = 0)),
+commits AS (
+  SELECT commit_id, CASE WHEN commit_id > 1 THEN commit_id - 1 END AS parent_id,
+         CASE WHEN commit_id <= 7 THEN make_timestamp(CAST(commit_id + 1994 AS BIGINT), 12, 31, 0, 0, 0)
+              ELSE make_timestamp(2002, 1, CAST(commit_id - 7 AS BIGINT), 0, 0, 0) END AS committed_at,
+         CASE first_op WHEN 'append' THEN 'append' WHEN 'delete' THEN 'delete' ELSE 'overwrite' END AS operation,
+         added_rows, updated_rows, deleted_rows
+  FROM (SELECT commit_id, min(op) AS first_op,
+               CAST(COUNT(*) FILTER (WHERE op = 'append') AS BIGINT) AS added_rows,
+               CAST(COUNT(*) FILTER (WHERE op = 'update') AS BIGINT) AS updated_rows,
+               CAST(COUNT(*) FILTER (WHERE op = 'delete') AS BIGINT) AS deleted_rows
+        FROM chg GROUP BY commit_id))"""
+
+
+def state_at(bound: str) -> str:
+    return f"""(SELECT {ORD} FROM (
+      SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY commit_id DESC) AS rn
+      FROM chg WHERE commit_id <= {bound}) WHERE rn = 1 AND op <> 'delete')"""
+
+
+ORACLES["asof_snapshot_id"] = f"WITH {CHG}\nSELECT * FROM {state_at('3')}"
+ORACLES["asof_timestamp"] = f"""WITH {CHG}
+SELECT * FROM {state_at("(SELECT max(commit_id) FROM commits WHERE committed_at <= TIMESTAMP '1999-06-30 00:00:00')")}"""
+ORACLES["asof_minutes_ago"] = f"""WITH {CHG}
+SELECT * FROM {state_at("(SELECT max(commit_id) FROM commits WHERE committed_at <= TIMESTAMP '2002-01-02 00:30:00' - INTERVAL 60 MINUTE)")}"""
+ORACLES["asof_latest"] = f"WITH {CHG}\nSELECT * FROM {state_at('9')}"
+ORACLES["asof_where_limit"] = f"""WITH {CHG}
+SELECT * FROM {state_at('9')} s WHERE o_orderstatus = 'F' AND o_totalprice > 100000 ORDER BY o_orderkey LIMIT 10"""
+ORACLES["list_snapshots"] = f"""WITH {CHG}
+SELECT commit_id, parent_id, committed_at, strftime(committed_at, '%Y-%m-%d %H:%M:%S.%g') AS committed_at_text,
+       epoch_ms(committed_at) AS timestamp_ms, operation, added_rows, updated_rows, deleted_rows,
+       CAST(SUM(added_rows - deleted_rows) OVER (ORDER BY commit_id) AS BIGINT) AS total_rows
+FROM commits"""
+DIFF_SELECT = """SELECT COALESCE(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+       CASE WHEN a.o_orderkey IS NULL THEN 'added' WHEN b.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change_type,
+       a.o_custkey AS before_o_custkey, a.o_orderstatus AS before_o_orderstatus, a.o_totalprice AS before_o_totalprice,
+       a.o_orderdate AS before_o_orderdate,
+       b.o_custkey AS after_o_custkey, b.o_orderstatus AS after_o_orderstatus, b.o_totalprice AS after_o_totalprice,
+       b.o_orderdate AS after_o_orderdate
+FROM {a} a FULL OUTER JOIN {b} b ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL
+   OR a.o_custkey IS DISTINCT FROM b.o_custkey OR a.o_orderstatus IS DISTINCT FROM b.o_orderstatus
+   OR a.o_totalprice IS DISTINCT FROM b.o_totalprice OR a.o_orderdate IS DISTINCT FROM b.o_orderdate"""
+ORACLES["version_diff"] = f"WITH {CHG}\n" + DIFF_SELECT.format(a=state_at('7'), b=state_at('9'))
+ORACLES["version_restore"] = f"""WITH {CHG}, d AS ({DIFF_SELECT.format(a=state_at('7'), b=state_at('9'))})
+SELECT o_orderkey,
+       CASE WHEN change_type = 'added' THEN after_o_custkey ELSE before_o_custkey END AS o_custkey,
+       CASE WHEN change_type = 'added' THEN after_o_orderstatus ELSE before_o_orderstatus END AS o_orderstatus,
+       CASE WHEN change_type = 'added' THEN after_o_totalprice ELSE before_o_totalprice END AS o_totalprice,
+       CASE WHEN change_type = 'added' THEN after_o_orderdate ELSE before_o_orderdate END AS o_orderdate,
+       CASE change_type WHEN 'added' THEN 'delete' WHEN 'removed' THEN 'append' ELSE 'update' END AS op,
+       CAST(10 AS BIGINT) AS commit_id
+FROM d"""
+ORACLES["version_audit"] = f"""WITH {CHG}
+SELECT c.commit_id, c.o_orderkey, c.o_custkey, c.o_orderstatus, c.o_totalprice, c.o_orderdate, c.op,
+       m.committed_at, m.operation AS commit_operation
+FROM chg c JOIN commits m ON c.commit_id = m.commit_id
+WHERE c.o_orderkey IN (SELECT o_orderkey FROM chg GROUP BY o_orderkey HAVING COUNT(*) > 1)"""
+FOLD = """SELECT {ord}, 'append' AS op, CAST({r} AS BIGINT) AS commit_id FROM {state}
+UNION ALL SELECT {ord}, op, commit_id FROM chg WHERE commit_id > {r}"""
+ORACLES["expire_older_than"] = f"""WITH {CHG}
+{FOLD.format(ord=ORD, r="(SELECT COALESCE(MIN(commit_id) FILTER (WHERE committed_at >= TIMESTAMP '2001-06-01 00:00:00'), MAX(commit_id)) FROM commits)", state=state_at("(SELECT COALESCE(MIN(commit_id) FILTER (WHERE committed_at >= TIMESTAMP '2001-06-01 00:00:00'), MAX(commit_id)) FROM commits)"))}"""
+ORACLES["expire_retain_last"] = f"""WITH {CHG}
+{FOLD.format(ord=ORD, r="(SELECT MIN(commit_id) FROM (SELECT commit_id FROM commits ORDER BY commit_id DESC LIMIT 2))", state=state_at("(SELECT MIN(commit_id) FROM (SELECT commit_id FROM commits ORDER BY commit_id DESC LIMIT 2))"))}"""

@@ -362,3 +362,90 @@ def q_stream_ingest(spark, sf_dir):
         raise RuntimeError(str(q.exception()))
     return STR.accepted_observations(spark, log).select(F.col("message_id").cast("long").alias("event_id"),
                                                         *OBSERVATION_COLUMNS)
+
+
+# --- step 6: table versions -------------------------------------------------------
+from stationlake.operators import versions as V  # noqa: E402
+
+KEY = FX.ORDER_KEY
+ASOF_SNAPSHOT = 3
+ASOF_TIMESTAMP = _dt.datetime(1999, 6, 30)
+NOW = _dt.datetime(2002, 1, 2, 0, 30)
+MINUTES_AGO = 60
+ASOF_WHERE = "o_orderstatus = 'F' AND o_totalprice > 100000"
+DIFF_FROM, DIFF_TO = 7, 9
+RESTORE_TO = 7
+EXPIRE_BEFORE = _dt.datetime(2001, 6, 1)
+RETAIN_LAST = 2
+
+
+def _log(spark, sf_dir):
+    chg = FX.read_change_log(spark, sf_dir)
+    return chg, FX.order_commits(spark, chg)
+
+
+@register("asof_snapshot_id")
+def q_asof_snapshot_id(spark, sf_dir):
+    chg, commits = _log(spark, sf_dir)
+    return V.as_of(chg, KEY, V.resolve_bound(commits, snapshot_id=ASOF_SNAPSHOT))
+
+
+@register("asof_timestamp")
+def q_asof_timestamp(spark, sf_dir):
+    chg, commits = _log(spark, sf_dir)
+    return V.as_of(chg, KEY, V.resolve_bound(commits, timestamp=ASOF_TIMESTAMP))
+
+
+@register("asof_minutes_ago")
+def q_asof_minutes_ago(spark, sf_dir):
+    chg, commits = _log(spark, sf_dir)
+    return V.as_of(chg, KEY, V.resolve_bound(commits, minutes_ago=MINUTES_AGO, now=NOW))
+
+
+@register("asof_latest")
+def q_asof_latest(spark, sf_dir):
+    chg, _ = _log(spark, sf_dir)
+    return V.as_of(chg, KEY)
+
+
+@register("asof_where_limit")
+def q_asof_where_limit(spark, sf_dir):
+    chg, commits = _log(spark, sf_dir)
+    return V.as_of_query(chg, commits, KEY, where=ASOF_WHERE, limit=LIMIT_N)
+
+
+@register("list_snapshots")
+def q_list_snapshots(spark, sf_dir):
+    chg, commits = _log(spark, sf_dir)
+    return V.list_snapshots(commits, chg)
+
+
+@register("version_diff")
+def q_version_diff(spark, sf_dir):
+    chg, _ = _log(spark, sf_dir)
+    return V.version_diff(chg, KEY, F.lit(DIFF_FROM), F.lit(DIFF_TO))
+
+
+@register("version_restore")
+def q_version_restore(spark, sf_dir):
+    chg, commits = _log(spark, sf_dir)
+    new_id = commits.agg(F.max("commit_id") + 1).scalar()
+    return V.restore_changes(chg, KEY, F.lit(RESTORE_TO), new_id)
+
+
+@register("version_audit")
+def q_version_audit(spark, sf_dir):
+    chg, commits = _log(spark, sf_dir)
+    return V.version_audit(chg, commits, KEY, V.keys_changed_more_than_once(chg, KEY))
+
+
+@register("expire_older_than")
+def q_expire_older_than(spark, sf_dir):
+    chg, commits = _log(spark, sf_dir)
+    return V.expire_older_than(chg, commits, KEY, EXPIRE_BEFORE)
+
+
+@register("expire_retain_last")
+def q_expire_retain_last(spark, sf_dir):
+    chg, commits = _log(spark, sf_dir)
+    return V.expire_retain_last(chg, commits, KEY, RETAIN_LAST)

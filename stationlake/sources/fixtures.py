@@ -275,7 +275,7 @@ def order_commits(spark: SparkSession, changes: DataFrame) -> DataFrame:
     per = changes.groupBy("commit_id").agg(
         F.count_if(F.col("op") != "delete").cast("long").alias("added_rows"),
         F.count_if(F.col("op") != "append").cast("long").alias("deleted_rows"),
-        F.first("op").alias("first_op"),
+        F.min("op").alias("first_op"),
     )
     committed = (F.when(F.col("commit_id") <= 7,
                         F.make_timestamp_ntz((F.col("commit_id") + 1994).cast("int"), F.lit(12), F.lit(31),
@@ -355,3 +355,13 @@ def queue_event_dir(spark: SparkSession, sf_dir: str) -> str:
             .write.mode("overwrite").text(path)
         return path
     return _written(spark, ("queue-events", sf_dir), build)
+
+
+CHANGES_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+                  "o_orderdate TIMESTAMP_NTZ, op STRING, commit_id BIGINT")
+
+
+def read_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written order change log under its declared schema (a partition
+    column would otherwise come back as INT)."""
+    return spark.read.schema(CHANGES_SCHEMA).parquet(change_log_table(spark, sf_dir))
