@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.functions.messages import (decode_envelope, field_columns, message_columns, parse_columns,
+from stationlake.functions.messages import (decode_envelope, field_columns, message_columns,
                                             status_code, status_message, type_columns)
 from stationlake.functions.frames import freeze
 from stationlake.schemas import OBSERVATION_COLUMNS
@@ -37,11 +37,13 @@ def read_queue_events(spark: SparkSession, path: str) -> DataFrame:
 def validate_messages(messages: DataFrame, body_col: str = "body") -> DataFrame:
     """Add typed observation columns, ``envelope`` flag, ``reject_reason``."""
     base = list(messages.columns)
-    env = messages.select(*base, F.try_variant_get(F.try_parse_json(F.col(body_col)), "$.message.data",
-                                                   "string").alias("_data"))
-    decoded = env.select(*base, F.col("_data").isNotNull().alias("envelope"),
-                         decode_envelope(F.col(body_col), F.col("_data")).alias("_text"))
-    parsed = decoded.select(*base, "envelope", *[c.alias(k) for k, c in parse_columns("_text").items()])
+    # Parse the body once; only an envelope's decoded text is parsed again.
+    first = messages.select(*base, F.try_parse_json(F.col(body_col)).alias("_v0"))
+    env = first.select(*base, "_v0", F.try_variant_get("_v0", "$.message.data", "string").alias("_data"))
+    parsed = env.select(*base, F.col("_data").isNotNull().alias("envelope"),
+                        F.when(F.col("_data").isNotNull(),
+                               F.try_parse_json(decode_envelope(F.col(body_col), F.col("_data"))))
+                        .otherwise(F.col("_v0")).alias("_v"))
     typed = parsed.select("*", *[c.alias(k) for k, c in type_columns().items()])
     fields = typed.select("*", *[c.alias(k) for k, c in field_columns().items()])
     derived = message_columns()

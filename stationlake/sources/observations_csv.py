@@ -35,32 +35,36 @@ def read_observation_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_observation_lines(lines: DataFrame) -> DataFrame:
     """Observation columns plus ``reject_reason`` (NULL when accepted):
-    ``too_few_fields``, ``invalid_date`` or ``invalid_value``, first wins."""
+    ``too_few_fields``, ``invalid_date`` or ``invalid_value``, first wins.
+
+    Built in stages (CSV record, fields, typed values, final columns) so
+    each parse runs once per line; the projections are not merged because
+    their expressions are reused.
+    """
+    keep = [c for c in ("_file", "_block", "_row") if c in lines.columns]
     line = F.col("value")
-    n_fields = csv_field_count(line)
-    rec = F.from_csv(line, CSV_SCHEMA, {"mode": "PERMISSIVE"})
-    f = {name: F.coalesce(rec[name], F.lit("")) for name in FIELDS}
-    date = parse_yyyymmdd(f["date_text"])
-    raw_value = parse_number(f["value_text"], "double", blank_as_zero=False)
-    reason = (F.when(n_fields < OBSERVATION_MIN_FIELDS, "too_few_fields")
+    a = lines.select(line.alias("raw_line"), *keep, csv_field_count(line).alias("_n"),
+                     F.from_csv(line, CSV_SCHEMA, {"mode": "PERMISSIVE"}).alias("_rec"))
+    b = a.select("raw_line", *keep, "_n",
+                 *[F.coalesce(F.col(f"_rec.{name}"), F.lit("")).alias(name) for name in FIELDS])
+    c = b.select("*", parse_yyyymmdd(F.col("date_text")).alias("date"),
+                 parse_number(F.col("value_text"), "double", blank_as_zero=False).alias("_raw_value"))
+    date = F.col("date")
+    reason = (F.when(F.col("_n") < OBSERVATION_MIN_FIELDS, "too_few_fields")
               .when(date.isNull(), "invalid_date")
-              .when(raw_value.isNull(), "invalid_value"))
-    keep = [c for c in ("_file", "_block", "_row") if c in lines.columns]
-    return freeze(lines.select(
-        f["station_id"].alias("station_id"),
-        date.alias("date"),
-        f["element"].alias("element"),
-        scale_units(f["element"], raw_value).alias("value"),
-        empty_to_null(f["measurement_flag"]).alias("measurement_flag"),
-        empty_to_null(f["quality_flag"]).alias("quality_flag"),
-        empty_to_null(f["source_flag"]).alias("source_flag"),
-        observation_time_batch(date, f["time_text"]).alias("observation_time"),
+              .when(F.col("_raw_value").isNull(), "invalid_value"))
+    return freeze(c.select(
+        "station_id", "date", "element",
+        scale_units(F.col("element"), F.col("_raw_value")).alias("value"),
+        empty_to_null(F.col("measurement_flag")).alias("measurement_flag"),
+        empty_to_null(F.col("quality_flag")).alias("quality_flag"),
+        empty_to_null(F.col("source_flag")).alias("source_flag"),
+        observation_time_batch(date, F.col("time_text")).alias("observation_time"),
         F.year(date).alias("year"),
         F.month(date).alias("month"),
-        f["date_text"].alias("date_text"),
-        f["time_text"].alias("time_text"),
+        "date_text", "time_text",
         reason.alias("reject_reason"),
-        line.alias("raw_line"),
+        "raw_line",
         *keep,
     ))
 
