@@ -350,3 +350,10 @@ ORACLES["expire_older_than"] = f"""WITH {CHG}
 {FOLD.format(ord=ORD, r="(SELECT COALESCE(MIN(commit_id) FILTER (WHERE committed_at >= TIMESTAMP '2001-06-01 00:00:00'), MAX(commit_id)) FROM commits)", state=state_at("(SELECT COALESCE(MIN(commit_id) FILTER (WHERE committed_at >= TIMESTAMP '2001-06-01 00:00:00'), MAX(commit_id)) FROM commits)"))}"""
 ORACLES["expire_retain_last"] = f"""WITH {CHG}
 {FOLD.format(ord=ORD, r="(SELECT MIN(commit_id) FROM (SELECT commit_id FROM commits ORDER BY commit_id DESC LIMIT 2))", state=state_at("(SELECT MIN(commit_id) FROM (SELECT commit_id FROM commits ORDER BY commit_id DESC LIMIT 2))"))}"""
+
+
+# JOB-1: parsed stations x accepted CSV observations of loaded stations -> annual.
+ST_FW = ORACLES["src_stations_fixed_width"]
+ORACLES["daily_job"] = (f"WITH {LI_CSV},\nst AS ({ST_FW}),\n"
+                        f"obs AS (SELECT * FROM acc WHERE station_id IN (SELECT station_id FROM st)),\n"
+                        f"{DAILY},\n{MONTHLY}\n" + ANNUAL_SELECT.format(where=""))

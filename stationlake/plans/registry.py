@@ -449,3 +449,17 @@ def q_expire_older_than(spark, sf_dir):
 def q_expire_retain_last(spark, sf_dir):
     chg, commits = _log(spark, sf_dir)
     return V.expire_retain_last(chg, commits, KEY, RETAIN_LAST)
+
+
+# --- JOB-1 ----------------------------------------------------------------------
+from stationlake.plans.jobs import daily_run  # noqa: E402
+
+JOB_RUN_DATE = _dt.date(2000, 6, 15)
+
+
+@register("daily_job")
+def q_daily_job(spark, sf_dir):
+    """The whole daily run over the raw files; returns the annual table."""
+    res = daily_run(spark, FX.station_file(spark, sf_dir), FX.observation_files(spark, sf_dir),
+                    scratch_path(spark, "warehouse"), JOB_RUN_DATE, filter_stations=True, exact_scale=EXACT)
+    return SK.read_annual(spark, res["annual"], S.ANNUAL_COLUMNS)
