@@ -16,8 +16,23 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows. The answer is kept per
+    (plan, input files): rewritten inputs get new file names, so a changed
+    table is counted again."""
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # noqa: BLE001 - plans without file inputs
+        key = None
+    if key is not None and key in _CHECKED:
+        return _CHECKED[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _CHECKED[key] = ok
+    return ok
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
