@@ -3,7 +3,7 @@ latest vs history, temperature-precipitation relation."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationlake.operators.summaries import _avg, _sum
@@ -33,30 +33,42 @@ def region_grid(monthly: DataFrame, cell_degrees: float = 10.0, exact_scale: int
 
 def precip_year_over_year(monthly: DataFrame) -> DataFrame:
     """Monthly precipitation against the same month of the previous year.
-    (station_id, year, month) is unique in the monthly summary, so the self
-    join on the shifted year is one-to-one."""
-    cur = monthly.select("station_id", "year", "month", "total_precipitation")
-    prev = monthly.select("station_id", (F.col("year") + 1).alias("year"), "month",
-                          F.col("total_precipitation").alias("prev_year_precipitation"))
-    j = cur.join(prev, ["station_id", "year", "month"], "left")
-    return j.withColumn("precipitation_change",
-                        F.col("total_precipitation") - F.col("prev_year_precipitation"))
+
+    One pass over the monthly summary: ``lag`` within (station_id, month)
+    ordered by year, kept only when that row is exactly the year before.
+    Each window group holds one row per year, so it stays small however
+    large a station is.
+    """
+    w = Window.partitionBy("station_id", "month").orderBy("year")
+    m = monthly.select("station_id", "year", "month", "total_precipitation")
+    prev_year, prev_val = F.lag("year").over(w), F.lag("total_precipitation").over(w)
+    out = m.select("station_id", "year", "month", "total_precipitation",
+                   F.when(prev_year == F.col("year") - 1, prev_val).alias("prev_year_precipitation"))
+    return out.withColumn("precipitation_change",
+                          F.col("total_precipitation") - F.col("prev_year_precipitation"))
 
 
 def current_vs_history(monthly: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Latest monthly temperature of each station against the mean of the
-    same calendar month in earlier years."""
-    m = monthly.filter(F.col("avg_temp").isNotNull())
-    latest = m.groupBy("station_id").agg(
-        F.max_by(F.struct("year", "month", "avg_temp"), F.col("year") * 100 + F.col("month")).alias("l")
-    ).select("station_id", F.col("l.year").alias("year"), F.col("l.month").alias("month"),
-             F.col("l.avg_temp").alias("latest_avg_temp"))
-    hist = m.select("station_id", "month", F.col("year").alias("h_year"), F.col("avg_temp").alias("h_temp"))
-    # Every latest row matches at least itself, so no station is lost.
-    j = latest.join(hist, ["station_id", "month"], "left")
-    out = j.groupBy("station_id", "year", "month", "latest_avg_temp").agg(
-        _avg(F.when(F.col("h_year") < F.col("year"), F.col("h_temp")), exact_scale).alias("historical_avg_temp"))
-    return out.withColumn("difference", F.col("latest_avg_temp") - F.col("historical_avg_temp"))
+    same calendar month in earlier years.
+
+    One pass: a running (earlier-years) mean within (station_id, month),
+    then the latest month per station with ``max_by`` (aggregated partially
+    before the shuffle)."""
+    m = monthly.filter(F.col("avg_temp").isNotNull()).select("station_id", "year", "month", "avg_temp")
+    earlier = Window.partitionBy("station_id", "month").orderBy("year") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    t = F.col("avg_temp") if exact_scale is None else F.col("avg_temp").cast(f"decimal(38,{exact_scale})")
+    total = F.sum(t).over(earlier)
+    total = total if exact_scale is None else total.cast("double")
+    h = m.select("station_id", "year", "month", "avg_temp",
+                 (total / F.count("avg_temp").over(earlier)).alias("historical_avg_temp"))
+    latest = h.groupBy("station_id").agg(
+        F.max_by(F.struct("year", "month", "avg_temp", "historical_avg_temp"),
+                 F.col("year") * 100 + F.col("month")).alias("l"))
+    return latest.select("station_id", F.col("l.year").alias("year"), F.col("l.month").alias("month"),
+                         F.col("l.avg_temp").alias("latest_avg_temp"), F.col("l.historical_avg_temp"),
+                         (F.col("l.avg_temp") - F.col("l.historical_avg_temp")).alias("difference"))
 
 
 def temp_precip_corr(monthly: DataFrame, digits: int | None = None) -> DataFrame:
