@@ -193,7 +193,7 @@ def observation_files(spark: SparkSession, sf_dir: str) -> str:
     def build():
         path = scratch_path(spark, "observations-csv")
         lines = observation_lines(spark, sf_dir)
-        n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        n = max(1, spark.sparkContext.defaultParallelism)
         (lines.repartitionByRange(n, "year", *LINE_ORDER)
          .sortWithinPartitions("year", *LINE_ORDER)
          .select("year", "value")
@@ -362,7 +362,7 @@ def queue_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queue_event_dir(spark: SparkSession, sf_dir: str) -> str:
     def build():
         path = scratch_path(spark, "queue-events")
-        n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        n = max(1, spark.sparkContext.defaultParallelism)
         queue_events(spark, sf_dir).repartitionByRange(n, "batch").select("value") \
             .write.mode("overwrite").text(path)
         return path
