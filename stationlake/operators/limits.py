@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.operators.joins import maybe_broadcast
 
 
 def cap_rows_in_file_order(df: DataFrame, n: int, group_cols: list[str],
@@ -26,5 +25,7 @@ def cap_rows_in_file_order(df: DataFrame, n: int, group_cols: list[str],
     before = Window.partitionBy(*group_cols).orderBy(file_col, block_col) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_start"))
-    return ranked.join(maybe_broadcast(offsets), part) \
+    # The window already hash-partitioned ``ranked`` on ``part``, the join
+    # key, so only the small offsets table (one row per block) is shuffled.
+    return ranked.join(offsets, part) \
         .filter(F.col("_start") + F.col("_rn") <= n).drop("_rn", "_start")

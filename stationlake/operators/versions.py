@@ -21,7 +21,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.operators.joins import maybe_broadcast
 
 OPS = ("append", "update", "delete")
 
@@ -131,11 +130,13 @@ def restore_changes(changes: DataFrame, key: list[str], to_bound: Column, new_co
 
 def version_audit(changes: DataFrame, commits: DataFrame, key: list[str],
                   keys: DataFrame | None = None) -> DataFrame:
-    """Every change of the chosen keys with its commit's time and operation."""
-    c = changes if keys is None else changes.join(maybe_broadcast(keys.select(*key).distinct()), key,
-                                                  "left_semi")
+    """Every change of the chosen keys with its commit's time and operation.
+    Both joined sides may be derived (keys from an aggregation), so their
+    size is left to AQE, which measures them after their shuffle; a commits
+    table has one row per commit and ends up broadcast."""
+    c = changes if keys is None else changes.join(keys.select(*key).distinct(), key, "left_semi")
     meta = commits.select("commit_id", "committed_at", F.col("operation").alias("commit_operation"))
-    return c.join(maybe_broadcast(meta), "commit_id")
+    return c.join(meta, "commit_id")
 
 
 def keys_changed_more_than_once(changes: DataFrame, key: list[str]) -> DataFrame:

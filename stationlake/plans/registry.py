@@ -61,7 +61,7 @@ def q_annual_summary(spark, sf_dir):
 @register("temp_anomaly")
 def q_temp_anomaly(spark, sf_dir):
     return S.temp_anomaly(_monthly(spark, sf_dir), BASELINE_FROM, BASELINE_TO, REPORT_FROM,
-                          exact_scale=EXACT)
+                          exact_scale=EXACT, stations=FX.st_sup(spark, sf_dir))
 
 
 # --- step 2: quality, analytics, scans -------------------------------------------
