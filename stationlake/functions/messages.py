@@ -65,13 +65,8 @@ def _type(v: Column, field: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
 
 
-def parse_columns(text) -> dict[str, Column]:
-    """Stage 1: the parsed VARIANT (parsed once per row)."""
-    return {"_v": F.try_parse_json(_c(text))}
-
-
 def type_columns(v="_v") -> dict[str, Column]:
-    """Stage 2: JSON type names of the document and of the required fields
+    """Stage 1 (after the VARIANT ``_v`` is parsed once): JSON type names of the document and of the required fields
     (NULL = absent, VOID = JSON null)."""
     v = _c(v)
     out = {"_t_top": F.schema_of_variant(v)}
@@ -81,7 +76,7 @@ def type_columns(v="_v") -> dict[str, Column]:
 
 
 def field_columns(v="_v") -> dict[str, Column]:
-    """Stage 3: typed message fields. Expects stages 1 and 2."""
+    """Stage 2: typed message fields. Expects ``_v`` and stage 1."""
     v = _c(v)
     t_value, t_date = F.col("_t_value"), F.col("_t_date")
     value_str = F.try_variant_get(v, "$.value", "string")
@@ -102,8 +97,8 @@ def field_columns(v="_v") -> dict[str, Column]:
 
 
 def message_columns() -> dict[str, Column]:
-    """Stage 4: derived columns and ``reject_reason`` (NULL = accepted), in
-    the reference's order of checks. Expects stages 1-3."""
+    """Stage 3: derived columns and ``reject_reason`` (NULL = accepted), in
+    the reference's order of checks. Expects stages 1 and 2."""
     top = F.col("_t_top")
     types = {f: F.col(f"_t_{f}") for f in MESSAGE_REQUIRED_FIELDS}
     date, value, time_str = F.col("date"), F.col("value"), F.col("observation_time_text")

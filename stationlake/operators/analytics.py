@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.operators.summaries import _avg, _sum
+from stationlake.operators.summaries import _avg
 
 
 def temp_trend(monthly: DataFrame, by: list[str] | None = None, exact_scale: int | None = None) -> DataFrame:

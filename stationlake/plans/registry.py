@@ -74,7 +74,7 @@ from stationlake.operators import tables as TB  # noqa: E402
 from stationlake.operators.joins import semi_join_stations  # noqa: E402
 from stationlake.functions.parse import scale_units  # noqa: E402
 from stationlake.plans.maintenance import compact_observations  # noqa: E402
-from stationlake.schemas import OBSERVATION_COLUMNS, STATION_COLUMNS  # noqa: E402
+from stationlake.schemas import OBSERVATION_COLUMNS  # noqa: E402
 from stationlake.session import scratch_path  # noqa: E402
 from stationlake.sinks import tables as SK  # noqa: E402
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.schemas import OBSERVATION_COLUMNS, STATION_COLUMNS
+from stationlake.schemas import STATION_COLUMNS
 from stationlake.session import scratch_path
 
 _WRITTEN: dict[tuple, str] = {}
@@ -315,10 +315,6 @@ def change_log_table(spark: SparkSession, sf_dir: str) -> str:
     return _written(spark, ("orders-changes", sf_dir), build)
 
 
-def observations_sorted(df: DataFrame) -> DataFrame:
-    return df.select(*OBSERVATION_COLUMNS)
-
-
 def observations_table(spark: SparkSession, sf_dir: str, max_records_per_file: int | None = None) -> str:
     """obs_li appended to a year/month partitioned Parquet folder; returns the
     path. With ``max_records_per_file`` it is written as many small files
