@@ -36,18 +36,25 @@ def main() -> None:
 
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for k in keys:
         fn = REGISTRY[k]
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-        samples = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            samples.append(time.perf_counter() - t0)
-        times[k] = round(statistics.median(samples), 3)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+            samples = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                samples.append(time.perf_counter() - t0)
+            times[k] = round(statistics.median(samples), 3)
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the rest
+            errors[k] = str(e).splitlines()[0][:300]
     sf = os.path.basename(sf_dir).replace("sf", "")
-    print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(sf) if sf else sf, "cpus": int(cpus)}))
+    out = {"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": float(sf) if sf else sf, "cpus": int(cpus)}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 

@@ -5,14 +5,31 @@ Each query runs a library operator over adapters of the whole test tables.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid as _uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.functions.parse import scale_units
+from stationlake.operators import analytics as A
+from stationlake.operators import quality as Q
 from stationlake.operators import summaries as S
-from stationlake.session import configure
+from stationlake.operators import tables as TB
+from stationlake.operators import versions as V
+from stationlake.operators.joins import semi_join_stations
+from stationlake.operators.limits import cap_rows_in_file_order
+from stationlake.plans.jobs import daily_run
+from stationlake.plans.maintenance import compact_observations
+from stationlake.schemas import OBSERVATION_COLUMNS
+from stationlake.session import configure, scratch_path
+from stationlake.sinks import tables as SK
+from stationlake.sources import fixed_width as FW
 from stationlake.sources import fixtures as FX
+from stationlake.sources import messages as M
+from stationlake.sources import observations_csv as OC
+from stationlake.streaming import ingest as STR
 
 # Parameters of the fixture queries (the reference uses 1980-2010 and 2015;
 # the test tables cover 1995-2001).
@@ -64,19 +81,8 @@ def q_temp_anomaly(spark, sf_dir):
                           exact_scale=EXACT, stations=FX.st_sup(spark, sf_dir))
 
 
-# --- step 2: quality, analytics, scans -------------------------------------------
-import datetime as _dt  # noqa: E402
-import uuid as _uuid  # noqa: E402
+# --- quality, analytics, scans ---------------------------------------------------
 
-from stationlake.operators import analytics as A  # noqa: E402
-from stationlake.operators import quality as Q  # noqa: E402
-from stationlake.operators import tables as TB  # noqa: E402
-from stationlake.operators.joins import semi_join_stations  # noqa: E402
-from stationlake.functions.parse import scale_units  # noqa: E402
-from stationlake.plans.maintenance import compact_observations  # noqa: E402
-from stationlake.schemas import OBSERVATION_COLUMNS  # noqa: E402
-from stationlake.session import scratch_path  # noqa: E402
-from stationlake.sinks import tables as SK  # noqa: E402
 
 RUN_DATE = _dt.date(1998, 6, 15)       # dq_row_counts run date
 SCAN_YEAR, SCAN_MONTH = 1998, 1        # partition-filtered scan
@@ -153,7 +159,7 @@ def q_temp_precip_corr(spark, sf_dir):
     return A.temp_precip_corr(_monthly(spark, sf_dir), digits=CORR_DIGITS)
 
 
-# --- step 4: sinks -------------------------------------------------------------
+# --- sinks -----------------------------------------------------------------------
 @register("annual_materialize")
 def q_annual_materialize(spark, sf_dir):
     path = scratch_path(spark, "annual")
@@ -247,10 +253,7 @@ def q_compact_files(spark, sf_dir):
     return SK.read_observations(spark, res["path"])
 
 
-# --- step 3: raw file parsing ----------------------------------------------------
-from stationlake.operators.limits import cap_rows_in_file_order  # noqa: E402
-from stationlake.sources import fixed_width as FW  # noqa: E402
-from stationlake.sources import observations_csv as OC  # noqa: E402
+# --- raw file parsing ------------------------------------------------------------
 
 CAP_ROWS = 1000  # accepted rows kept per year load (reference default 100,000)
 
@@ -299,9 +302,7 @@ def q_reject_report(spark, sf_dir):
                            ("stations", FW.rejects(_parsed_stations(spark, sf_dir))))
 
 
-# --- step 5: messages and streaming ---------------------------------------------
-from stationlake.sources import messages as M  # noqa: E402
-from stationlake.streaming import ingest as STR  # noqa: E402
+# --- messages and streaming -------------------------------------------------------
 
 
 def _validated(spark, sf_dir):
@@ -364,8 +365,7 @@ def q_stream_ingest(spark, sf_dir):
                                                         *OBSERVATION_COLUMNS)
 
 
-# --- step 6: table versions -------------------------------------------------------
-from stationlake.operators import versions as V  # noqa: E402
+# --- table versions ----------------------------------------------------------------
 
 KEY = FX.ORDER_KEY
 ASOF_SNAPSHOT = 3
@@ -452,7 +452,6 @@ def q_expire_retain_last(spark, sf_dir):
 
 
 # --- JOB-1 ----------------------------------------------------------------------
-from stationlake.plans.jobs import daily_run  # noqa: E402
 
 JOB_RUN_DATE = _dt.date(2000, 6, 15)
 
