@@ -17,8 +17,18 @@ from stationlake.session import scratch_path
 _WRITTEN: dict[tuple, str] = {}
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A read-only test table. The DataFrame (with its file listing and
+    footer schema) is reused within a session; every action still plans and
+    reads it afresh."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
