@@ -28,3 +28,23 @@ def test_restart_and_replay_are_idempotent(spark):
     assert first == total
     status = STR.micro_batch_status(spark, log).agg(F.sum("processed"), F.sum("failed")).first()
     assert status[0] + status[1] == total
+
+
+def test_clean_source_removes_consumed_files(spark):
+    src = scratch_path(spark, "landing")
+    spark.read.text(FX.queue_event_dir(spark, SF_SMALL)).repartition(4).write.text(src)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(src)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def data_files():
+        return [s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")]
+
+    before = len(data_files())
+    total = spark.read.text(src).count()
+    log, ckpt = scratch_path(spark, "log"), scratch_path(spark, "ckpt")
+    q = STR.start_ingest(spark, src, log, ckpt, max_files_per_trigger=1, clean_source="delete")
+    q.awaitTermination()
+    assert STR.read_log(spark, log).count() == M.read_queue_events(spark, FX.queue_event_dir(spark, SF_SMALL)).count()
+    assert total > 0 and before > 1
+    assert len(data_files()) < before
