@@ -51,18 +51,20 @@ def parse_number(c, to: str = "double", blank_as_zero: bool = True) -> Column:
     return F.when(t.rlike(pattern), strip_ws(t)).try_cast(to)
 
 
+def _int_slice(t: Column, pos: int, length: int) -> Column:
+    s = F.substring(t, pos, length)
+    return F.when(s.rlike(INT_PATTERN), F.trim(s)).try_cast("int")
+
+
 def parse_yyyymmdd(c) -> Column:
     """YYYYMMDD text to DATE by slicing [0:4], [4:6], [6:8]; trailing text is
-    ignored and a short day such as ``2022011`` reads as day 1."""
+    ignored and a short day such as ``2022011`` reads as day 1. Built from
+    integers (``try_make_timestamp_ntz``), not by formatting and re-parsing
+    text; an impossible date is NULL."""
     t = _c(c)
-    y = F.substring(t, 1, 4)
-    m = F.substring(t, 5, 2)
-    d = F.substring(t, 7, 2)
-    parts_ok = y.rlike(INT_PATTERN) & m.rlike(INT_PATTERN) & d.rlike(INT_PATTERN)
-    yi, mi, di = (strip_ws(p).try_cast("int") for p in (y, m, d))
-    as_text = F.concat_ws("-", F.lpad(yi.cast("string"), 4, "0"), mi.cast("string"),
-                          di.cast("string"))
-    return F.when(parts_ok & (yi >= 1), F.try_to_date(as_text, "yyyy-M-d"))
+    y, m, d = _int_slice(t, 1, 4), _int_slice(t, 5, 2), _int_slice(t, 7, 2)
+    ts = F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0))
+    return F.when(y >= 1, ts.cast("date"))
 
 
 def observation_time_batch(date_col, time_col) -> Column:
