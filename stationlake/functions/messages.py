@@ -35,6 +35,11 @@ STATUS_BY_REASON = {
     "invalid_observation_time": (500, "Error processing message"),
 }
 SUCCESS = (200, "Success")
+# Outcome of a queue event (batch of records).
+BATCH_FAILED_STATUS = 500          # something failed and nothing was processed
+BATCH_OK_STATUS = 200
+BATCH_PARTIAL_MESSAGE = "Processed %d messages, failed %d"
+BATCH_OK_MESSAGE = "Successfully processed %d messages"
 # End fixed values ------------------------------------------------------------
 
 

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.functions.messages import (decode_envelope, field_columns, message_columns,
-                                            status_code, status_message, type_columns)
+from stationlake.functions.messages import (BATCH_FAILED_STATUS, BATCH_OK_MESSAGE, BATCH_OK_STATUS,
+                                            BATCH_PARTIAL_MESSAGE, decode_envelope, field_columns,
+                                            message_columns, status_code, status_message, type_columns)
 from stationlake.functions.frames import freeze
 from stationlake.schemas import OBSERVATION_COLUMNS
 
@@ -76,7 +77,7 @@ def batch_status(validated: DataFrame, batch_col: str) -> DataFrame:
         F.count_if(F.col("reject_reason").isNotNull()).cast("long").alias("failed"))
     return agg.select(
         batch_col, "processed", "failed",
-        F.when((F.col("failed") > 0) & (F.col("processed") == 0), 500).otherwise(200).alias("status_code"),
-        F.when(F.col("failed") > 0,
-               F.format_string("Processed %d messages, failed %d", "processed", "failed"))
-        .otherwise(F.format_string("Successfully processed %d messages", "processed")).alias("status_message"))
+        F.when((F.col("failed") > 0) & (F.col("processed") == 0), BATCH_FAILED_STATUS)
+        .otherwise(BATCH_OK_STATUS).alias("status_code"),
+        F.when(F.col("failed") > 0, F.format_string(BATCH_PARTIAL_MESSAGE, "processed", "failed"))
+        .otherwise(F.format_string(BATCH_OK_MESSAGE, "processed")).alias("status_message"))
