@@ -21,7 +21,10 @@ def cap_rows_in_file_order(df: DataFrame, n: int, group_cols: list[str],
     part = [*group_cols, file_col, block_col]
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(row_col))) \
         .filter(F.col("_rn") <= n)
-    counts = ranked.groupBy(*part).agg(F.count(F.lit(1)).alias("_cnt"))
+    # rows kept per block = min(rows in block, n); counted from the input with
+    # map-side combining (one row per block per task), not from ``ranked``,
+    # so the window and its shuffle run once.
+    counts = df.groupBy(*part).agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("_cnt"))
     before = Window.partitionBy(*group_cols).orderBy(file_col, block_col) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_start"))
