@@ -21,6 +21,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationlake.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, row_count_at_most
+
 
 OPS = ("append", "update", "delete")
 
@@ -80,11 +82,25 @@ def as_of_query(changes: DataFrame, commits: DataFrame, key: list[str], snapshot
     return df
 
 
-def _two_states(changes: DataFrame, key: list[str], early: Column, late: Column | None) -> DataFrame:
+def _only_touched(changes: DataFrame, key: list[str], early: Column, late: Column | None,
+                  max_rows: int) -> DataFrame:
+    """Restrict the log to keys written in (early, late]. Those commits are a
+    partition-pruned slice of the log; when a bounded count proves the slice
+    small, its keys are broadcast to a semi join that filters the log before
+    any shuffle. Otherwise the log is used as is (the aggregation below is
+    still exact)."""
+    recent = _upto(changes, late).filter(F.col("commit_id") > early).select(*key)
+    if row_count_at_most(recent, max_rows):
+        return changes.join(F.broadcast(recent.distinct()), key, "left_semi")
+    return changes
+
+
+def _two_states(changes: DataFrame, key: list[str], early: Column, late: Column | None,
+                max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Per key touched after ``early`` (up to ``late``): the row at ``early``
     and at ``late`` (NULL when absent or deleted), in one aggregation."""
     vals = _value_cols(changes, key)
-    c = _upto(changes, late)
+    c = _upto(_only_touched(changes, key, early, late, max_rows), late)
     row = F.struct(*vals, "op")
     in_early = F.col("commit_id") <= early
     g = c.groupBy(*key).agg(
