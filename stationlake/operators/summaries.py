@@ -108,3 +108,15 @@ def temp_anomaly(monthly: DataFrame, baseline_from: int, baseline_to: int, repor
     return j.select("year", "month", "station_id", "station_name", "country", "state", "latitude",
                     "longitude", "avg_temp", "baseline_temp",
                     (F.col("avg_temp") - F.col("baseline_temp")).alias("temp_anomaly"))
+
+
+def register_views(spark, observations: DataFrame, stations: DataFrame, exact_scale: int | None = None,
+                   prefix: str = "") -> tuple[str, str]:
+    """CREATE OR REPLACE the daily and monthly summary views (session temp
+    views) over the given tables; SQL users can then query them by name and
+    Catalyst inlines them into each query. Returns the two view names."""
+    from stationlake.schemas import DAILY_VIEW, MONTHLY_VIEW
+    daily_name, monthly_name = prefix + DAILY_VIEW, prefix + MONTHLY_VIEW
+    daily_summary(observations, stations).createOrReplaceTempView(daily_name)
+    monthly_summary(spark.table(daily_name), exact_scale=exact_scale).createOrReplaceTempView(monthly_name)
+    return daily_name, monthly_name

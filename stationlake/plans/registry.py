@@ -61,13 +61,17 @@ def _monthly(spark, sf_dir):
 
 @register("daily_summary")
 def q_daily_summary(spark, sf_dir):
-    """Daily pivot of six elements joined to station attributes."""
-    return _daily(spark, sf_dir)
+    """Daily pivot of six elements joined to station attributes, read
+    through its view."""
+    daily, _ = S.register_views(spark, FX.obs_li(spark, sf_dir), FX.st_sup(spark, sf_dir), exact_scale=EXACT)
+    return spark.table(daily)
 
 
 @register("monthly_summary")
 def q_monthly_summary(spark, sf_dir):
-    return _monthly(spark, sf_dir)
+    """Monthly summary, read through its view (defined over the daily view)."""
+    _, monthly = S.register_views(spark, FX.obs_li(spark, sf_dir), FX.st_sup(spark, sf_dir), exact_scale=EXACT)
+    return spark.sql(f"SELECT * FROM {monthly}")
 
 
 @register("annual_summary")
