@@ -49,19 +49,16 @@ def station_id(key: Column) -> Column:
 def obs_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as long-form observations (one row per station, date, element)."""
     li = table(spark, sf_dir, "lineitem")
+    o = obs_li_raw_columns(li)
     date = F.to_date(F.col("l_shipdate"))
-    element = (F.when(F.col("l_linenumber") == 1, "TMAX").when(F.col("l_linenumber") == 2, "TMIN")
-               .when(F.col("l_linenumber") == 3, "TAVG").when(F.col("l_linenumber") == 4, "PRCP")
-               .when(F.col("l_linenumber") == 5, "SNOW").when(F.col("l_linenumber") == 6, "SNWD")
-               .when(F.col("l_linenumber") == 7, "WT01"))
     return li.select(
-        station_id(F.col("l_suppkey")).alias("station_id"),
+        o["station_id"].alias("station_id"),
         date.alias("date"),
-        element.alias("element"),
+        o["element"].alias("element"),
         F.col("l_extendedprice").cast("double").alias("value"),
         F.lit(None).cast("string").alias("measurement_flag"),
-        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("quality_flag"),
-        F.col("l_linestatus").alias("source_flag"),
+        o["quality_flag"].alias("quality_flag"),
+        o["source_flag"].alias("source_flag"),
         F.lit(None).cast("timestamp_ntz").alias("observation_time"),
         F.year(date).alias("year"),
         F.month(date).alias("month"),
@@ -182,11 +179,16 @@ def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.year("l_shipdate").alias("year"), *LINE_ORDER, line.alias("value"))
 
 
+# l_linenumber 1..7 -> element; 7 is an element the daily pivot drops.
+LINE_ELEMENTS = ["TMAX", "TMIN", "TAVG", "PRCP", "SNOW", "SNWD", "WT01"]
+
+
 def obs_li_raw_columns(li: DataFrame) -> dict:
-    element = (F.when(F.col("l_linenumber") == 1, "TMAX").when(F.col("l_linenumber") == 2, "TMIN")
-               .when(F.col("l_linenumber") == 3, "TAVG").when(F.col("l_linenumber") == 4, "PRCP")
-               .when(F.col("l_linenumber") == 5, "SNOW").when(F.col("l_linenumber") == 6, "SNWD")
-               .when(F.col("l_linenumber") == 7, "WT01"))
+    """Columns shared by the observation adapters of lineitem."""
+    element = None
+    for i, e in enumerate(LINE_ELEMENTS, start=1):
+        cond = F.col("l_linenumber") == i
+        element = F.when(cond, e) if element is None else element.when(cond, e)
     return {
         "station_id": station_id(F.col("l_suppkey")),
         "element": element,
