@@ -214,3 +214,73 @@ def expire_commits(commits: DataFrame, oldest_kept: Column) -> DataFrame:
     c = commits.filter(F.col("commit_id") >= oldest_kept)
     return c.withColumn("parent_id", F.when(F.col("commit_id") == oldest_kept, F.lit(None).cast("long"))
                         .otherwise(F.col("parent_id")))
+
+
+# --- writing ----------------------------------------------------------------------
+def reduce_to_one_op_per_key(batch: DataFrame, key: list[str], seq_col: str | None = None) -> DataFrame:
+    """One change per key: the last by ``seq_col`` when given (aggregated
+    partially, so a hot key is cheap); without it, duplicates are an error
+    (their order would be undefined)."""
+    cols = [c for c in batch.columns if c not in (*key, seq_col)]
+    if seq_col is not None:
+        last = batch.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col(seq_col)).alias("_r"))
+        return last.select(*key, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    dup = batch.groupBy(*key).count().filter(F.col("count") > 1).limit(1).count()
+    if dup:
+        raise ValueError("a commit may hold one change per key; pass seq_col to order them")
+    return batch
+
+
+def commit_changes(spark, log_path: str, commits_path: str, batch: DataFrame, key: list[str],
+                   operation: str, seq_col: str | None = None, commit_id: int | None = None,
+                   committed_at: dt.datetime | None = None) -> int:
+    """Append one commit to a change log folder partitioned by commit_id and
+    to its commits table. ``batch`` holds the key, the value columns and
+    ``op`` (append / update / delete). Re-running with the same
+    ``commit_id`` rewrites just that commit's folder (dynamic overwrite), so a
+    retried job does not duplicate it. Returns the commit id."""
+    jvm = spark.sparkContext._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path(commits_path)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    commits = spark.read.parquet(commits_path) if fs.exists(fs_path) else None
+    if commit_id is None:
+        last = commits.agg(F.max("commit_id")).first()[0] if commits is not None else None
+        commit_id = (last or 0) + 1
+    rows = reduce_to_one_op_per_key(batch, key, seq_col)
+    bad = rows.filter(~F.col("op").isin(*OPS)).limit(1).count()
+    if bad:
+        raise ValueError(f"op must be one of {OPS}")
+    (rows.withColumn("commit_id", F.lit(commit_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("commit_id").parquet(log_path))
+    counts = spark.read.parquet(f"{log_path}/commit_id={commit_id}").agg(
+        F.count_if(F.col("op") != "delete").cast("long").alias("added_rows"),
+        F.count_if(F.col("op") != "append").cast("long").alias("deleted_rows"))
+    when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    row = counts.select(F.lit(commit_id).cast("long").alias("commit_id"),
+                        F.lit(commit_id - 1 if commit_id > 1 else None).cast("long").alias("parent_id"),
+                        F.lit(when).cast("timestamp_ntz").alias("committed_at"),
+                        F.lit(operation).alias("operation"), "added_rows", "deleted_rows")
+    if commits is not None:
+        row = row.unionByName(commits.filter(F.col("commit_id") != commit_id))
+    _replace_small_table(spark, row, commits_path)
+    return commit_id
+
+
+def _replace_small_table(spark, df: DataFrame, path: str) -> None:
+    """Rewrite the (small) commits table without reading and writing the same
+    folder in one job: write a new folder, then swap it in."""
+    import uuid
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.new-{uuid.uuid4().hex[:8]}")
+    df.coalesce(1).write.mode("errorifexists").parquet(tmp.toString())
+    if fs.exists(target):
+        old = jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex[:8]}")
+        fs.rename(target, old)
+        fs.rename(tmp, target)
+        fs.delete(old, True)
+    else:
+        fs.rename(tmp, target)

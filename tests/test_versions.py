@@ -102,3 +102,25 @@ def test_bounds_precedence(spark):
     assert one(V.resolve_bound(commits, timestamp=dt.datetime(2020, 1, 4, 12))) == 4
     assert one(V.resolve_bound(commits, minutes_ago=60, now=dt.datetime(2020, 1, 3, 0, 30))) == 2
     assert V.resolve_bound(commits) is None
+
+
+def test_commit_changes_roundtrip(spark):
+    import pytest
+
+    from stationlake.session import scratch_path
+    log, commits = scratch_path(spark, "log"), scratch_path(spark, "commits")
+    b1 = spark.createDataFrame([(1, 1.0, "append"), (2, 2.0, "append")], "k bigint, v double, op string")
+    assert V.commit_changes(spark, log, commits, b1, KEY, "append") == 1
+    b2 = spark.createDataFrame([(1, 5.0, "update", 1), (1, 6.0, "update", 2), (2, 2.0, "delete", 1)],
+                               "k bigint, v double, op string, seq int")
+    assert V.commit_changes(spark, log, commits, b2, KEY, "overwrite", seq_col="seq") == 2
+    # a retried commit 2 rewrites its own folder only
+    assert V.commit_changes(spark, log, commits, b2, KEY, "overwrite", seq_col="seq", commit_id=2) == 2
+    chg = spark.read.schema("k bigint, v double, op string, commit_id bigint").parquet(log)
+    assert chg.count() == 4
+    assert state_of(V.as_of(chg, KEY)) == {1: 6.0}
+    assert state_of(V.as_of(chg, KEY, F.lit(1))) == {1: 1.0, 2: 2.0}
+    c = {r["commit_id"]: r for r in spark.read.parquet(commits).collect()}
+    assert sorted(c) == [1, 2] and c[2]["parent_id"] == 1 and c[2]["deleted_rows"] == 2
+    with pytest.raises(ValueError):
+        V.commit_changes(spark, log, commits, b2.drop("seq"), KEY, "overwrite")
