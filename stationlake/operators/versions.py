@@ -284,3 +284,15 @@ def _replace_small_table(spark, df: DataFrame, path: str) -> None:
         fs.delete(old, True)
     else:
         fs.rename(tmp, target)
+
+
+def restore_to(spark, log_path: str, commits_path: str, key: list[str], to_commit: int,
+               schema: str | None = None) -> int:
+    """Make the latest version equal version ``to_commit`` by appending one
+    new commit (history is kept, so the restore itself can be undone)."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    changes = reader.parquet(log_path)
+    commits = spark.read.parquet(commits_path)
+    new_id = commits.agg(F.max("commit_id")).first()[0] + 1
+    batch = restore_changes(changes, key, F.lit(int(to_commit)), F.lit(new_id)).drop("commit_id")
+    return commit_changes(spark, log_path, commits_path, batch, key, "restore", commit_id=new_id)

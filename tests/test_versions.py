@@ -124,3 +124,18 @@ def test_commit_changes_roundtrip(spark):
     assert sorted(c) == [1, 2] and c[2]["parent_id"] == 1 and c[2]["deleted_rows"] == 2
     with pytest.raises(ValueError):
         V.commit_changes(spark, log, commits, b2.drop("seq"), KEY, "overwrite")
+
+
+def test_restore_to_appends_a_commit(spark):
+    from stationlake.session import scratch_path
+    log, commits = scratch_path(spark, "log"), scratch_path(spark, "commits")
+    sch = "k bigint, v double, op string"
+    V.commit_changes(spark, log, commits, spark.createDataFrame([(1, 1.0, "append"), (2, 2.0, "append")], sch),
+                     KEY, "append")
+    V.commit_changes(spark, log, commits, spark.createDataFrame([(1, 9.0, "update"), (2, 2.0, "delete"),
+                                                                 (3, 3.0, "append")], sch), KEY, "overwrite")
+    new_id = V.restore_to(spark, log, commits, KEY, 1, schema=f"{sch}, commit_id bigint")
+    assert new_id == 3
+    chg = spark.read.schema(f"{sch}, commit_id bigint").parquet(log)
+    assert state_of(V.as_of(chg, KEY)) == {1: 1.0, 2: 2.0}
+    assert state_of(V.as_of(chg, KEY, F.lit(2))) == {1: 9.0, 3: 3.0}
