@@ -74,13 +74,17 @@ def daily_run(spark: SparkSession, stations_path: str, observations_path: str, w
     obs_path = f"{warehouse}/observations"
     obs = SK.read_observations(spark, obs_path)
     dq = Q.dq_row_counts(stations, obs, run_date)
-    monthly = S.monthly_summary(S.daily_summary(obs, stations), exact_scale=exact_scale)
-    annual = S.annual_summary(monthly, exact_scale=exact_scale)
+    def annual_of(o):
+        return S.annual_summary(S.monthly_summary(S.daily_summary(o, stations), exact_scale=exact_scale),
+                                exact_scale=exact_scale)
+
     annual_path = f"{warehouse}/annual"
     if _exists(spark, annual_path):
-        SK.refresh_annual(annual, annual_path, as_of=run_date)
+        # Filter on the partition column so only that year's folders are read;
+        # a filter on the summary's year reaches the scan only as year(date).
+        SK.refresh_annual(annual_of(obs.filter(F.col("year") == run_date.year - 1)), annual_path, as_of=run_date)
     else:
-        SK.materialize_annual(annual, annual_path)
+        SK.materialize_annual(annual_of(obs), annual_path)
     result = {"stations": st_path, "observations": obs_path, "annual": annual_path,
               "rejects": f"{warehouse}/rejects", "dq": dq}
     if compact:

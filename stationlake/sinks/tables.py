@@ -112,7 +112,9 @@ def refresh_annual(annual: DataFrame, path: str, as_of: dt.date | None = None,
                    mode: str = "replace") -> int:
     """Recompute the previous year (relative to ``as_of``, default today) and
     replace only that ``year`` partition. ``mode='append'`` reproduces a
-    plain INSERT. Returns the refreshed year."""
+    plain INSERT. Returns the refreshed year. Build ``annual`` from
+    observations already filtered on their ``year`` partition column, so the
+    scan is pruned to that year (see ``plans.jobs.daily_run``)."""
     year = (as_of or dt.date.today()).year - 1
     part = annual.filter(F.col("year") == year)
     w = part.hint("rebalance", "year").sortWithinPartitions(*ANNUAL_SORT).write.partitionBy("year")

@@ -53,3 +53,16 @@ def test_column_pruning_on_lineitem(spark):
 def test_cap_uses_group_limit(spark):
     p = plan(E.queries()["cap_rows_per_file"](spark, SF_SMALL))
     assert "WindowGroupLimit" in p
+
+
+def test_refresh_input_is_pruned_to_one_year(spark):
+    from pyspark.sql import functions as F
+
+    from stationlake.operators import summaries as S
+    from stationlake.sinks import tables as SK
+    from stationlake.sources import fixtures as FX
+    obs = SK.read_observations(spark, FX.observations_table(spark, SF_SMALL))
+    st = FX.st_sup(spark, SF_SMALL)
+    annual = S.annual_summary(S.monthly_summary(S.daily_summary(obs.filter(F.col("year") == 1999), st)))
+    p = plan(annual)
+    assert "PartitionFilters: [isnotnull(year" in p and "(year = 1999)" in p
