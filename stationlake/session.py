@@ -81,7 +81,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = jdir.get() if jdir.isDefined() else None
     if not d:
-        d = tempfile.mkdtemp(prefix="stationlake-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(intermediate tables are written there)")
+        d = tempfile.mkdtemp(prefix="stationlake-ckpt-")  # local mode (tests) only
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(d)
