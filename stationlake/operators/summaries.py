@@ -29,18 +29,30 @@ def _avg(c: Column, exact_scale: int | None) -> Column:
     return _sum(c, exact_scale) / F.count(c)
 
 
-def daily_pivot(observations: DataFrame) -> DataFrame:
-    """One row per (station_id, date): MAX of each pivoted element."""
+def _partition_cols(df: DataFrame) -> list[str]:
+    return [c for c in ("year", "month") if c in df.columns]
+
+
+def daily_pivot(observations: DataFrame, keep_partitions: bool = False) -> DataFrame:
+    """One row per (station_id, date): MAX of each pivoted element.
+
+    ``keep_partitions``: also group by the table's ``year`` / ``month``
+    partition columns. They are functions of ``date`` (PRJ-2), so the groups
+    are the same, but later filters on the summaries' year/month then reach
+    the scan as partition filters instead of as ``year(date)``."""
     obs = observations.filter(F.col("element").isin(PIVOT_ELEMENTS))
     aggs = [F.max(F.when(F.col("element") == e, F.col("value"))).alias(DAILY_COLUMNS[e])
             for e in PIVOT_ELEMENTS]
-    return obs.groupBy("station_id", "date").agg(*aggs)
+    extra = _partition_cols(observations) if keep_partitions else []
+    return obs.groupBy("station_id", "date", *extra).agg(*aggs)
 
 
 def daily_summary(observations: DataFrame, stations: DataFrame,
-                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Daily pivot joined (inner) to station attributes."""
-    t = daily_pivot(observations)
+                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, keep_partitions: bool = False
+                  ) -> DataFrame:
+    """Daily pivot joined (inner) to station attributes (``keep_partitions``:
+    see ``daily_pivot``)."""
+    t = daily_pivot(observations, keep_partitions)
     s = stations.select("station_id", F.col("name").alias("station_name"), "latitude",
                         "longitude", "elevation", "country", "state")
     return t.join(maybe_broadcast(s, broadcast_max_rows), "station_id")
@@ -48,12 +60,16 @@ def daily_summary(observations: DataFrame, stations: DataFrame,
 
 def monthly_summary(daily: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Monthly averages / extremes / totals per station from the daily rows
-    that have a max, min or precipitation value."""
+    that have a max, min or precipitation value. Uses the daily rows'
+    ``year`` / ``month`` columns when present (partition pruning), else
+    derives them from ``date``."""
     d = daily.filter(F.col("max_temp_celsius").isNotNull() | F.col("min_temp_celsius").isNotNull()
                      | F.col("precipitation_mm").isNotNull())
+    year = F.col("year") if "year" in daily.columns else F.year("date")
+    month = F.col("month") if "month" in daily.columns else F.month("date")
     return d.groupBy(
         "station_id", "station_name", "country", "state", "latitude", "longitude",
-        F.year("date").alias("year"), F.month("date").alias("month"),
+        year.alias("year"), month.alias("month"),
     ).agg(
         _avg(F.col("max_temp_celsius"), exact_scale).alias("avg_max_temp"),
         _avg(F.col("min_temp_celsius"), exact_scale).alias("avg_min_temp"),
@@ -118,5 +134,6 @@ def register_views(spark, observations: DataFrame, stations: DataFrame, exact_sc
     from stationlake.schemas import DAILY_VIEW, MONTHLY_VIEW
     daily_name, monthly_name = prefix + DAILY_VIEW, prefix + MONTHLY_VIEW
     daily_summary(observations, stations).createOrReplaceTempView(daily_name)
-    monthly_summary(spark.table(daily_name), exact_scale=exact_scale).createOrReplaceTempView(monthly_name)
+    monthly_summary(daily_summary(observations, stations, keep_partitions=True),
+                    exact_scale=exact_scale).createOrReplaceTempView(monthly_name)
     return daily_name, monthly_name

@@ -75,8 +75,8 @@ def daily_run(spark: SparkSession, stations_path: str, observations_path: str, w
     obs = SK.read_observations(spark, obs_path)
     dq = Q.dq_row_counts(stations, obs, run_date)
     def annual_of(o):
-        return S.annual_summary(S.monthly_summary(S.daily_summary(o, stations), exact_scale=exact_scale),
-                                exact_scale=exact_scale)
+        daily = S.daily_summary(o, stations, keep_partitions=True)
+        return S.annual_summary(S.monthly_summary(daily, exact_scale=exact_scale), exact_scale=exact_scale)
 
     annual_path = f"{warehouse}/annual"
     if _exists(spark, annual_path):

@@ -56,7 +56,8 @@ def _daily(spark, sf_dir):
 
 
 def _monthly(spark, sf_dir):
-    return S.monthly_summary(_daily(spark, sf_dir), exact_scale=EXACT)
+    daily = S.daily_summary(FX.obs_li(spark, sf_dir), FX.st_sup(spark, sf_dir), keep_partitions=True)
+    return S.monthly_summary(daily, exact_scale=EXACT)
 
 
 @register("daily_summary")

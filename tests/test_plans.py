@@ -67,3 +67,16 @@ def test_refresh_input_is_pruned_to_one_year(spark):
     p = plan(annual)
     import re
     assert re.search(r"PartitionFilters: \[isnotnull\(year#\d+\), \(year#\d+ = 1999\)\]", p)
+
+
+def test_anomaly_year_filters_reach_partition_column(spark):
+    from stationlake.operators import summaries as S
+    from stationlake.sinks import tables as SK
+    from stationlake.sources import fixtures as FX
+    obs = SK.read_observations(spark, FX.observations_table(spark, SF_SMALL))
+    st = FX.st_sup(spark, SF_SMALL)
+    monthly = S.monthly_summary(S.daily_summary(obs, st, keep_partitions=True))
+    p = plan(S.temp_anomaly(monthly, 1995, 1997, 1999, stations=st))
+    import re
+    assert re.search(r"PartitionFilters: \[[^\]]*\(year#\d+ >= 1999\)", p)
+    assert re.search(r"PartitionFilters: \[[^\]]*\(year#\d+ >= 1995\)[^\]]*\(year#\d+ <= 1997\)", p)
