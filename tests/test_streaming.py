@@ -48,3 +48,17 @@ def test_clean_source_removes_consumed_files(spark):
     assert STR.read_log(spark, log).count() == M.read_queue_events(spark, FX.queue_event_dir(spark, SF_SMALL)).count()
     assert total > 0 and before > 1
     assert len(data_files()) < before
+
+
+def test_processing_time_trigger(spark):
+    src = FX.queue_event_dir(spark, SF_SMALL)
+    log, ckpt = scratch_path(spark, "log"), scratch_path(spark, "ckpt")
+    q = STR.start_ingest(spark, src, log, ckpt, max_files_per_trigger=2, available_now=False,
+                         processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert STR.read_log(spark, log).count() == M.read_queue_events(spark, src).count()
+    assert STR.dead_letters(spark, log).count() + STR.accepted_observations(spark, log).count() \
+        == M.read_queue_events(spark, src).count()
