@@ -2,10 +2,13 @@
 
 ``readStream`` of JSON-lines queue events -> one row per record ->
 validation columns -> ``foreachBatch``: the micro-batch is written once,
-partitioned by (batch_id, outcome), with dynamic partition overwrite. A
-replayed batch (``foreachBatch`` is at-least-once) rewrites exactly its own
-partitions, so the log holds each message once. Accepted observations and
-dead letters are two pruned views of the same log. The job is stateless;
+partitioned by (year, month, batch_id, outcome), with dynamic partition
+overwrite. A replayed batch (``foreachBatch`` is at-least-once) rewrites
+exactly its own partitions, so the log holds each message once; reads of a
+month prune to that month's folders (dead letters without a date sit under
+the default partition). Accepted observations and dead letters are two
+pruned views of the same log; periodic compaction merges the per-batch
+files of a month. The job is stateless;
 the checkpoint only tracks which files were consumed.
 """
 
@@ -28,7 +31,7 @@ def write_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
                    F.lit(batch_id).cast("long").alias("batch_id"),
                    F.when(F.col("reject_reason").isNull(), "accepted").otherwise("dead_letter").alias("outcome"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id", "outcome").parquet(log_path))
+     .partitionBy("year", "month", "batch_id", "outcome").parquet(log_path))
 
 
 def start_ingest(spark: SparkSession, source_dir: str, log_path: str, checkpoint: str,
