@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 
 import duckdb
 
@@ -20,7 +21,9 @@ def duck(sf_dir: str):
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.9g}"
+        if math.isnan(v):
+            return "nan"
+        return repr(v) if os.environ.get("STRICT") else f"{v:.9g}"
     if v is None:
         return "NULL"
     if hasattr(v, "isoformat"):
