@@ -213,6 +213,7 @@ UNION ALL
 SELECT 'stations', CASE s_suppkey % 10 WHEN 7 THEN 'short_line' WHEN 3 THEN 'invalid_number' ELSE 'invalid_year' END,
        CAST(COUNT(*) AS BIGINT)
 FROM supplier WHERE s_suppkey % 10 IN (3, 5, 7) GROUP BY 2"""
+# (messages are added to reject_report below, once their oracle CTEs exist)
 ORACLES["src_stations_fixed_width"] = f"""SELECT {_sid('s_suppkey')} AS station_id, s_name AS name,
        CAST((s_suppkey * 37) % 180 - 90 AS DOUBLE) AS latitude,
        CAST((s_suppkey * 53) % 360 - 180 AS DOUBLE) AS longitude,
@@ -357,3 +358,7 @@ ST_FW = ORACLES["src_stations_fixed_width"]
 ORACLES["daily_job"] = (f"WITH {LI_CSV},\nst AS ({ST_FW}),\n"
                         f"obs AS (SELECT * FROM acc WHERE station_id IN (SELECT station_id FROM st)),\n"
                         f"{DAILY},\n{MONTHLY}\n" + ANNUAL_SELECT.format(where=""))
+
+ORACLES["reject_report"] = ORACLES["reject_report"].replace(f"WITH {LI_CSV}", f"WITH {LI_CSV},\n{EV}", 1) + """
+UNION ALL
+SELECT 'messages', reject_reason, CAST(COUNT(*) AS BIGINT) FROM rr WHERE reject_reason IS NOT NULL GROUP BY 2"""

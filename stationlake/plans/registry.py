@@ -304,7 +304,8 @@ def q_cap_rows_per_file(spark, sf_dir):
 @register("reject_report")
 def q_reject_report(spark, sf_dir):
     return Q.reject_report(("observations", OC.rejects(_parsed_csv(spark, sf_dir))),
-                           ("stations", FW.rejects(_parsed_stations(spark, sf_dir))))
+                           ("stations", FW.rejects(_parsed_stations(spark, sf_dir))),
+                           ("messages", M.dead_letters(_validated(spark, sf_dir))))
 
 
 # --- messages and streaming -------------------------------------------------------
