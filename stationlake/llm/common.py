@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+import os
+import tempfile
+import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -24,7 +27,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Input size as the optimizer sees it (file sizes for a scan); no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def buckets_for(df: DataFrame, bytes_per_bucket: int, at_least: int = 8) -> int:
@@ -38,5 +41,21 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def ship(df: DataFrame) -> None:
+    """Give the executors' Python workers this package, once per Spark application.
+
+    Spark's own file distribution carries it, so nothing has to be installed there.
+    """
+    sc = df.sparkSession.sparkContext
+    if getattr(sc, "_package_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), "stationlake.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    sc._package_shipped = True

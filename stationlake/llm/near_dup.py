@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import row_key, written
+from .common import row_key, ship, written
 from .components import connected_components
 
 CHUNK_BYTES = 2 << 20
@@ -197,6 +197,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows get equal results. Other columns of docs are not read. rk is the row
     key of common.row_key. Empty input gives no rows.
     """
+    ship(docs)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                          row_key(id_col, text_col).alias("rk"))
     from pyspark.sql.pandas.types import to_arrow_type

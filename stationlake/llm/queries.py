@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import decontaminate, substring_dedup
 from .near_dup import near_duplicates
 
 
@@ -19,8 +20,18 @@ def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(_documents(spark, sf_dir), width=35)
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dup": op2_near_dup,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op6_decontaminate": op6_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
