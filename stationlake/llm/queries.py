@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, substring_dedup
+from . import decontaminate, quality_rules, substring_dedup
 from .near_dup import near_duplicates
 
 
@@ -15,6 +15,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"), width=3, num=85, den=100)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -29,6 +33,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_near_dup": op2_near_dup,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_decontaminate": op6_decontaminate,
