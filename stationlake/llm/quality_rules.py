@@ -24,11 +24,11 @@ from .common import written
 
 #: Thresholds tried per feature: quantiles of the labelled rows.
 BINS = 48
-MAX_RULES = 12
+MAX_RULES = 8
 MAX_CONDITIONS = 4
 #: A rule must reject this share of bad rows among the pruning rows that it covers, and so many of them.
 MIN_PRECISION = 0.97
-MIN_COVERED = 5
+MIN_COVERED = 3
 
 _SPACE = r"[\x20\x09-\x0D]+"
 STATS = "quality stats"
@@ -134,6 +134,7 @@ def _gain(p: int, n: int, p0: int, n0: int) -> float:
 def learn_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> list[Rule]:
     """Ordered rules that recognise documents labelled 0, learned from all labelled rows.
 
+    Rows that the base rule rejects anyway take no part.
     stats: rows with id and STATS; labels: id, 0 or 1. Labels that are null or
     that contradict each other for one id are left out; without labels of both
     kinds there are no rules.
@@ -141,7 +142,7 @@ def learn_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
     clean = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y is not null")
              .groupBy("id").agg(F.min("y").alias("lo"), F.max("y").alias("hi")).where("lo = hi").select("id", F.col("lo").alias("y")))
     names = list(_features())
-    rows = stats.select(F.col(id_col).alias("id"), *[c.alias(n) for n, c in _features().items()]).join(clean, "id")
+    rows = stats.where(~base_failed()).select(F.col(id_col).alias("id"), *[c.alias(n) for n, c in _features().items()]).join(clean, "id")
     rows = written(rows.select(*names, (F.col("y") == 0).cast("int").alias("bad"),
                                (F.pmod(F.xxhash64("id"), F.lit(3)) != 0).alias("grow")), "labelled")
     shares = [i / BINS for i in range(BINS + 1)]
@@ -154,13 +155,17 @@ def learn_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
     rows = written(rows.select("bad", "grow", bins.alias("bins"), F.array(*names).alias("at")), "binned")
 
     rules: list[Rule] = []
-    while len(rules) < MAX_RULES:
-        rule = _grow(rows, names, cuts)
-        rule = _prune(rows, names, rule) if rule else ()
-        if not rule:
+    for _ in range(MAX_RULES):
+        grown = _grow(rows, names, cuts)
+        if not grown:
             break
-        rules.append(rule)
-        rows = rows.where(~_all([c.on_bins(names.index(c.feature)) for c in rule]))
+        rule = _prune(rows, names, grown)
+        out = _all([c.on_bins(names.index(c.feature)) for c in rule or grown])
+        if rule:
+            rules.append(rule)
+        else:  # not precise on the pruning rows: its growing rows are set aside and growing goes on
+            out = out & F.col("grow")
+        rows = rows.where(~out)
     return rules
 
 
