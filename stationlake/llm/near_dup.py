@@ -13,11 +13,14 @@ for documents that also hold text of their own. c is the overlap that a pair at
 the threshold falls short of with probability under 1e-10 (see `least_overlap`).
 
 Groups of copies are never expanded into pairs. Equal sets collapse into one
-class first. Inside a list, a few pivots are compared with all members, verified
-links are contracted into components, and only lists whose members still lie in
-different components go on, with more pivots; a pivot leaves its lists. The loop
-ends when no list holds two components, so every candidate pair is either
-compared or already connected.
+class first. Inside a list, the member with the most common content (its head)
+is compared with all members, verified links are contracted into components, and
+only lists whose members still lie in different components go on, with more
+pivots; a pivot leaves its lists. Lists with one head become one, and members at
+very different distances from that head cannot be similar (the triangle
+inequality of Jaccard distance), so they are not compared. The loop ends when no
+list holds two components: every candidate pair is compared, excluded by its
+distances, or already connected.
 """
 
 from __future__ import annotations
@@ -114,8 +117,8 @@ def _set_writer(width: int):
     return run
 
 
-def similar(a: np.ndarray, b: np.ndarray, k: int, num: int, den: int) -> bool:
-    """Estimate on the sketch of the union first, then exact: den * |a & b| >= num * |a | b|."""
+def compare(a: np.ndarray, b: np.ndarray, k: int, num: int, den: int) -> tuple[bool, float]:
+    """(linked, Jaccard distance): linked by the estimate on the union's sketch and den * |a & b| >= num * |a | b|."""
     la, lb = a[:k], b[:k]
     both = np.concatenate((la, lb))
     both.sort()
@@ -126,60 +129,68 @@ def similar(a: np.ndarray, b: np.ndarray, k: int, num: int, den: int) -> bool:
         shared = int((both[1:][dup] <= distinct[k - 1]).sum())
     else:
         shared = int(dup.sum())
-    if shared < least_overlap(min(union, k), k, num, den):
-        return False
     common = len(np.intersect1d(a, b, assume_unique=True))
-    return den * common >= num * (len(a) + len(b) - common)
+    union_all = len(a) + len(b) - common
+    likely = shared >= least_overlap(min(union, k), k, num, den)
+    return likely and den * common >= num * union_all, 1 - common / union_all
 
 
 def _verifier(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), k, num, den)
-                  for x, y in zip(batch.column("sa"), batch.column("sb"))]
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)],
-                                             names=["a", "b"])
+            got = [compare(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), k, num, den)
+                   for x, y in zip(batch.column("sa"), batch.column("sb"))]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("a"), batch.column("b"), pa.array([x for x, _ in got], pa.bool_()),
+                pa.array([y for _, y in got], pa.float64())], names=["a", "b", "linked", "distance"])
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _tested(pairs: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
     both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("members").alias("sa")), "a")
             .join(sets.select(F.col("cid").alias("b"), F.col("members").alias("sb")), "b"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(_verifier(k, num, den), "a long, b long")
+    return both.select("a", "b", "sa", "sb").mapInArrow(
+        _verifier(k, num, den), "a long, b long, linked boolean, distance double")
 
 
 def _resolve(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(cid, component) of all classes in lists (v, cid, n)."""
+    """(cid, component) of all classes in lists (key, cid, n, score, distance)."""
     labels = written(lists.select("cid", F.col("cid").alias("component")).distinct(), "labels")
     pivots = 1
     while True:
         here = lists.join(labels, "cid")
-        order = F.xxhash64("cid")
-        open_lists = (here.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                            F.min(order).alias("first"), F.count("*").alias("m"))
-                      .where("lo <> hi").select("v", "first", "m"))
-        # a pivot: the least in hash order, and each member with chance pivots / m
+        order = F.struct("score", F.xxhash64("cid").alias("h"), "cid")
+        open_lists = (here.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                              F.max(order).alias("head"), F.count("*").alias("m"))
+                      .where("lo <> hi").select("key", F.col("head.cid").alias("head"), "m"))
+        # pivots of a list: its head, and each other member with chance pivots / m
         chance = (F.pmod(F.xxhash64("cid", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)) < F.lit(float(pivots)) / F.col("m")
-        active = written(here.join(open_lists, "v")
-                         .select("v", "cid", "n", "component",
-                                 ((order == F.col("first")) | (F.lit(pivots > 1) & chance)).alias("pivot")), "lists")
-        p = active.where("pivot").select("v", F.col("cid").alias("p"), F.col("n").alias("pn"),
-                                         F.col("component").alias("pc"))
-        close = (F.least("n", "pn") * F.lit(den)) >= (F.greatest("n", "pn") * F.lit(num))
-        pairs = (active.join(p, "v").where(F.col("component") != F.col("pc")).where(close)
-                 .select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b")).distinct())
-        links = written(_links(pairs, sets, k, num, den), "links")
+        active = written(here.join(open_lists, "key").withColumn(
+            "pivot", (F.col("cid") == F.col("head")) | (F.lit(pivots > 1) & chance)).drop("m"), "lists")
         if active.isEmpty():
             return labels
-        merged = (links.join(labels.select(F.col("cid").alias("a"), F.col("component").alias("ca")), "a")
-                  .join(labels.select(F.col("cid").alias("b"), F.col("component").alias("cb")), "b")
-                  .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        p = active.where("pivot").select("key", F.col("cid").alias("p"), F.col("n").alias("pn"),
+                                         F.col("component").alias("pc"), F.col("distance").alias("pd"))
+        close = (F.least("n", "pn") * F.lit(den)) >= (F.greatest("n", "pn") * F.lit(num))
+        # Jaccard distance is a metric: two documents at very different distances from a third are far apart
+        apart = F.coalesce(F.abs(F.col("distance") - F.col("pd")) > F.lit((den - num) / den + 1e-9), F.lit(False))
+        pairs = (active.join(p, "key").where(F.col("component") != F.col("pc")).where(close & ~apart)
+                 .select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b")).distinct())
+        tested = written(_tested(pairs, sets, k, num, den), "tested")
+        links = tested.where("linked").select("a", "b")
         if not links.isEmpty():
+            merged = (links.join(labels.select(F.col("cid").alias("a"), F.col("component").alias("ca")), "a")
+                      .join(labels.select(F.col("cid").alias("b"), F.col("component").alias("cb")), "b")
+                      .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
             moved = connected_components(merged).withColumnRenamed("component", "to")
             labels = written(labels.join(moved, labels.component == moved.node, "left")
                              .select("cid", F.coalesce("to", "component").alias("component")), "labels")
-        lists = active.where(~F.col("pivot")).select("v", "cid", "n")
+        # what is left of a list goes on under its head; lists with one head become one
+        rest = (active.where(~F.col("pivot")).groupBy("head", "cid")
+                .agg(F.min("n").alias("n"), F.min("score").alias("score"))
+                .withColumn("a", F.least("head", "cid")).withColumn("b", F.greatest("head", "cid")))
+        lists = rest.join(tested.select("a", "b", "distance"), ["a", "b"], "left").select(
+            F.col("head").alias("key"), "cid", "n", "score", "distance")
         pivots *= PIVOT_GROWTH
 
 
@@ -216,8 +227,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = Window.partitionBy("cid")
     lists = written(values.join(often, "v")
                     .withColumn("shared", F.count("*").over(own))
+                    .withColumn("score", F.sum(F.log2("f")).over(own))
                     .withColumn("rank", F.row_number().over(own.orderBy("f", "v")))
-                    .where(F.col("rank") <= F.col("shared") - c + 1).select("v", "cid", "n"), "lists")
+                    .where(F.col("rank") <= F.col("shared") - c + 1)
+                    .select(F.col("v").alias("key"), "cid", "n", "score", F.lit(None).cast("double").alias("distance")), "lists")
     wanted = lists.select("cid").distinct().join(classes.select("cid", "k1", "k2", "rk"), "cid")
     sets = written(source.select("rk", "text").join(wanted.hint("shuffle_hash"), "rk")
                    .select("cid", "k1", "k2", "text").mapInArrow(_set_writer(width), "cid long, members binary")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, substring_dedup
+from . import decontaminate, pack, quality_rules, substring_dedup
 from .near_dup import near_duplicates
 
 
@@ -28,6 +28,16 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_documents(spark, sf_dir), width=35)
 
 
+def _tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file on the driver; it is a parameter of the operators."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -36,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dup": op2_near_dup,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_packing": op5_packing,
     "op6_decontaminate": op6_decontaminate,
 }
 
