@@ -42,16 +42,14 @@ class Pattern:
     times: int
 
 
-def _price(value: np.ndarray, sizes: np.ndarray, room: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Knapsack by dynamic programming: the pattern of greatest value (room: pieces of each size at most)."""
+def _price(value: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """Knapsack by dynamic programming: the pattern of greatest value."""
     best = np.zeros(capacity + 1)
     took = np.full(capacity + 1, -1)
-    for c in range(1, capacity + 1):
-        fit = np.searchsorted(sizes, c, side="right")
-        if not fit:
-            continue
-        got = best[c - sizes[:fit]] + value[:fit]
-        i = int(np.argmax(got))
+    fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right").tolist()
+    for c in range(int(sizes[0]), capacity + 1):
+        got = best[c - sizes[: fits[c]]] + value[: fits[c]]
+        i = int(got.argmax())
         if got[i] > best[c - 1] + 1e-12:
             best[c], took[c] = got[i], i
         else:
@@ -66,24 +64,30 @@ def _price(value: np.ndarray, sizes: np.ndarray, room: np.ndarray, capacity: int
     return float(best[capacity]), column
 
 
-def solve(demand: dict[int, int], capacity: int, rounds: int = 5000) -> list[Pattern]:
-    """Patterns that hold exactly the demanded pieces; capacity and classes in GRID units."""
+def solve(demand: dict[int, int], capacity: int, gap: float = 1e-3, rounds: int = 1500) -> list[Pattern]:
+    """Patterns that hold exactly the demanded pieces; capacity and classes in GRID units.
+
+    Column generation ends within `gap` of the linear program's optimum (no
+    pattern is worth over 1 + gap), or after `rounds` patterns; either way the
+    patterns cover the demand.
+    """
     classes = sorted(c for c, n in demand.items() if n)
     if not classes:
         return []
     sizes = np.array(classes)
-    need = np.array([demand[c] for c in classes], dtype=float)
+    whole = np.array([demand[c] for c in classes])
     m = len(classes)
+    need = whole * (1 + 1e-4 * np.arange(1, m + 1) / m)  # uneven on purpose: no degenerate steps
     columns = np.diag((capacity // sizes).astype(float))
     inverse = np.diag(1.0 / np.diag(columns))
-    x = inverse @ need
-    for i in range(rounds):
+    x = need / np.diag(columns)
+    for _ in range(rounds):
         dual = inverse.sum(axis=0)
-        worth, column = _price(np.maximum(dual, 0.0), sizes, need, capacity)
-        if worth <= 1 + 1e-7:
+        worth, column = _price(np.maximum(dual, 0.0), sizes, capacity)
+        if worth <= 1 + gap:
             break
         column[dual <= 0] = 0
-        u = inverse @ column
+        u = (inverse * column).sum(axis=1)  # no BLAS: its threads do not suit a busy driver
         ratio = np.where(u > 1e-9, x / np.where(u > 1e-9, u, 1.0), np.inf)
         leave = int(np.argmin(ratio))
         if not np.isfinite(ratio[leave]):
@@ -92,10 +96,8 @@ def solve(demand: dict[int, int], capacity: int, rounds: int = 5000) -> list[Pat
         row = inverse[leave] / u[leave]
         inverse -= np.outer(u, row)
         inverse[leave] = row
-        if i % 100 == 99:
-            inverse = np.linalg.inv(columns)
-        x = np.maximum(inverse @ need, 0.0)
-    left = need.astype(np.int64)
+        x = np.maximum((inverse * need).sum(axis=1), 0.0)
+    left = whole.astype(np.int64)
     out = []
     for j in np.argsort(-x):
         column = columns[:, j].astype(np.int64)
