@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pack, quality_rules, substring_dedup
+from . import decontaminate, pack, quality_rules, substring_dedup, token_files
 from .near_dup import near_duplicates
 
 
@@ -42,12 +42,17 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dup": op2_near_dup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_decontaminate": op6_decontaminate,
+    "op7_token_files": op7_token_files,
 }
 
 ORACLES: dict[str, str] = {}
