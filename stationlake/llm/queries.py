@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pack, quality_rules, substring_dedup, token_files
+from . import decontaminate, pack, quality_rules, substring_dedup, token_files, warc
 from .near_dup import near_duplicates
 
 
@@ -46,6 +46,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dup": op2_near_dup,
@@ -53,6 +57,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_files": op7_token_files,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+                   FROM pages),
+        f AS (SELECT payload_digest, min(page_id) AS lowest FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN f.lowest < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN f.lowest < p.page_id THEN f.lowest END AS refers_to
+        FROM p LEFT JOIN f ON p.payload_bytes >= 100 AND p.payload_digest = f.payload_digest""",
+    "op4_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
+                   FROM documents),
+        s AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+        h AS (SELECT s.doc_id, s.i, array_to_string(d.w[s.i:s.i + 34], ' ') AS t FROM s JOIN d USING (doc_id)),
+        r AS (SELECT t FROM h GROUP BY t HAVING count(*) > 1),
+        g AS (SELECT DISTINCT h.doc_id, unnest(range(h.i, h.i + 35)) AS i FROM h JOIN r USING (t)),
+        k AS (SELECT doc_id, list(i ORDER BY i) AS gone FROM g GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(len(k.gone), 0) AS n_removed,
+               sha256(CASE WHEN k.gone IS NULL THEN array_to_string(d.w, ' ') ELSE coalesce(array_to_string(
+                   list_filter(list_transform(d.w, lambda x, i: CASE WHEN list_contains(k.gone, i) THEN NULL ELSE x END),
+                               lambda x: x IS NOT NULL), ' '), '') END) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
+}
