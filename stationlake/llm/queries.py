@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, pack, quality_rules, substring_dedup, token_files, warc
+from . import decontaminate, html_text, pack, quality_rules, substring_dedup, token_counts, token_files, warc
 from .near_dup import near_duplicates
 
 
@@ -46,6 +46,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.digest(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_files": op7_token_files,
+    "op8_token_counts": op8_token_counts,
     "op9_html_text": op9_html_text,
     "op10_warc": op10_warc,
 }
