@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, pack, quality_rules, substring_dedup, token_counts, token_files, warc
+from . import decontaminate, html_text, language_id, pack, quality_rules, substring_dedup, token_counts, token_files, warc
 from .near_dup import near_duplicates
 
 
@@ -24,6 +24,10 @@ def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_documents(spark, sf_dir))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_documents(spark, sf_dir), width=35)
 
@@ -61,6 +65,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dup": op2_near_dup,
+    "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_decontaminate": op6_decontaminate,
