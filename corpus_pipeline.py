@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as
 Parquet and read again as the next stage's docs. All but the last return the
-columns of documents.
+columns of documents; the last returns the pieces of the packed sequences.
 """
 
 from __future__ import annotations
@@ -10,9 +10,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stationlake.llm.common import written
+from stationlake.llm.common import row_key, written
+from stationlake.llm.decontaminate import contamination
 from stationlake.llm.near_dup import drop_near_duplicates
+from stationlake.llm.pack import pack
+from stationlake.llm.quality_rules import keep_good
+from stationlake.llm.substring_dedup import remove_repeats
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rule or a rule learned from the labels go."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,11 +32,36 @@ def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs, width=5, num=8, den=10)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in passages of 35 words or more that occur elsewhere go; n_chars follows the text."""
+    cut = remove_repeats(docs, width=35).drop("repeat n_words", "repeat kept")
+    n_chars = F.when(F.col("repeat n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more is benchmark text go."""
+    keyed = docs.withColumn("decontaminate key", row_key("doc_id", "text"))
+    judged = contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="decontaminate key")
+    bad = judged.where("contaminated").select("decontaminate key").distinct()
+    return keyed.join(bad, "decontaminate key", "left_anti").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    import public_tokenizers
+    return pack(docs, public_tokenizers.path(TOKENIZER))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
     ("near_dup", near_dup),
+    ("substring_dedup", substring_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
 ]
 
-#: The stages need iteration and learned rules, which SQL cannot state; tests compare each with a plain version.
+#: The stages need iteration, learned rules and a tokenizer, which SQL cannot state; tests compare each with a plain version.
 ORACLE_SQL: str | None = None
 
 
