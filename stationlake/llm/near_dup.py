@@ -14,13 +14,14 @@ the threshold falls short of with probability under 1e-10 (see `least_overlap`).
 
 Groups of copies are never expanded into pairs. Equal sets collapse into one
 class first. Inside a list, the member with the most common content (its head)
-is compared with all members, verified links are contracted into components, and
-only lists whose members still lie in different components go on, with more
-pivots; a pivot leaves its lists. Lists with one head become one, and members at
+is compared with all members, members linked to it take its label, and only lists
+whose members still differ in label go on, with more pivots; a pivot leaves its
+lists. Lists with one head become one, and members at
 very different distances from that head cannot be similar (the triangle
 inequality of Jaccard distance), so they are not compared. The loop ends when no
-list holds two components: every candidate pair is compared, excluded by its
-distances, or already connected.
+list holds two labels: every candidate pair is compared, excluded by its
+distances, or already connected. Connected components are computed once, from
+all links.
 """
 
 from __future__ import annotations
@@ -154,43 +155,43 @@ def _tested(pairs: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> Da
 
 
 def _resolve(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(cid, component) of all classes in lists (key, cid, n, score, distance)."""
-    labels = written(lists.select("cid", F.col("cid").alias("component")).distinct(), "labels")
+    """All links (a, b) found between the classes in lists (key, cid, n, score, distance), but for some inside a component.
+
+    Between rounds a member linked to the head of its list takes the head's
+    label. Equal labels mean connected; labels need not be complete, they only spare
+    comparisons. The components come from all links, at the end.
+    """
+    found = lists.sparkSession.createDataFrame([], "a long, b long")
+    lists = lists.withColumn("label", F.col("cid"))
     pivots = 1
     while True:
-        here = lists.join(labels, "cid")
-        order = F.struct("score", F.xxhash64("cid").alias("h"), "cid")
-        open_lists = (here.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                              F.max(order).alias("head"), F.count("*").alias("m"))
-                      .where("lo <> hi").select("key", F.col("head.cid").alias("head"), "m"))
+        order = F.struct("score", F.xxhash64("cid").alias("h"), "cid", "label")
+        open_lists = (lists.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                               F.max(order).alias("head"), F.count("*").alias("m"))
+                      .where("lo <> hi").select("key", F.col("head.cid").alias("head"), F.col("head.label").alias("top"), "m"))
         # pivots of a list: its head, and each other member with chance pivots / m
         chance = (F.pmod(F.xxhash64("cid", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)) < F.lit(float(pivots)) / F.col("m")
-        active = written(here.join(open_lists, "key").withColumn(
+        active = written(lists.join(open_lists, "key").withColumn(
             "pivot", (F.col("cid") == F.col("head")) | (F.lit(pivots > 1) & chance)).drop("m"), "lists")
         if active.isEmpty():
-            return labels
+            return found
         p = active.where("pivot").select("key", F.col("cid").alias("p"), F.col("n").alias("pn"),
-                                         F.col("component").alias("pc"), F.col("distance").alias("pd"))
+                                         F.col("label").alias("pl"), F.col("distance").alias("pd"))
         close = (F.least("n", "pn") * F.lit(den)) >= (F.greatest("n", "pn") * F.lit(num))
         # Jaccard distance is a metric: two documents at very different distances from a third are far apart
         apart = F.coalesce(F.abs(F.col("distance") - F.col("pd")) > F.lit((den - num) / den + 1e-9), F.lit(False))
-        pairs = (active.join(p, "key").where(F.col("component") != F.col("pc")).where(close & ~apart)
+        pairs = (active.join(p, "key").where(F.col("label") != F.col("pl")).where(close & ~apart)
                  .select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b")).distinct())
         tested = written(_tested(pairs, sets, k, num, den), "tested")
-        links = tested.where("linked").select("a", "b")
-        if not links.isEmpty():
-            merged = (links.join(labels.select(F.col("cid").alias("a"), F.col("component").alias("ca")), "a")
-                      .join(labels.select(F.col("cid").alias("b"), F.col("component").alias("cb")), "b")
-                      .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-            moved = connected_components(merged).withColumnRenamed("component", "to")
-            labels = written(labels.join(moved, labels.component == moved.node, "left")
-                             .select("cid", F.coalesce("to", "component").alias("component")), "labels")
+        found = found.union(tested.where("linked").select("a", "b"))
         # what is left of a list goes on under its head; lists with one head become one
         rest = (active.where(~F.col("pivot")).groupBy("head", "cid")
-                .agg(F.min("n").alias("n"), F.min("score").alias("score"))
+                .agg(F.min("n").alias("n"), F.min("score").alias("score"), F.min("label").alias("label"), F.min("top").alias("top"))
                 .withColumn("a", F.least("head", "cid")).withColumn("b", F.greatest("head", "cid")))
-        lists = rest.join(tested.select("a", "b", "distance"), ["a", "b"], "left").select(
-            F.col("head").alias("key"), "cid", "n", "score", "distance")
+        near = rest.join(tested.select("a", "b", "distance", "linked"), ["a", "b"], "left")
+        # a member linked to its head takes the head's label
+        lists = near.select(F.col("head").alias("key"), "cid", "n", "score", "distance",
+                            F.when(F.col("linked"), F.col("top")).otherwise(F.col("label")).alias("label"))
         pivots *= PIVOT_GROWTH
 
 
@@ -235,7 +236,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(source.select("rk", "text").join(wanted.hint("shuffle_hash"), "rk")
                    .select("cid", "k1", "k2", "text").mapInArrow(_set_writer(width), "cid long, members binary")
                    .dropDuplicates(["cid"]), "sets")
-    labels = _resolve(lists, sets, k, num, den)
+    labels = connected_components(_resolve(lists, sets, k, num, den)).withColumnRenamed("node", "cid")
     member = classes.select("cid", "k1", "k2", "n", "id").join(labels, "cid", "left") \
         .withColumn("component", F.coalesce("component", "cid"))
     lowest = member.groupBy("component").agg(F.min("id").alias("component_id"))
