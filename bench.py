@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "daily_summary", "monthly_summary", "annual_summary", "temp_anomaly",
     "semi_join_stations", "month_distribution", "temp_trend", "precip_year_over_year",
-    "src_observations_csv", "cap_rows_per_file", "reject_report",
+    "src_observations_csv", "reject_report", "daily_job", "stream_ingest", "annual_refresh",
     "validate_messages", "message_batch_status",
     "asof_timestamp", "asof_latest", "version_diff", "expire_older_than",
 ]

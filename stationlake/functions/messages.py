@@ -118,7 +118,7 @@ def message_columns() -> dict[str, Column]:
               .when(~types["value"].rlike(NUMERIC_TYPES) & (types["value"] != "STRING"), "value_wrong_type")
               .when((types["date"] == "STRING") & date.isNull(), "invalid_date")
               .when(types["date"] != "STRING", "date_not_string")
-              .when(stream_time_invalid(time_str), "invalid_observation_time"))
+              .when(stream_time_invalid(date, time_str), "invalid_observation_time"))
     return {
         "observation_time": observation_time_stream(date, time_str),
         "year": F.year(date),

@@ -16,11 +16,12 @@ from stationlake.schemas import TENTHS_ELEMENTS
 NUMBER_PATTERN = (r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?"
                   r"|(?i:nan|inf|infinity))\s*$")
 INT_PATTERN = r"^\s*[+-]?\d+\s*$"
-# Observation time shapes accepted after a date: HHmm, HH:mm, HH.
+# Observation time shapes accepted after a date: HHmm, HH, H:m and H:m:s.
 TIME_PATTERNS = {
     "hhmm": r"^([01]\d|2[0-3])[0-5]\d$",
     "hh_colon_mm": r"^([01]\d|2[0-3]):[0-5]\d$",
     "hh": r"^([01]\d|2[0-3])$",
+    "parts": r"^\d{1,2}:[0-5]?\d(:[0-5]?\d)?$",  # one or two digits each, seconds if given
 }
 # Streamed times are cast together with the date: HH:mm or HH:mm:ss.
 STREAM_TIME_PATTERN = r"^\s*\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?\s*$"
@@ -70,8 +71,9 @@ def parse_yyyymmdd(c) -> Column:
 def observation_time_batch(date_col, time_col) -> Column:
     """Observation time of a batch row as TIMESTAMP_NTZ.
 
-    ``2400`` is midnight of the next day; ``HHmm``, ``HH:mm`` and ``HH`` are
-    read on the row's date; anything else (and empty) is NULL, row kept.
+    ``2400`` is midnight of the next day; ``HHmm``, ``HH``, ``H:m`` and
+    ``H:m:s`` (one or two digits) are read on the row's date; anything else
+    (and empty) is NULL, row kept.
     """
     d, t = _c(date_col), _c(time_col)
     day = F.date_format(d, "yyyy-MM-dd")
@@ -81,6 +83,9 @@ def observation_time_batch(date_col, time_col) -> Column:
                 F.to_timestamp_ntz(F.concat_ws(" ", day, hhmm), F.lit("yyyy-MM-dd HH:mm")))
           .when(t.rlike(TIME_PATTERNS["hh_colon_mm"]),
                 F.to_timestamp_ntz(F.concat_ws(" ", day, t), F.lit("yyyy-MM-dd HH:mm")))
+          .when(t.rlike(TIME_PATTERNS["parts"]), F.try_make_timestamp_ntz(
+              F.year(d), F.month(d), F.dayofmonth(d), *[F.coalesce(F.get(F.split(t, ":"), F.lit(i)).try_cast("int"), F.lit(0))
+                                                       for i in range(3)]))
           .when(t.rlike(TIME_PATTERNS["hh"]),
                 F.to_timestamp_ntz(F.concat_ws(" ", day, t), F.lit("yyyy-MM-dd HH"))))
     return F.when(d.isNotNull(), ts)
@@ -95,10 +100,10 @@ def observation_time_stream(date_col, time_col) -> Column:
                F.concat_ws(" ", F.date_format(d, "yyyy-MM-dd"), F.trim(t)).try_cast("timestamp_ntz")))
 
 
-def stream_time_invalid(time_col) -> Column:
-    """True when a streamed time is present but cannot be read."""
+def stream_time_invalid(date_col, time_col) -> Column:
+    """True when a streamed time is present but cannot be read (``25:00`` too)."""
     t = _c(time_col)
-    return t.isNotNull() & (t != "") & ~F.coalesce(t.rlike(STREAM_TIME_PATTERN), F.lit(False))
+    return t.isNotNull() & (t != "") & observation_time_stream(date_col, time_col).isNull()
 
 
 def scale_units(element_col, value_col) -> Column:

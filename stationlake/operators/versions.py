@@ -70,7 +70,7 @@ def as_of(changes: DataFrame, key: list[str], bound: Column | None = None,
 
 
 def as_of_query(changes: DataFrame, commits: DataFrame, key: list[str], snapshot_id=None, timestamp=None,
-                minutes_ago=None, now=None, where: str | None = None, limit: int | None = 10,
+                minutes_ago=None, now=None, where: str | None = None, limit: int | None = None,
                 order_by: list[str] | None = None) -> DataFrame:
     """As-of read + optional WHERE text (parsed as one expression) + LIMIT.
     With ``order_by`` (default: the key) the limit is a distributed top-k."""

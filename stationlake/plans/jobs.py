@@ -6,8 +6,9 @@ whole input; the driver only sees paths, commit ids and counts.
 
 Layout under ``warehouse`` (a shared folder):
   stations/                       current station table (replaced per load)
-  observations/year=/month=/      observation table; a year load replaces
-                                  only the months it contains
+  observations/load_id=/year=/month=/
+                                  observation table; a load replaces only its
+                                  own rows, other loads of the same months stay
   rejects/source=/load_id=/       rejected lines with their reason
   annual/year=/                   annual summary table
 """
@@ -15,6 +16,7 @@ Layout under ``warehouse`` (a shared folder):
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +24,8 @@ from pyspark.sql import functions as F
 
 from stationlake.operators import quality as Q
 from stationlake.operators import summaries as S
-from stationlake.operators.limits import cap_rows_in_file_order
 from stationlake.plans.maintenance import compact_observations
-from stationlake.schemas import OBSERVATION_COLUMNS, PARTITION_COLUMNS
+from stationlake.schemas import PARTITION_COLUMNS
 from stationlake.sinks import tables as SK
 from stationlake.sources import fixed_width as FW
 from stationlake.sources import observations_csv as OC
@@ -50,30 +51,48 @@ def load_stations(spark: SparkSession, path: str, warehouse: str, load_id: str)
     return target
 
 
-def load_observations(spark: SparkSession, path: str, warehouse: str, load_id: str,
-                      stations: DataFrame | None = None, cap: int | None = None,
-                      on_bad_value: str = "reject") -> None:
+def source_load_id(path: str, year: int | None) -> str:
+    """Load id of a source: the same files and year load again under the same
+    id and replace their rows; other files add theirs."""
+    return hashlib.sha256(f"{path}|{year}".encode()).hexdigest()[:16]
+
+
+def load_observations(spark: SparkSession, path: str, warehouse: str, load_id: str | None = None,
+                      stations: DataFrame | None = None, year: int | None = None,
+                      on_bad_value: str = "reject") -> str:
+    """Load one source; ``year``: only that year's rows. Returns the load id."""
+    load_id = load_id or source_load_id(path, year)
     parsed = OC.read_observations_csv(spark, path, stations=stations, on_bad_value=on_bad_value)
-    acc = OC.accepted(parsed, keep_position=cap is not None)
-    if cap is not None:
-        acc = cap_rows_in_file_order(acc, cap, ["year"]).select(*OBSERVATION_COLUMNS)
+    acc = OC.accepted(parsed)
+    if year is not None:
+        acc = acc.filter(F.col("year") == year)
     out = SK.conform(acc, SK.OBSERVATIONS_SCHEMA).hint("rebalance", *PARTITION_COLUMNS)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITION_COLUMNS).parquet(f"{warehouse}/observations"))
+    (out.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS)
+     .parquet(f"{warehouse}/observations/load_id={load_id}"))
     write_rejects(OC.rejects(parsed), warehouse, "observations", load_id)
+    return load_id
 
 
 def daily_run(spark: SparkSession, stations_path: str, observations_path: str, warehouse: str,
-              run_date: dt.date, filter_stations: bool = False, cap: int | None = None,
-              on_bad_value: str = "reject", compact: bool = False, exact_scale: int | None = None) -> dict:
-    load_id = run_date.isoformat()
-    st_path = load_stations(spark, stations_path, warehouse, load_id)
+              run_date: dt.date, filter_stations: bool = False, year: int | None = None, all_years: bool = False,
+              stations_only: bool = False, on_bad_value: str = "reject", compact: bool = False,
+              exact_scale: int | None = None) -> dict:
+    """The daily run. ``year``: the observation year to load (default: the year
+    before ``run_date``; ``all_years``: every year of the files);
+    ``stations_only``: load the stations and stop. The data-quality counts are
+    computed before the refresh."""
+    st_path = load_stations(spark, stations_path, warehouse, run_date.isoformat())
+    if stations_only:
+        return {"stations": st_path, "rejects": f"{warehouse}/rejects"}
     stations = SK.read_stations(spark, st_path)
-    load_observations(spark, observations_path, warehouse, load_id,
-                      stations=stations if filter_stations else None, cap=cap, on_bad_value=on_bad_value)
+    wanted = None if all_years else (year or run_date.year - 1)
+    load_observations(spark, observations_path, warehouse, year=wanted,
+                      stations=stations if filter_stations else None, on_bad_value=on_bad_value)
     obs_path = f"{warehouse}/observations"
     obs = SK.read_observations(spark, obs_path)
     dq = Q.dq_row_counts(stations, obs, run_date)
+    dq = spark.createDataFrame(dq.collect(), dq.schema)  # counted here, before the refresh; one row a table
+
     def annual_of(o):
         daily = S.daily_summary(o, stations, keep_partitions=True)
         return S.annual_summary(S.monthly_summary(daily, exact_scale=exact_scale), exact_scale=exact_scale)

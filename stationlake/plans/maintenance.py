@@ -21,7 +21,7 @@ def compact_observations(spark: SparkSession, path: str, new_path: str,
     before = spark.conf.get(key, None)
     spark.conf.set(key, str(target_file_bytes))
     try:
-        (old.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions("station_id", "date")
+        (old.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*PARTITION_COLUMNS, "station_id", "date")
          .write.mode("errorifexists").partitionBy(*PARTITION_COLUMNS).parquet(new_path))
     finally:
         if before is None:

@@ -200,10 +200,6 @@ SELECT station_id,
        CASE WHEN d = 2 THEN NULL ELSE date END AS date
 FROM li WHERE d <> 0"""
 ORACLES["observation_time_batch"] = f"WITH {LI_CSV}\nSELECT station_id, date, element, time_text, observation_time FROM acc"
-ORACLES["cap_rows_per_file"] = f"""WITH {LI_CSV}
-SELECT {OBS_COLS} FROM (
-  SELECT *, row_number() OVER (PARTITION BY year ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate,
-                                               l_quantity, l_returnflag, l_linestatus) AS rn FROM acc) WHERE rn <= 1000"""
 ORACLES["reject_report"] = f"""WITH {LI_CSV}
 SELECT 'observations' AS source,
        CASE d WHEN 0 THEN 'too_few_fields' WHEN 2 THEN 'invalid_date' ELSE 'invalid_value' END AS reject_reason,

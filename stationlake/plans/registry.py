@@ -19,7 +19,6 @@ from stationlake.operators import summaries as S
 from stationlake.operators import tables as TB
 from stationlake.operators import versions as V
 from stationlake.operators.joins import semi_join_stations
-from stationlake.operators.limits import cap_rows_in_file_order
 from stationlake.plans.jobs import daily_run
 from stationlake.plans.maintenance import compact_observations
 from stationlake.schemas import OBSERVATION_COLUMNS
@@ -220,7 +219,9 @@ def _fresh_db(spark):
 def q_sink_create_table(spark, sf_dir):
     db, loc = _fresh_db(spark)
     SK.create_tables(spark, db, loc)
-    SK.create_tables(spark, db, loc, recreate=True)  # drop and recreate
+    SK.append_stations(FX.st_sup(spark, sf_dir), f"{db}.stations", is_table=True)
+    SK.append_observations(FX.obs_li(spark, sf_dir), f"{db}.observations", is_table=True)
+    SK.create_tables(spark, db, loc, recreate=True)  # drops the filled tables with their rows
     SK.append_stations(FX.st_sup(spark, sf_dir), f"{db}.stations", is_table=True)
     SK.append_observations(FX.obs_li(spark, sf_dir), f"{db}.observations", is_table=True)
     counts = [spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).cast("long").alias("row_count"))
@@ -260,9 +261,6 @@ def q_compact_files(spark, sf_dir):
 
 # --- raw file parsing ------------------------------------------------------------
 
-CAP_ROWS = 1000  # accepted rows kept per year load (reference default 100,000)
-
-
 def _parsed_csv(spark, sf_dir):
     return OC.read_observations_csv(spark, FX.observation_files(spark, sf_dir))
 
@@ -295,12 +293,6 @@ def q_observation_time_batch(spark, sf_dir):
         .select("station_id", "date", "element", "time_text", "observation_time")
 
 
-@register("cap_rows_per_file")
-def q_cap_rows_per_file(spark, sf_dir):
-    acc = OC.accepted(_parsed_csv(spark, sf_dir), keep_position=True)
-    return cap_rows_in_file_order(acc, CAP_ROWS, ["year"]).select(*OBSERVATION_COLUMNS)
-
-
 @register("reject_report")
 def q_reject_report(spark, sf_dir):
     return Q.reject_report(("observations", OC.rejects(_parsed_csv(spark, sf_dir))),
@@ -466,5 +458,5 @@ JOB_RUN_DATE = _dt.date(2000, 6, 15)
 def q_daily_job(spark, sf_dir):
     """The whole daily run over the raw files; returns the annual table."""
     res = daily_run(spark, FX.station_file(spark, sf_dir), FX.observation_files(spark, sf_dir),
-                    scratch_path(spark, "warehouse"), JOB_RUN_DATE, filter_stations=True, exact_scale=EXACT)
+                    scratch_path(spark, "warehouse"), JOB_RUN_DATE, filter_stations=True, all_years=True, exact_scale=EXACT)
     return SK.read_annual(spark, res["annual"], S.ANNUAL_COLUMNS)

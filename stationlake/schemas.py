@@ -58,7 +58,6 @@ STATE_COUNTRY = "US"
 # Required message fields, in the order they are checked.
 MESSAGE_REQUIRED_FIELDS = ["station_id", "date", "element", "value"]
 # Default rows returned by the time-travel query helper.
-DEFAULT_LIMIT = 10
 # View names of the daily and monthly summaries.
 DAILY_VIEW = "daily_weather_summary"
 MONTHLY_VIEW = "monthly_climate_summary"

@@ -27,8 +27,9 @@ def create_database(spark: SparkSession, db: str, location: str) -> None:
 
 def create_tables(spark: SparkSession, db: str, location: str, recreate: bool = False) -> list[str]:
     """Create ``db.stations`` and ``db.observations`` (partitioned by year,
-    month) as Parquet tables under ``location``. Existing tables are kept
-    unless ``recreate`` is set. Returns the table names."""
+    month) as managed Parquet tables under ``location``. Existing tables are
+    kept unless ``recreate`` is set, which drops them with their rows. Returns
+    the table names."""
     create_database(spark, db, location)
     names = []
     for name, schema, parts in (("stations", STATIONS_SCHEMA, None),
@@ -38,8 +39,7 @@ def create_tables(spark: SparkSession, db: str, location: str, recreate: bool =
             spark.sql(f"DROP TABLE IF EXISTS {full}")
         if not spark.catalog.tableExists(f"{db}.{name}"):
             part = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-            spark.sql(f"CREATE TABLE {full} ({_ddl(schema)}) USING parquet{part} "
-                      f"LOCATION '{location}/{name}'")
+            spark.sql(f"CREATE TABLE {full} ({_ddl(schema)}) USING parquet{part}")
         names.append(f"{db}.{name}")
     return names
 
@@ -99,12 +99,14 @@ def register_files(spark: SparkSession, table: str) -> None:
 
 
 ANNUAL_SORT = ["country", "state", "station_id", "year"]
+# Partition columns lead a file sort: otherwise the writer sorts by them itself and the order inside is lost.
+ANNUAL_FILE_SORT = ["year", "country", "state", "station_id"]
 
 
 def materialize_annual(annual: DataFrame, path: str) -> None:
     """CTAS equivalent: Parquet partitioned by year, rows sorted inside each
     file by (country, state, station_id) for min/max skipping."""
-    (annual.hint("rebalance", "year").sortWithinPartitions(*ANNUAL_SORT)
+    (annual.hint("rebalance", "year").sortWithinPartitions(*ANNUAL_FILE_SORT)
      .write.mode("overwrite").partitionBy("year").parquet(path))
 
 
@@ -117,7 +119,7 @@ def refresh_annual(annual: DataFrame, path: str, as_of: dt.date | None = None,
     scan is pruned to that year (see ``plans.jobs.daily_run``)."""
     year = (as_of or dt.date.today()).year - 1
     part = annual.filter(F.col("year") == year)
-    w = part.hint("rebalance", "year").sortWithinPartitions(*ANNUAL_SORT).write.partitionBy("year")
+    w = part.hint("rebalance", "year").sortWithinPartitions(*ANNUAL_FILE_SORT).write.partitionBy("year")
     if mode == "append":
         w.mode("append").parquet(path)
     else:

@@ -44,7 +44,7 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
     keep = [c for c in ("_file", "_block", "_row") if c in lines.columns]
     line = F.col("value")
     a = lines.select(line.alias("raw_line"), *keep, csv_field_count(line).alias("_n"),
-                     F.from_csv(line, CSV_SCHEMA, {"mode": "PERMISSIVE"}).alias("_rec"))
+                     F.from_csv(line, CSV_SCHEMA, {"mode": "PERMISSIVE", "escape": '"'}).alias("_rec"))
     b = a.select("raw_line", *keep, "_n",
                  *[F.coalesce(F.col(f"_rec.{name}"), F.lit("")).alias(name) for name in FIELDS])
     c = b.select("*", parse_yyyymmdd(F.col("date_text")).alias("date"),

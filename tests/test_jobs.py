@@ -20,7 +20,7 @@ from tests.conftest import SF_SMALL
 def test_daily_job_rerun_is_idempotent(spark):
     wh = scratch_path(spark, "wh")
     args = (FX.station_file(spark, SF_SMALL), FX.observation_files(spark, SF_SMALL), wh, dt.date(2000, 6, 15))
-    first = daily_run(spark, *args)
+    first = daily_run(spark, *args, all_years=True)
     n_obs = SK.read_observations(spark, first["observations"]).count()
     n_annual = spark.read.parquet(first["annual"]).count()
     n_rej = spark.read.parquet(first["rejects"]).count()
@@ -28,7 +28,7 @@ def test_daily_job_rerun_is_idempotent(spark):
     assert n_obs == OC.accepted(parsed).count()
     st = FW.read_stations_fixed_width(spark, FX.station_file(spark, SF_SMALL))
     assert n_rej == OC.rejects(parsed).count() + FW.rejects(st).count()
-    again = daily_run(spark, *args)
+    again = daily_run(spark, *args, all_years=True)
     assert SK.read_observations(spark, again["observations"]).count() == n_obs
     assert spark.read.parquet(again["annual"]).count() == n_annual
     assert spark.read.parquet(again["rejects"]).count() == n_rej
@@ -36,6 +36,48 @@ def test_daily_job_rerun_is_idempotent(spark):
     assert dq["stations"] == FW.accepted(st).count()
 
 
+def _one_line_file(tmp_path, name, *lines):
+    (tmp_path / name).write_text("".join(x + "\n" for x in lines))
+    return str(tmp_path / name)
+
+
+def test_two_files_of_one_month_add_up(spark, tmp_path):
+    st, run = FX.station_file(spark, SF_SMALL), dt.date(2000, 6, 15)
+    wh = scratch_path(spark, "wh")
+    a = _one_line_file(tmp_path, "a.csv", "S1,19990105,TMAX,100,,,a,", "S1,19980105,TMAX,100,,,a,")
+    b = _one_line_file(tmp_path, "b.csv", "S2,19990106,TMIN,-20,,,a,")
+    for f in (a, b, a):  # loading a source again replaces its rows only
+        res = daily_run(spark, st, f, wh, run)
+    rows = SK.read_observations(spark, res["observations"]).select("station_id", "year").collect()
+    assert sorted(map(tuple, rows)) == [("S1", 1999), ("S2", 1999)]  # the year before the run
+    assert sorted(r["station_id"] for r in SK.read_observations(
+        spark, daily_run(spark, st, a, scratch_path(spark, "wh"), run, year=1998)["observations"]).collect()) == ["S1"]
+    only = daily_run(spark, st, a, scratch_path(spark, "wh"), run, stations_only=True)
+    assert "observations" not in only and SK.read_stations(spark, only["stations"]).count() > 0
+
+
+def test_recreate_drops_the_rows(spark):
+    import uuid
+    db = f"recreate_{uuid.uuid4().hex[:8]}"
+    loc = scratch_path(spark, db)
+    SK.create_tables(spark, db, loc)
+    for _ in range(2):
+        SK.append_stations(FX.st_sup(spark, SF_SMALL), f"{db}.stations", is_table=True)
+        n = spark.table(f"{db}.stations").count()
+        SK.create_tables(spark, db, loc, recreate=True)
+        assert n == FX.st_sup(spark, SF_SMALL).count() and spark.table(f"{db}.stations").count() == 0
+    spark.sql(f"DROP DATABASE `{db}` CASCADE")
+
+
+def test_annual_files_are_sorted(spark):
+    path = scratch_path(spark, "annual")
+    monthly = S.monthly_summary(S.daily_summary(FX.obs_li(spark, SF_SMALL), FX.st_sup(spark, SF_SMALL)))
+    SK.materialize_annual(S.annual_summary(monthly), path)
+    for f in spark.read.parquet(path).inputFiles():
+        rows = [tuple((x is not None, x) for x in r) for r in spark.read.parquet(f).select("country", "state", "station_id").collect()]
+        assert rows == sorted(rows)
+
+
 def test_refresh_replaces_one_year(spark):
     path = scratch_path(spark, "annual")
     monthly = S.monthly_summary(S.daily_summary(FX.obs_li(spark, SF_SMALL), FX.st_sup(spark, SF_SMALL)))

@@ -44,7 +44,7 @@ def test_batch_observation_time(spark, time, expected):
 @pytest.mark.parametrize("time,expected", [
     ("07:30", dt.datetime(2024, 1, 5, 7, 30)),
     ("07:30:15", dt.datetime(2024, 1, 5, 7, 30, 15)),
-    ("", None), (None, None), ("2400", None), ("0700", None), ("15", None),
+    ("", None), (None, None), ("2400", None), ("0700", None), ("15", None), ("25:00", None),
 ])
 def test_stream_observation_time(spark, time, expected):
     df = spark.createDataFrame([(dt.date(2024, 1, 5), time)], "d date, t string")
@@ -60,6 +60,27 @@ def test_numbers(spark, text, to, expected):
     assert one(spark, parse_number(F.col("x"), to), text) == expected
 
 
+@pytest.mark.parametrize("time,hour,minute,second", [
+    ("07:00:05", 7, 0, 5), ("7:00", 7, 0, 0), ("7:5", 7, 5, 0), ("23:59:59", 23, 59, 59)])
+def test_batch_times_of_one_or_two_digits(spark, time, hour, minute, second):
+    df = spark.createDataFrame([(dt.date(2022, 1, 15), time)], "d date, t string")
+    assert df.select(observation_time_batch("d", "t").alias("r")).first()["r"] == dt.datetime(2022, 1, 15, hour, minute, second)
+
+
+def test_unreadable_stream_time_is_invalid(spark):
+    from stationlake.functions.parse import stream_time_invalid
+    df = spark.createDataFrame([(dt.date(2022, 1, 15), t) for t in ("25:00", "x", "07:00", "", None)], "d date, t string")
+    assert [r[0] for r in df.select(stream_time_invalid("d", "t")).collect()] == [True, True, False, False, False]
+
+
+def test_quoted_fields(spark):
+    from stationlake.sources.observations_csv import parse_observation_lines
+    lines = ['"A""B",20200101,"TM,AX",1.5,m,q,s,', '"x\\",20200101,TMAX,2,"q,r",,,']
+    got = parse_observation_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [(r.station_id, r.element, r.measurement_flag, r.reject_reason) for r in got] == [
+        ('A"B', "TM,AX", "m", None), ("x\\", "TMAX", "q,r", None)]
+
+
 def test_strip_removes_all_whitespace(spark):
     assert one(spark, strip_ws(F.col("x")), "\t ab c \n") == "ab c"
 

@@ -50,11 +50,6 @@ def test_column_pruning_on_lineitem(spark):
     assert "ReadSchema: struct<l_suppkey:bigint,l_linenumber:int,l_extendedprice:double,l_shipdate:timestamp_ntz>" in p
 
 
-def test_cap_uses_group_limit(spark):
-    p = plan(E.queries()["cap_rows_per_file"](spark, SF_SMALL))
-    assert "WindowGroupLimit" in p
-
-
 def test_refresh_input_is_pruned_to_one_year(spark):
     from pyspark.sql import functions as F
 
