@@ -20,6 +20,7 @@ DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
 # 400 = rejected by validation, 500 = failed while storing; valid -> 200.
 STATUS_BY_REASON = {
     "invalid_json": (400, "Error: Invalid JSON in message"),
+    "invalid_event_format": (400, "Invalid event format"),
     "not_an_object": (400, "Error: Invalid message format or data"),
     "missing_station_id": (400, "Error: Invalid message format or data"),
     "missing_date": (400, "Error: Invalid message format or data"),
@@ -62,10 +63,6 @@ def decode_envelope(body, data=None) -> Column:
     return F.when(data.isNotNull(), F.coalesce(decoded, data)).otherwise(b)
 
 
-def is_envelope(body) -> Column:
-    return envelope_data(body).isNotNull()
-
-
 def _type(v: Column, field: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
 

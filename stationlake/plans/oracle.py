@@ -241,6 +241,9 @@ acc_msgs AS (
          CASE WHEN c = 6 THEN NULL ELSE date_trunc('minute', ts) END AS observation_time, year, month
   FROM rr WHERE reject_reason IS NULL)"""
 
+# Records of queue events: an envelope inside a record is not decoded, so it lacks the fields.
+EVQ = EV.replace("WHEN 12 THEN 'not_an_object' END", "WHEN 12 THEN 'not_an_object' WHEN 5 THEN 'missing_station_id' END")
+
 ORACLES["validate_messages"] = f"WITH {EV}\nSELECT event_id, reject_reason FROM rr"
 ORACLES["message_status"] = f"""WITH {EV}
 SELECT event_id, reject_reason,
@@ -253,7 +256,7 @@ SELECT event_id, reject_reason,
                  THEN 'Error processing message'
             ELSE 'Error: Invalid message format or data' END AS status_message
 FROM rr"""
-ORACLES["message_batch_status"] = f"""WITH {EV},
+ORACLES["message_batch_status"] = f"""WITH {EVQ},
 b AS (SELECT event_id // 10 AS batch_id, CAST(COUNT(*) FILTER (WHERE reject_reason IS NULL) AS BIGINT) AS processed,
              CAST(COUNT(*) FILTER (WHERE reject_reason IS NOT NULL) AS BIGINT) AS failed
       FROM rr GROUP BY event_id // 10)
@@ -270,9 +273,9 @@ ORACLES["observation_time_stream"] = f"""WITH {EV}
 SELECT event_id, CASE c WHEN 6 THEN '' WHEN 8 THEN '2400' ELSE strftime(ts, '%H:%M') END AS observation_time_text,
        CASE WHEN c IN (6, 8) THEN NULL ELSE date_trunc('minute', ts) END AS observation_time
 FROM rr WHERE reject_reason IS NULL OR reject_reason = 'invalid_observation_time'"""
-ORACLES["src_json_file"] = f"WITH {EV}\nSELECT {OBS_COLS} FROM acc_msgs"
-ORACLES["src_message_batch"] = f"WITH {EV}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"
-ORACLES["stream_ingest"] = f"WITH {EV}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"
+ORACLES["src_json_file"] = f"WITH {EVQ}\nSELECT {OBS_COLS} FROM acc_msgs"
+ORACLES["src_message_batch"] = f"WITH {EVQ}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"
+ORACLES["stream_ingest"] = f"WITH {EVQ}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"
 
 
 # Order change log: commits 1..7 append a year each, 8 deletes, 9 updates.

@@ -321,8 +321,7 @@ def q_message_status(spark, sf_dir):
 def q_message_batch_status(spark, sf_dir):
     """Queue events read from the landing folder; outcome per event."""
     recs = M.read_queue_events(spark, FX.queue_event_dir(spark, sf_dir))
-    v = M.validate_messages(recs).withColumn(
-        "batch_id", F.floor(F.col("message_id").cast("long") / FX.QUEUE_BATCH_SIZE))
+    v = M.validate_messages(recs).withColumn("batch_id", F.col("event_id").cast("long"))
     return M.batch_status(v, "batch_id")
 
 

@@ -259,18 +259,6 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", body.alias("body"))
 
 
-def message_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Write message bodies as JSON-lines text files (the landing folder a
-    stream reads). Each line is a queue record ``{"event_id":..,"body":..}``."""
-    def build():
-        path = scratch_path(spark, "messages")
-        (messages(spark, sf_dir)
-         .select(F.to_json(F.struct("event_id", "body")).alias("value"))
-         .write.mode("overwrite").text(path))
-        return path
-    return _written(spark, ("messages", sf_dir), build)
-
-
 # Change log over orders --------------------------------------------------------
 ORDER_KEY = ["o_orderkey"]
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
@@ -359,12 +347,13 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
 
 def queue_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages grouped into queue events of at most QUEUE_BATCH_SIZE records:
-    one JSON line ``{"Records": [{"messageId": .., "body": ..}, ..]}`` each."""
+    one JSON line ``{"eventId": .., "Records": [{"messageId": .., "body": ..}, ..]}`` each."""
     m = messages(spark, sf_dir)
     rec = F.struct(F.col("event_id").cast("string").alias("messageId"), F.col("body"))
     return (m.groupBy(F.floor(F.col("event_id") / QUEUE_BATCH_SIZE).alias("batch"))
             .agg(F.sort_array(F.collect_list(F.struct(F.col("event_id"), rec.alias("r")))).alias("rs"))
-            .select("batch", F.to_json(F.struct(F.col("rs.r").alias("Records"))).alias("value")))
+            .select("batch", F.to_json(F.struct(F.col("batch").cast("string").alias("eventId"),
+                                                F.col("rs.r").alias("Records"))).alias("value")))
 
 
 def queue_event_dir(spark: SparkSession, sf_dir: str) -> str:

@@ -7,9 +7,11 @@ overwrite. A replayed batch (``foreachBatch`` is at-least-once) rewrites
 exactly its own partitions, so the log holds each message once; reads of a
 month prune to that month's folders (dead letters without a date sit under
 the default partition). Accepted observations and dead letters are two
-pruned views of the same log; periodic compaction merges the per-batch
-files of a month. The job is stateless;
-the checkpoint only tracks which files were consumed.
+pruned views of the same log. With ``observations_path`` the accepted rows
+also go to the observations table the summaries read, as load
+``stream-<batch_id>``: a replayed batch replaces its own load and the rows of
+other loads stay. The job is stateless; the checkpoint only tracks which files
+were consumed.
 """
 
 from __future__ import annotations
@@ -18,32 +20,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stationlake.schemas import OBSERVATION_COLUMNS
+from stationlake.schemas import OBSERVATION_COLUMNS, OBSERVATIONS_SCHEMA, PARTITION_COLUMNS
+from stationlake.sinks.tables import conform
 from stationlake.sources.messages import batch_status, queue_records, validate_messages
 
-LOG_COLUMNS = ["message_id", *OBSERVATION_COLUMNS, "observation_time_text", "envelope", "body",
+LOG_COLUMNS = ["event_id", "message_id", *OBSERVATION_COLUMNS, "observation_time_text", "envelope", "body",
                "reject_reason"]
 
 
-def write_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
-    v = validate_messages(batch)
+def write_batch(batch: DataFrame, batch_id: int, log_path: str, observations_path: str | None = None) -> None:
+    v = validate_messages(batch.filter(F.col("event_kind") != "empty"))
     out = v.select(*LOG_COLUMNS,
                    F.lit(batch_id).cast("long").alias("batch_id"),
                    F.when(F.col("reject_reason").isNull(), "accepted").otherwise("dead_letter").alias("outcome"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month", "batch_id", "outcome").parquet(log_path))
+    if observations_path is not None:
+        spark = batch.sparkSession
+        rows = read_log(spark, log_path).filter((F.col("batch_id") == batch_id) & (F.col("outcome") == "accepted"))
+        (conform(rows, OBSERVATIONS_SCHEMA).hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite")
+         .partitionBy(*PARTITION_COLUMNS).parquet(f"{observations_path}/load_id=stream-{batch_id}"))
 
 
 def start_ingest(spark: SparkSession, source_dir: str, log_path: str, checkpoint: str,
                  max_files_per_trigger: int | None = None, available_now: bool = True,
-                 processing_time: str | None = None, clean_source: str | None = None) -> StreamingQuery:
+                 processing_time: str | None = None, clean_source: str | None = None,
+                 observations_path: str | None = None) -> StreamingQuery:
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if clean_source:  # "delete" or "archive": drop consumed input files
         reader = reader.option("cleanSource", clean_source)
     records = queue_records(reader.load(source_dir))
-    w = records.writeStream.foreachBatch(lambda df, bid: write_batch(df, bid, log_path)) \
+    w = records.writeStream.foreachBatch(lambda df, bid: write_batch(df, bid, log_path, observations_path)) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()

@@ -7,8 +7,8 @@ import pytest
 
 from stationlake.sources import messages as M
 
-GOOD = {"station_id": "USW1", "date": "2023-07-01", "element": "TMAX", "value": 32.5,
-        "measurement_flag": "", "quality_flag": "", "source_flag": "", "observation_time": "14:30"}
+GOOD = {"station_id": "XK07", "date": "2021-11-23", "element": "TMIN", "value": -4.25,
+        "measurement_flag": "", "quality_flag": "", "source_flag": "", "observation_time": "06:10"}
 
 
 def msg(**changes):
@@ -35,9 +35,9 @@ CASES = [
     (msg(value=[1]), "value_wrong_type", 500),
     (msg(value="12.5"), None, 200),
     (msg(value=True), None, 200),
-    (msg(date="2023/07/01"), "invalid_date", 400),
-    (msg(date="2023-7-1"), None, 200),
-    (msg(date=20230701), "date_not_string", 500),
+    (msg(date="2021/11/23"), "invalid_date", 400),
+    (msg(date="2021-11-3"), None, 200),
+    (msg(date=20211123), "date_not_string", 500),
     (msg(observation_time=""), None, 200),
     (msg(observation_time="2400"), "invalid_observation_time", 500),
     (json.dumps({"message": {"data": base64.b64encode(msg().encode()).decode()}}), None, 200),
@@ -72,4 +72,24 @@ def test_queue_records(spark):
     ev = json.dumps({"Records": [{"messageId": "1", "body": msg()}, {"messageId": "2", "body": "{x"}]})
     recs = M.queue_records(spark.createDataFrame([(ev,), ("not an event",)], "value string"))
     v = {r["message_id"]: r["reject_reason"] for r in M.validate_messages(recs).collect()}
-    assert v == {"1": None, "2": "invalid_json", None: "invalid_json"}
+    assert v == {"1": None, "2": "invalid_json", None: "invalid_event_format"}
+
+
+def test_event_outcomes(spark):
+    envelope = json.dumps({"message": {"data": base64.b64encode(msg().encode()).decode()}})
+    lines = {
+        "empty": json.dumps({"eventId": "empty", "Records": []}),
+        "nobody": json.dumps({"eventId": "nobody", "Records": [{"messageId": "1"}]}),
+        "inside": json.dumps({"eventId": "inside", "Records": [{"messageId": "1", "body": envelope}, {"messageId": "2", "body": msg()}]}),
+        "late": json.dumps({"eventId": "late", "Records": [{"messageId": "1", "body": msg(observation_time="25:00")}]}),
+        "direct": envelope, "bare": msg(), "text": "no json",
+    }
+    v = M.validate_messages(M.queue_records(spark.createDataFrame([(x,) for x in lines.values()], "value string")))
+    import hashlib
+    names = {hashlib.sha256(x.encode()).hexdigest(): k for k, x in lines.items()}
+    got = {names.get(r["event_id"], r["event_id"]): (r["processed"], r["failed"], r["status_code"], r["status_message"])
+           for r in M.batch_status(v, "event_id").collect()}
+    assert got == {
+        "empty": (0, 0, 200, "Successfully processed 0 messages"), "nobody": (0, 1, 500, "Processed 0 messages, failed 1"),
+        "inside": (1, 1, 200, "Processed 1 messages, failed 1"), "late": (0, 1, 500, "Processed 0 messages, failed 1"),
+        "direct": (1, 0, 200, "Success"), "bare": (0, 1, 400, "Invalid event format"), "text": (0, 1, 400, "Invalid event format")}

@@ -94,17 +94,17 @@ def test_scale_units(spark, element, value, expected):
     assert df.select(scale_units("e", "v").alias("r")).first()["r"] == pytest.approx(expected)
 
 
-def station_line(sid="USW00094728", lat="40.7789", lon="-73.9692", elev="39.6", country="US",
+def station_line(sid="XKT00031415", lat="40.7789", lon="-73.9692", elev="39.6", country="US",
                  name="NEW YORK CNTRL PK TWR", state="NY", first="1869", last="2023"):
     line = (f"{sid:<11} {lat:>8} {lon:>9} {elev:>6} {country:<2} {name:<30}{state:<2} {first:<4} {last:<4}")
     return f"{line:<85}"
 
 
 @pytest.mark.parametrize("line,reason,row", [
-    (station_line(), None, ("USW00094728", "NEW YORK CNTRL PK TWR", 40.7789, -73.9692, 39.6, "US", "NY", 1869, 2023)),
+    (station_line(), None, ("XKT00031415", "NEW YORK CNTRL PK TWR", 40.7789, -73.9692, 39.6, "US", "NY", 1869, 2023)),
     (station_line(country="CA", state="ON"), None,
-     ("USW00094728", "NEW YORK CNTRL PK TWR", 40.7789, -73.9692, 39.6, "CA", "", 1869, 2023)),
-    (station_line(elev=""), None, ("USW00094728", "NEW YORK CNTRL PK TWR", 40.7789, -73.9692, 0.0, "US", "NY", 1869, 2023)),
+     ("XKT00031415", "NEW YORK CNTRL PK TWR", 40.7789, -73.9692, 39.6, "CA", "", 1869, 2023)),
+    (station_line(elev=""), None, ("XKT00031415", "NEW YORK CNTRL PK TWR", 40.7789, -73.9692, 0.0, "US", "NY", 1869, 2023)),
     (station_line()[:84], "short_line", None),
     (station_line(lat="x"), "invalid_number", None),
     (station_line(first="HCN"), "invalid_year", None),
