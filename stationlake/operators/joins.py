@@ -1,46 +1,11 @@
-"""Join helpers with a checked broadcast.
-
-A side is broadcast only after a bounded count proves it has at most
-``max_rows`` rows (the count reads at most ``max_rows + 1`` rows of it);
-otherwise the join is left to a shuffle join, where AQE can still convert
-it at run time and split skewed partitions.
-"""
+"""Join helpers. Sizes are left to the optimizer and AQE, which measure a side
+before they broadcast it and split skewed partitions of a shuffle join."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A station dimension holds ~10^5 rows world-wide; 2M rows of a few short
-# columns stays well under the broadcast memory of an executor.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-
-
-_CHECKED: dict[tuple, bool] = {}
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. The answer is kept per
-    (plan, input files): rewritten inputs get new file names, so a changed
-    table is counted again."""
-    try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # noqa: BLE001 - plans without file inputs
-        key = None
-    if key is not None and key in _CHECKED:
-        return _CHECKED[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _CHECKED[key] = ok
-    return ok
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def semi_join_stations(observations: DataFrame, stations: DataFrame,
-                       max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def semi_join_stations(observations: DataFrame, stations: DataFrame) -> DataFrame:
     """Keep observations whose station was loaded (left semi on station_id)."""
-    keys = stations.select("station_id").distinct()
-    return observations.join(maybe_broadcast(keys, max_rows), "station_id", "left_semi")
+    return observations.join(stations.select("station_id").distinct(), "station_id", "left_semi")

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, maybe_broadcast, row_count_at_most
 from stationlake.schemas import DAILY_COLUMNS, PIVOT_ELEMENTS
 
 STATION_ATTRS = ["station_name", "country", "state", "latitude", "longitude"]
@@ -47,15 +46,13 @@ def daily_pivot(observations: DataFrame, keep_partitions: bool = False) -> DataF
     return obs.groupBy("station_id", "date", *extra).agg(*aggs)
 
 
-def daily_summary(observations: DataFrame, stations: DataFrame,
-                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, keep_partitions: bool = False
-                  ) -> DataFrame:
+def daily_summary(observations: DataFrame, stations: DataFrame, keep_partitions: bool = False) -> DataFrame:
     """Daily pivot joined (inner) to station attributes (``keep_partitions``:
     see ``daily_pivot``)."""
     t = daily_pivot(observations, keep_partitions)
     s = stations.select("station_id", F.col("name").alias("station_name"), "latitude",
                         "longitude", "elevation", "country", "state")
-    return t.join(maybe_broadcast(s, broadcast_max_rows), "station_id")
+    return t.join(s, "station_id")
 
 
 def monthly_summary(daily: DataFrame, exact_scale: int | None = None) -> DataFrame:
@@ -103,23 +100,17 @@ ANNUAL_COLUMNS = ["station_id", "station_name", "country", "state", "latitude",
 
 
 def temp_anomaly(monthly: DataFrame, baseline_from: int, baseline_to: int, report_from: int,
-                 exact_scale: int | None = None, stations: DataFrame | None = None,
-                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                 exact_scale: int | None = None) -> DataFrame:
     """Monthly average temperature minus the station's baseline mean for the
     same calendar month over [baseline_from, baseline_to].
 
-    The baseline has one row per (station, month). Monthly rows come from
-    the inner join with ``stations``, so the baseline has at most 12 rows per
-    station: a bounded count of the stations table proves it small enough to
-    broadcast without computing it twice. Without ``stations`` the join is
-    left to a shuffle join."""
+    The baseline has one row per (station, month), at most 12 a station; AQE
+    measures it and broadcasts it when it is small."""
     avg_scale = None if exact_scale is None else exact_scale + 2
     base = (monthly.filter(F.col("year").between(baseline_from, baseline_to))
             .groupBy("station_id", "month")
             .agg(_avg(F.col("avg_temp"), avg_scale).alias("baseline_temp")))
     cur = monthly.filter(F.col("year") >= report_from)
-    if stations is not None and row_count_at_most(stations, broadcast_max_rows // 12):
-        base = F.broadcast(base)
     j = cur.join(base, ["station_id", "month"])
     return j.select("year", "month", "station_id", "station_name", "country", "state", "latitude",
                     "longitude", "avg_temp", "baseline_temp",

@@ -21,7 +21,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, row_count_at_most
 
 
 OPS = ("append", "update", "delete")
@@ -45,7 +44,7 @@ def resolve_bound(commits: DataFrame, snapshot_id: int | None = None, timestamp=
         base = F.lit(now) if now is not None else F.localtimestamp()
         ts = base - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(minutes_ago)))
         return commits.filter(F.col("committed_at") <= ts).agg(F.max("commit_id")).scalar()
-    return None
+    return commits.agg(F.max("commit_id")).scalar()  # the latest commit: rows without one are not visible
 
 
 def _value_cols(changes: DataFrame, key: list[str]) -> list[str]:
@@ -82,25 +81,19 @@ def as_of_query(changes: DataFrame, commits: DataFrame, key: list[str], snapshot
     return df
 
 
-def _only_touched(changes: DataFrame, key: list[str], early: Column, late: Column | None,
-                  max_rows: int) -> DataFrame:
+def _only_touched(changes: DataFrame, key: list[str], early: Column, late: Column | None) -> DataFrame:
     """Restrict the log to keys written in (early, late]. Those commits are a
-    partition-pruned slice of the log; when a bounded count proves the slice
-    small, its keys are broadcast to a semi join that filters the log before
-    any shuffle. Otherwise the log is used as is (the aggregation below is
-    still exact)."""
+    partition-pruned slice of the log; AQE measures its keys and, when they
+    are few, filters the log with them before any shuffle of it."""
     recent = _upto(changes, late).filter(F.col("commit_id") > early).select(*key)
-    if row_count_at_most(recent, max_rows):
-        return changes.join(F.broadcast(recent.distinct()), key, "left_semi")
-    return changes
+    return changes.join(recent.distinct(), key, "left_semi")
 
 
-def _two_states(changes: DataFrame, key: list[str], early: Column, late: Column | None,
-                max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def _two_states(changes: DataFrame, key: list[str], early: Column, late: Column | None) -> DataFrame:
     """Per key touched after ``early`` (up to ``late``): the row at ``early``
     and at ``late`` (NULL when absent or deleted), in one aggregation."""
     vals = _value_cols(changes, key)
-    c = _upto(_only_touched(changes, key, early, late, max_rows), late)
+    c = _upto(_only_touched(changes, key, early, late), late)
     row = F.struct(*vals, "op")
     in_early = F.col("commit_id") <= early
     g = c.groupBy(*key).agg(
@@ -130,11 +123,13 @@ def version_diff(changes: DataFrame, key: list[str], from_bound: Column, to_boun
     return _two_states(changes, key, from_bound, to_bound)
 
 
-def restore_changes(changes: DataFrame, key: list[str], to_bound: Column, new_commit_id: Column) -> DataFrame:
+def restore_changes(changes: DataFrame, key: list[str], to_bound: Column, new_commit_id: Column,
+                    latest: Column | None = None) -> DataFrame:
     """The change rows of a new commit that makes the latest state equal the
-    state at ``to_bound``; history is kept (append them to the log)."""
+    state at ``to_bound``; history is kept (append them to the log).
+    ``latest``: the last commit, so rows without a commit stay unseen."""
     vals = _value_cols(changes, key)
-    d = _two_states(changes, key, to_bound, None)
+    d = _two_states(changes, key, to_bound, latest)
     # d describes to_bound -> latest; undo it: added -> delete, removed -> append, changed -> update
     op = (F.when(F.col("change_type") == "added", "delete").when(F.col("change_type") == "removed", "append")
           .otherwise("update"))
@@ -289,10 +284,14 @@ def _replace_small_table(spark, df: DataFrame, path: str) -> None:
 def restore_to(spark, log_path: str, commits_path: str, key: list[str], to_commit: int,
                schema: str | None = None) -> int:
     """Make the latest version equal version ``to_commit`` by appending one
-    new commit (history is kept, so the restore itself can be undone)."""
+    new commit (history is kept, so the restore itself can be undone). When
+    they are equal already there is no new commit and the last one's id is
+    returned."""
     reader = spark.read.schema(schema) if schema else spark.read
     changes = reader.parquet(log_path)
     commits = spark.read.parquet(commits_path)
     new_id = commits.agg(F.max("commit_id")).first()[0] + 1
-    batch = restore_changes(changes, key, F.lit(int(to_commit)), F.lit(new_id)).drop("commit_id")
+    batch = restore_changes(changes, key, F.lit(int(to_commit)), F.lit(new_id), F.lit(new_id - 1)).drop("commit_id")
+    if batch.isEmpty():
+        return new_id - 1
     return commit_changes(spark, log_path, commits_path, batch, key, "restore", commit_id=new_id)

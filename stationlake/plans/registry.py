@@ -82,7 +82,7 @@ def q_annual_summary(spark, sf_dir):
 @register("temp_anomaly")
 def q_temp_anomaly(spark, sf_dir):
     return S.temp_anomaly(_monthly(spark, sf_dir), BASELINE_FROM, BASELINE_TO, REPORT_FROM,
-                          exact_scale=EXACT, stations=FX.st_sup(spark, sf_dir))
+                          exact_scale=EXACT)
 
 
 # --- quality, analytics, scans ---------------------------------------------------
@@ -401,8 +401,8 @@ def q_asof_minutes_ago(spark, sf_dir):
 
 @register("asof_latest")
 def q_asof_latest(spark, sf_dir):
-    chg, _ = _log(spark, sf_dir)
-    return V.as_of(chg, KEY)
+    chg, commits = _log(spark, sf_dir)
+    return V.as_of(chg, KEY, V.resolve_bound(commits))
 
 
 @register("asof_where_limit")

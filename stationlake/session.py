@@ -26,21 +26,18 @@ DEFAULT_CONF = {
 }
 
 
-MAX_SHUFFLE_PARTITIONS = 65536
-
-
 def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 512 << 20,
                    shuffle_fraction: float = 0.25) -> dict[str, str]:
     """Sizing for a large cluster: scan splits of ``target_partition_bytes``
     (a task's data fits executor memory with room to spill); reduce
     partitions sized from the expected shuffle volume (``shuffle_fraction``
-    of the input: the big aggregations combine map-side), at least 3 per core
-    and capped so map x reduce shuffle blocks stay manageable; AQE merges
+    of the input: the big aggregations combine map-side), at least 3 per core;
+    AQE merges
     small partitions and splits skewed ones at run time. For 100 TB on 1000
     executors x 8 cores: 512 MB splits (~200k scan tasks), ~51k shuffle
     partitions."""
     wanted = int(input_bytes * shuffle_fraction) // target_partition_bytes
-    parts = min(max(3 * total_cores, wanted), MAX_SHUFFLE_PARTITIONS)
+    parts = max(3 * total_cores, wanted)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(int(parts)),

@@ -71,7 +71,7 @@ def test_anomaly_year_filters_reach_partition_column(spark):
     obs = SK.read_observations(spark, FX.observations_table(spark, SF_SMALL))
     st = FX.st_sup(spark, SF_SMALL)
     monthly = S.monthly_summary(S.daily_summary(obs, st, keep_partitions=True))
-    p = plan(S.temp_anomaly(monthly, 1995, 1997, 1999, stations=st))
+    p = plan(S.temp_anomaly(monthly, 1995, 1997, 1999))
     import re
     assert re.search(r"PartitionFilters: \[[^\]]*\(year#\d+ >= 1999\)", p)
     assert re.search(r"PartitionFilters: \[[^\]]*\(year#\d+ >= 1995\)[^\]]*\(year#\d+ <= 1997\)", p)

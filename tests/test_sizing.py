@@ -1,6 +1,6 @@
 """Cluster sizing rule: bounded reduce partitions, at least 3 tasks per core."""
 
-from stationlake.session import MAX_SHUFFLE_PARTITIONS, scale_settings
+from stationlake.session import scale_settings
 
 
 def test_sizing_100tb_on_8000_cores():
@@ -12,4 +12,4 @@ def test_sizing_100tb_on_8000_cores():
 
 def test_sizing_bounds():
     assert int(scale_settings(10**6, 8)["spark.sql.shuffle.partitions"]) == 24
-    assert int(scale_settings(10 * 2**50, 8)["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
+    assert int(scale_settings(10 * 2**50, 8)["spark.sql.shuffle.partitions"]) == 10 * 2**50 // 4 // (512 << 20)
