@@ -8,7 +8,7 @@ Hits are then extended: around each hit the windows of the full width are
 compared by their hash over the whole corpus, and the windows found twice, laid
 together, are the maximal exact repeats.
 
-Data moves as compressed payloads, one per chunk of documents (about 4 MB of
+Data moves as compressed payloads, one per chunk of documents (about 2 MB of
 text) and hash bucket:
 
 1. chunk -> bucket: distinct hashes of the rolling windows, a flag on those that
@@ -36,7 +36,7 @@ from . import textvec as tv
 from .common import buckets_for, ship
 from .packing_io import blob_to_batch, chunk_packer, pack_sorted, unpack_sorted
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 1 << 20
 _ENTRY = "bucket int, chunk long, mark long, entries binary, repeated binary"
 
