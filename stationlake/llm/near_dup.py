@@ -17,7 +17,7 @@ class first. Inside a list, the member with the most common content (its head)
 is compared with all members, members linked to it take its label, and only lists
 whose members still differ in label go on, with more pivots; a pivot leaves its
 lists. Lists with one head become one, and members at
-very different distances from that head cannot be similar (the triangle
+very different distances from one head cannot be similar (the triangle
 inequality of Jaccard distance), so they are not compared. The loop ends when no
 list holds two labels: every candidate pair is compared, excluded by its
 distances, or already connected. Connected components are computed once, from
@@ -155,9 +155,10 @@ def _tested(pairs: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> Da
 
 
 def _resolve(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """All links (a, b) found between the classes in lists (key, cid, n, score, distance), but for some inside a component.
+    """All links (a, b) found between the classes in lists (key, cid, n, score, seen), but for some inside a component.
 
-    Between rounds a member linked to the head of its list takes the head's
+    seen holds a member's distances to the heads it was compared with. Between
+    rounds a member linked to the head of its list takes the head's
     label. Equal labels mean connected; labels need not be complete, they only spare
     comparisons. The components come from all links, at the end.
     """
@@ -176,21 +177,25 @@ def _resolve(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> D
         if active.isEmpty():
             return found
         p = active.where("pivot").select("key", F.col("cid").alias("p"), F.col("n").alias("pn"),
-                                         F.col("label").alias("pl"), F.col("distance").alias("pd"))
+                                         F.col("label").alias("pl"), F.col("seen").alias("ps"))
         close = (F.least("n", "pn") * F.lit(den)) >= (F.greatest("n", "pn") * F.lit(num))
         # Jaccard distance is a metric: two documents at very different distances from a third are far apart
-        apart = F.coalesce(F.abs(F.col("distance") - F.col("pd")) > F.lit((den - num) / den + 1e-9), F.lit(False))
+        far = F.lit((den - num) / den + 1e-9)
+        apart = F.exists("seen", lambda x: F.exists("ps", lambda y: (x["h"] == y["h"]) & (F.abs(x["d"] - y["d"]) > far)))
         pairs = (active.join(p, "key").where(F.col("label") != F.col("pl")).where(close & ~apart)
                  .select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b")).distinct())
         tested = written(_tested(pairs, sets, k, num, den), "tested")
         found = found.union(tested.where("linked").select("a", "b"))
         # what is left of a list goes on under its head; lists with one head become one
         rest = (active.where(~F.col("pivot")).groupBy("head", "cid")
-                .agg(F.min("n").alias("n"), F.min("score").alias("score"), F.min("label").alias("label"), F.min("top").alias("top"))
+                .agg(F.min("n").alias("n"), F.min("score").alias("score"), F.min("label").alias("label"), F.min("top").alias("top"),
+                     F.max_by("seen", F.size("seen")).alias("seen"))
                 .withColumn("a", F.least("head", "cid")).withColumn("b", F.greatest("head", "cid")))
         near = rest.join(tested.select("a", "b", "distance", "linked"), ["a", "b"], "left")
         # a member linked to its head takes the head's label
-        lists = near.select(F.col("head").alias("key"), "cid", "n", "score", "distance",
+        now = F.array(F.struct(F.col("head").alias("h"), F.col("distance").alias("d")))
+        lists = near.select(F.col("head").alias("key"), "cid", "n", "score",
+                            F.when(F.col("distance").isNotNull(), F.concat("seen", now)).otherwise(F.col("seen")).alias("seen"),
                             F.when(F.col("linked"), F.col("top")).otherwise(F.col("label")).alias("label"))
         pivots *= PIVOT_GROWTH
 
@@ -231,7 +236,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     .withColumn("score", F.sum(F.log2("f")).over(own))
                     .withColumn("rank", F.row_number().over(own.orderBy("f", "v")))
                     .where(F.col("rank") <= F.col("shared") - c + 1)
-                    .select(F.col("v").alias("key"), "cid", "n", "score", F.lit(None).cast("double").alias("distance")), "lists")
+                    .select(F.col("v").alias("key"), "cid", "n", "score", F.array().cast("array<struct<h:bigint,d:double>>").alias("seen")), "lists")
     wanted = lists.select("cid").distinct().join(classes.select("cid", "k1", "k2", "rk"), "cid")
     sets = written(source.select("rk", "text").join(wanted.hint("shuffle_hash"), "rk")
                    .select("cid", "k1", "k2", "text").mapInArrow(_set_writer(width), "cid long, members binary")
