@@ -13,15 +13,14 @@ for documents that also hold text of their own. c is the overlap that a pair at
 the threshold falls short of with probability under 1e-10 (see `least_overlap`).
 
 Groups of copies are never expanded into pairs. Equal sets collapse into one
-class first. Inside a list, the member with the most common content (its head)
-is compared with all members, members linked to it take its label, and only lists
-whose members still differ in label go on, with more pivots; a pivot leaves its
-lists. Lists with one head become one, and members at
-very different distances from one head cannot be similar (the triangle
-inequality of Jaccard distance), so they are not compared. The loop ends when no
-list holds two labels: every candidate pair is compared, excluded by its
-distances, or already connected. Connected components are computed once, from
-all links.
+class first. In each list the member with the most common content (its head) is
+compared with all members, and members linked to it take its label. Classes in
+lists that still hold two labels meet a second time, in lists of their full
+sets: again rarest first, now by the exact prefix of a set, and a pair is only
+compared if what both sets hold from the common value on can still reach the
+overlap of a link. In a large group of copies, a copy too far from the head has
+so much text of its own that this leaves no pair. Connected components are
+computed once, from all links.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
@@ -39,8 +38,6 @@ from .common import row_key, ship, written
 from .components import connected_components
 
 CHUNK_BYTES = 2 << 20
-#: Pivots a list gets in each round: one, then this factor more each time.
-PIVOT_GROWTH = 16
 
 
 def least_overlap(size: int, k: int, num: int, den: int, miss: float = 1e-10) -> int:
@@ -154,50 +151,68 @@ def _tested(pairs: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> Da
         _verifier(k, num, den), "a long, b long, linked boolean, distance double")
 
 
-def _resolve(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """All links (a, b) found between the classes in lists (key, cid, n, score, seen), but for some inside a component.
+def _exploder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cid, n, label, far, members) -> the same with members as a list."""
+    for b in batches:
+        for i, m in enumerate(b.column("members")):
+            values = np.frombuffer(m.as_buffer(), np.int64)
+            ends = pa.array([0, len(values)], pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(c).slice(i, 1) for c in ("cid", "n", "label", "far")]
+                                             + [pa.ListArray.from_arrays(ends, pa.array(values))],
+                                             names=["cid", "n", "label", "far", "values"])
 
-    seen holds a member's distances to the heads it was compared with. Between
-    rounds a member linked to the head of its list takes the head's
-    label. Equal labels mean connected; labels need not be complete, they only spare
-    comparisons. The components come from all links, at the end.
+
+def _similar_size(a: str, b: str, num: int, den: int) -> Column:
+    return (F.least(a, b) * F.lit(den)) >= (F.greatest(a, b) * F.lit(num))
+
+
+def _links(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """All links (a, b) between the classes in lists (key, cid, n, score), but for some inside a component.
+
+    First the head of each list is compared with its members, and members linked
+    to it take its label: equal labels mean connected. Members of lists that
+    still hold two labels meet again in lists of their full sets.
     """
-    found = lists.sparkSession.createDataFrame([], "a long, b long")
-    lists = lists.withColumn("label", F.col("cid"))
-    pivots = 1
-    while True:
-        order = F.struct("score", F.xxhash64("cid").alias("h"), "cid", "label")
-        open_lists = (lists.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                               F.max(order).alias("head"), F.count("*").alias("m"))
-                      .where("lo <> hi").select("key", F.col("head.cid").alias("head"), F.col("head.label").alias("top"), "m"))
-        # pivots of a list: its head, and each other member with chance pivots / m
-        chance = (F.pmod(F.xxhash64("cid", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)) < F.lit(float(pivots)) / F.col("m")
-        active = written(lists.join(open_lists, "key").withColumn(
-            "pivot", (F.col("cid") == F.col("head")) | (F.lit(pivots > 1) & chance)).drop("m"), "lists")
-        if active.isEmpty():
-            return found
-        p = active.where("pivot").select("key", F.col("cid").alias("p"), F.col("n").alias("pn"),
-                                         F.col("label").alias("pl"), F.col("seen").alias("ps"))
-        close = (F.least("n", "pn") * F.lit(den)) >= (F.greatest("n", "pn") * F.lit(num))
-        # Jaccard distance is a metric: two documents at very different distances from a third are far apart
-        far = F.lit((den - num) / den + 1e-9)
-        apart = F.exists("seen", lambda x: F.exists("ps", lambda y: (x["h"] == y["h"]) & (F.abs(x["d"] - y["d"]) > far)))
-        pairs = (active.join(p, "key").where(F.col("label") != F.col("pl")).where(close & ~apart)
-                 .select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b")).distinct())
-        tested = written(_tested(pairs, sets, k, num, den), "tested")
-        found = found.union(tested.where("linked").select("a", "b"))
-        # what is left of a list goes on under its head; lists with one head become one
-        rest = (active.where(~F.col("pivot")).groupBy("head", "cid")
-                .agg(F.min("n").alias("n"), F.min("score").alias("score"), F.min("label").alias("label"), F.min("top").alias("top"),
-                     F.max_by("seen", F.size("seen")).alias("seen"))
-                .withColumn("a", F.least("head", "cid")).withColumn("b", F.greatest("head", "cid")))
-        near = rest.join(tested.select("a", "b", "distance", "linked"), ["a", "b"], "left")
-        # a member linked to its head takes the head's label
-        now = F.array(F.struct(F.col("head").alias("h"), F.col("distance").alias("d")))
-        lists = near.select(F.col("head").alias("key"), "cid", "n", "score",
-                            F.when(F.col("distance").isNotNull(), F.concat("seen", now)).otherwise(F.col("seen")).alias("seen"),
-                            F.when(F.col("linked"), F.col("top")).otherwise(F.col("label")).alias("label"))
-        pivots *= PIVOT_GROWTH
+    heads = (lists.groupBy("key").agg(F.max(F.struct("score", F.xxhash64("cid").alias("h"), "cid", "n")).alias("head"),
+                                      F.count("*").alias("m"))
+             .where("m > 1").select("key", F.col("head.cid").alias("head"), F.col("head.n").alias("head_n")))
+    grouped = written(lists.join(heads, "key").where("cid <> head").select("head", "head_n", "cid", "n").distinct(), "heads")
+    first = grouped.where(_similar_size("n", "head_n", num, den)).select(
+        F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
+    tested = written(_tested(first, sets, k, num, den), "tested")
+
+    linked = (grouped.withColumn("a", F.least("cid", "head")).withColumn("b", F.greatest("cid", "head"))
+              .join(tested, ["a", "b"], "left")
+              .withColumn("label", F.when(F.col("linked"), F.col("head")).otherwise(F.col("cid"))))
+    linked = written(linked.select("head", "cid", "n", "label", "distance"), "labels")
+    still = (linked.groupBy("head").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
+             .where("lo <> hi").select("head", "m"))
+    # far: a member's distance to the head of the largest list it is in
+    left = (linked.join(still, "head").groupBy("cid")
+            .agg(F.min("n").alias("n"), F.min("label").alias("label"), F.max(F.struct("m", "head", "distance")).alias("far"))
+            .select("cid", "n", "label", F.struct("far.head", "far.distance").alias("far")).join(sets, "cid"))
+    kind = "struct<head:bigint,distance:double>"
+    values = left.mapInArrow(_exploder, f"cid long, n long, label long, far {kind}, values array<long>").select(
+        "cid", "n", "label", "far", F.explode("values").alias("v"))
+    values = written(values, "values")
+    own = Window.partitionBy("cid")
+    placed = (values.join(values.groupBy("v").agg(F.count("*").alias("f")).where("f > 1"), "v")
+              .withColumn("rank", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "v")))
+              .where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * F.lit(num) / F.lit(den)) + 1))
+    placed = written(placed.select("v", "cid", "n", "label", "far", "rank"), "prefixes")
+    mixed = placed.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("v")
+    one = placed.join(mixed, "v", "left_semi")
+    two = one.select("v", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"), F.col("far").alias("pf"), F.col("rank").alias("pr"))
+    # what can still be common from the first common value on must reach the least overlap of a link
+    # (nor can two sets at very different distances from a third be similar: Jaccard distance is a metric)
+    apart = F.coalesce((F.col("far.head") == F.col("pf.head")) & (
+        F.abs(F.col("far.distance") - F.col("pf.distance")) > F.lit((den - num) / den + 1e-9)), F.lit(False))
+    reach = F.least(F.col("n") - F.col("rank"), F.col("pn") - F.col("pr")) + 1
+    pairs = (one.join(two, "v").where("cid < p and label <> pl").where(_similar_size("n", "pn", num, den))
+             .where(reach * F.lit(num + den) >= (F.col("n") + F.col("pn")) * F.lit(num)).where(~apart)
+             .select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct())
+    more = written(_tested(pairs, sets, k, num, den), "tested").where("linked").select("a", "b")
+    return tested.where("linked").select("a", "b").union(more)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -236,12 +251,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     .withColumn("score", F.sum(F.log2("f")).over(own))
                     .withColumn("rank", F.row_number().over(own.orderBy("f", "v")))
                     .where(F.col("rank") <= F.col("shared") - c + 1)
-                    .select(F.col("v").alias("key"), "cid", "n", "score", F.array().cast("array<struct<h:bigint,d:double>>").alias("seen")), "lists")
+                    .select(F.col("v").alias("key"), "cid", "n", "score"), "lists")
     wanted = lists.select("cid").distinct().join(classes.select("cid", "k1", "k2", "rk"), "cid")
     sets = written(source.select("rk", "text").join(wanted.hint("shuffle_hash"), "rk")
                    .select("cid", "k1", "k2", "text").mapInArrow(_set_writer(width), "cid long, members binary")
                    .dropDuplicates(["cid"]), "sets")
-    labels = connected_components(_resolve(lists, sets, k, num, den)).withColumnRenamed("node", "cid")
+    labels = connected_components(_links(lists, sets, k, num, den)).withColumnRenamed("node", "cid")
     member = classes.select("cid", "k1", "k2", "n", "id").join(labels, "cid", "left") \
         .withColumn("component", F.coalesce("component", "cid"))
     lowest = member.groupBy("component").agg(F.min("id").alias("component_id"))
