@@ -1,6 +1,6 @@
 """WARC archives: records per page, segmented and chunk-framed, and their reassembly.
 
-`write_warc` writes standard WARC/1.1 files with Spark's text writer: a row is a
+`write_warc` writes standard WARC/1.1 files, gzipped, with Spark's text writer: a row is a
 whole record, and the line separator is the CR LF CR LF that ends a record. The
 payload stands in an HTTP message with chunked transfer framing. Records longer
 than SEGMENT_BYTES are segmented: the first keeps its type with segment number
@@ -12,6 +12,7 @@ numbers and total length, and decodes the chunked framing.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -110,8 +111,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     smallest id are responses and the others revisit it; a row without id is a
     revisit if a row with id has its payload. Null html is an empty payload.
     Rows that repeat an id are records of their own. The smallest id per payload
-    is aggregated before the shuffle, on digests alone; the join on the digest
-    moves no payload.
+    is aggregated before the shuffle, on digests alone.
     """
     ship(pages)
     source = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"),
@@ -123,7 +123,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     marked = source.join(shared, "digest", "left").select(
         F.monotonically_increasing_id().alias("key"), "page", "url", "html", "digest",
         F.when(F.col("lowest").isNotNull() & ~F.col("page").eqNullSafe(F.col("lowest")), F.col("lowest")).alias("refers"))
-    (marked.mapInArrow(_recorder, "value string").write.option("lineSep", "\r\n\r\n")
+    (marked.mapInArrow(_recorder, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
@@ -180,7 +180,9 @@ def _parser(segments: bool):
         for b in batches:
             for data in b.column("content"):
                 rows: list[tuple] = []
-                for fields, block in parse_records(data.as_py()):
+                raw = data.as_py()
+                raw = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+                for fields, block in parse_records(raw):
                     if ("WARC-Segment-Number" in fields) != segments:
                         continue
                     if segments:
