@@ -28,6 +28,22 @@ def test_template_and_named_parts_go(spark):
     assert all(n == len(t) for _, t, n in got)
 
 
+def text_of(page):
+    return html_text.main_text(html_text.parse(page), frozenset())
+
+
+def test_names_do_not_drop_the_page_or_text():
+    for names in ("class='single no-sidebar'", "class='has-sidebar search-results'", "class='widget'", "id=search", "role=dialog class='ad social'"):
+        assert text_of(f"<html {names}><body {names}><div {names}><main {names}><p>a</p></main></div><p>b</p></body></html>") == "a"
+        assert text_of(f"<body {names}><div {names}><article {names}><h1>t</h1>a</article></div></body>") == "t\na"
+        assert text_of(f"<body {names}><h1>t</h1><p>a</p></body>") == "t\na"
+    assert text_of("<article class='share-enabled'><p>a</p></article><p>b</p>") == "a"
+    assert text_of("<article><section id='related-work'><h2 id='how-to-search'>h</h2><p class=alert>p</p></section><section id=related>"
+                   "<h2 id=search>i</h2><p id=menu>q <span class=notice>r</span></p></section><div class='alert notice'>s</div></article>") == "h\np\ni\nq r\ns"
+    assert text_of("<article><p>a</p><div class='x comments'>c</div><p class=ad>d</p><ul role=menu><li>m</ul><div id=share>s</div><aside>x</aside><p>b</p></article>") == "a\nb"
+    assert text_of("<body><div class=ad-free>a</div><div class=ad>b</div><h2 id=search>c</h2><section id=comments>d</section></body>") == "a\nc"
+
+
 def test_empty_pages(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string, type string")
     assert html_text.extract(none).count() == 0
