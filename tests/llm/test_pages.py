@@ -44,6 +44,22 @@ def test_names_do_not_drop_the_page_or_text():
     assert text_of("<body><div class=ad-free>a</div><div class=ad>b</div><h2 id=search>c</h2><section id=comments>d</section></body>") == "a\nc"
 
 
+def test_copies_and_repeated_parts_of_articles_stay(spark):
+    side = "<div class='tool'><p>Get our app today</p></div>"
+    copy = "<h1>Copy</h1><p>The same page many times</p>"
+    rows = [(i, f"http://copies.example/?v={i}", page("Copy", f"<p>The same page many times</p><div class=ad>{i}</div>")) for i in range(20)]
+    rows += [(100 + i, None, f"{side}<article>{copy}</article><footer>{i}</footer>") for i in range(12)]
+    rows += [(200 + i, f"http://parts.example/{i}", f"{side}<article><h2>Summary</h2><p><b>Note:</b> {prose(i, 5)}<table><tr><td>0<td>{i}</table></article>") for i in range(12)]
+    rows += [(300 + i, f"http://plain.example/{i}", f"<body>{side}<p><b>Note:</b> {prose(i, 5)}</p><table><tr><td>0<td>{i}</table></body>") for i in range(12)]
+    rows += [(400 + i, "http://plain.example/0", f"<body>{side}<p><b>Note:</b> {prose(0, 5)}</p><table><tr><td>0<td>0</table></body>") for i in range(30)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert {got[i] for i in range(20)} == {"Get our app today\nCopy\nThe same page many times"}
+    assert {got[100 + i] for i in range(12)} == {"Copy\nThe same page many times"}
+    assert all(got[200 + i] == f"Summary\nNote: {prose(i, 5)}\n0\n{i}" for i in range(12))
+    assert all(got[300 + i] == f"Note: {prose(i, 5)}\n0\n{i}" for i in range(12))
+    assert {got[400 + i] for i in range(30)} == {f"Note: {prose(0, 5)}\n0\n0"}
+
+
 def test_empty_pages(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string, type string")
     assert html_text.extract(none).count() == 0
