@@ -4,12 +4,14 @@
 as one struct column, computed inside the row: no shuffle, no Python.
 `learn_rules` runs sequential covering over the labelled statistics. Each rule
 is a conjunction of threshold conditions. It is grown on two thirds of the
-labelled rows by FOIL gain, one condition at a time, from a histogram that
-Spark counts per feature and bin; pruned on the last third; and accepted if it
-is precise enough there. Rows that it covers leave, and the next rule is
-learned. The driver only sees histograms: features x bins rows, whatever the
-number of documents. `verdict` turns the list into one ordered conditional
-expression.
+labelled rows by FOIL gain, one condition at a time: Spark counts a histogram
+per feature and bin of the rows still uncovered, and bins that may hold a better
+threshold than any found so far are split until none is left. The rule is pruned
+on the last third and accepted if it is precise enough there. Rows that it
+covers leave, and the next rule is learned, until an attempt gains no more bits
+than it takes to name its thresholds. The driver only sees histograms, at most
+SPLIT_BINS x BINS rows at a time, whatever the number of documents. `verdict`
+turns the list into one ordered conditional expression.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Thresholds tried per feature: quantiles of the labelled rows.
+#: Bins per feature at first (by quantiles of the labelled rows), and parts into which a bin is split.
 BINS = 48
-MAX_RULES = 8
+#: Bins split in one pass over the rows; further passes take the others.
+SPLIT_BINS = 128
 MAX_CONDITIONS = 4
 #: A rule must reject this share of bad rows among the pruning rows that it covers, and so many of them.
 MIN_PRECISION = 0.97
@@ -96,15 +99,15 @@ class Condition:
     feature: str
     above: bool
     threshold: float
-    bin: int  # the threshold's place among the feature's thresholds
 
     def column(self) -> Column:
-        f = _features()[self.feature]
-        return f > self.threshold if self.above else f <= self.threshold
+        return self._on(_features()[self.feature])
 
-    def on_bins(self, feature_no: int) -> Column:
-        b = F.col("bins")[feature_no]
-        return b > self.bin if self.above else b <= self.bin
+    def on_labelled(self, names: list[str]) -> Column:
+        return self._on(F.col("at")[names.index(self.feature)])
+
+    def _on(self, value: Column) -> Column:
+        return value > self.threshold if self.above else value <= self.threshold
 
     def __str__(self) -> str:
         return f"{self.feature} {'>' if self.above else '<='} {self.threshold:.6g}"
@@ -113,6 +116,16 @@ class Condition:
 Rule = tuple[Condition, ...]
 
 
+@dataclass(frozen=True)
+class Part:
+    """Rows whose value of a feature lies from lo to hi (both occur): bad and other ones; the bin that they lie in."""
+    lo: float
+    hi: float
+    p: int
+    n: int
+    bin: int
+
+
 def _bin(name: str, cuts: list[float]) -> Column:
     """How many of the ascending thresholds lie below the value."""
     return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(name)))
@@ -155,12 +168,9 @@ def learn_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
     rows = written(rows.select("bad", "grow", bins.alias("bins"), F.array(*names).alias("at")), "binned")
 
     rules: list[Rule] = []
-    for _ in range(MAX_RULES):
-        grown = _grow(rows, names, cuts)
-        if not grown:
-            break
+    while grown := _grow(rows, names):
         rule = _prune(rows, names, grown)
-        out = _all([c.on_bins(names.index(c.feature)) for c in rule or grown])
+        out = _all([c.on_labelled(names) for c in rule or grown])
         if rule:
             rules.append(rule)
         else:  # not precise on the pruning rows: its growing rows are set aside and growing goes on
@@ -169,40 +179,83 @@ def learn_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
     return rules
 
 
-def _grow(rows: DataFrame, names: list[str], cuts: dict[str, list[float]]) -> Rule:
+def _grow(rows: DataFrame, names: list[str]) -> Rule:
+    """A rule for the growing rows, or nothing if no beginning of it gains more bits than naming its thresholds takes."""
     rule: list[Condition] = []
+    first, worth = (0, 0), False
     while len(rule) < MAX_CONDITIONS:
-        here = rows.where("grow").where(_all([c.on_bins(names.index(c.feature)) for c in rule]))
-        counts = (here.select("bad", F.posexplode(F.arrays_zip("bins", "at")).alias("feature", "v"))
-                  .groupBy("feature", F.col("v.bins").alias("bin"))
-                  .agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n"),
-                       F.min("v.at").alias("lo"), F.max("v.at").alias("hi")).collect())
-        by: dict[int, dict[int, tuple]] = {}
-        for r in counts:
-            by.setdefault(r["feature"], {})[r["bin"]] = (r["p"], r["n"], r["lo"], r["hi"])
-        if not by:
-            break
-        p0, n0 = (sum(v[i] for v in by[0].values()) for i in (0, 1))
-        if not p0 or not n0:
+        here = rows.where("grow").where(_all([c.on_labelled(names) for c in rule]))
+        (p0, n0), best = _best_condition(here, names)
+        if not rule:
+            first = p0, n0
+        if best is None:
             break
-        best: tuple[float, Condition] | None = None
-        for f, hist in sorted(by.items()):
+        condition, p, n = best
+        rule.append(condition)
+        worth |= _gain(p, n, *first) > len(rule) * math.log2(2 * len(names) * sum(first))
+    return tuple(rule) if worth else ()
+
+
+def _best_condition(here: DataFrame, names: list[str]) -> tuple[tuple[int, int], tuple[Condition, int, int] | None]:
+    """Bad and other rows, and the condition of the highest gain over all thresholds, with the rows that it covers."""
+    counts = (here.select("bad", F.posexplode(F.arrays_zip("bins", "at")).alias("feature", "v"))
+              .groupBy("feature", F.col("v.bins").alias("bin"))
+              .agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n"),
+                   F.min("v.at").alias("lo"), F.max("v.at").alias("hi")).collect())
+    parts: dict[int, list[Part]] = {}
+    for r in counts:
+        parts.setdefault(r["feature"], []).append(Part(r["lo"], r["hi"], r["p"], r["n"], r["bin"]))
+    p0, n0 = (sum(x) for x in zip(*((x.p, x.n) for x in parts.get(0, [])))) if parts else (0, 0)
+    if not p0 or not n0:
+        return (p0, n0), None
+    while True:
+        best: tuple[float, Condition, int, int] | None = None
+        mixed: list[tuple[float, int, Part]] = []
+        for f, found in sorted(parts.items()):
+            found.sort(key=lambda x: x.lo)
             p = n = 0
-            for b, cut in enumerate(cuts[names[f]]):
-                dp, dn = hist.get(b, (0, 0))[:2]
-                p, n = p + dp, n + dn
-                for above, (q, m) in ((False, (p, n)), (True, (p0 - p, n0 - n))):
+            for x, after in zip(found, [*found[1:], None]):
+                if x.p and x.n and x.lo < x.hi:  # at best a threshold inside parts its bad rows from all others
+                    mixed.append((max(_gain(p + x.p, n, p0, n0), _gain(p0 - p, n0 - n - x.n, p0, n0)), f, x))
+                p, n = p + x.p, n + x.n
+                if after is None:
+                    break
+                for above, q, m in ((False, p, n), (True, p0 - p, n0 - n)):
                     g = _gain(q, m, p0, n0)
                     if g > 1e-9 and (best is None or g > best[0]):
                         # halfway to the next value seen, so that both sides keep a margin
-                        upper = [v[2] for i, v in hist.items() if i > b]
-                        lower = [v[3] for i, v in hist.items() if i <= b]
-                        at = (max(lower) + min(upper)) / 2 if lower and upper else cut
-                        best = g, Condition(names[f], above, at, b)
-        if best is None:
-            break
-        rule.append(best[1])
-    return tuple(rule)
+                        at = (x.hi + after.lo) / 2
+                        best = g, Condition(names[f], above, at if x.hi <= at < after.lo else x.hi), q, m
+        least = best[0] if best else 0.0
+        split = sorted((x for x in mixed if x[0] > least + 1e-9), key=lambda x: (-x[0], x[1], x[2].lo))[:SPLIT_BINS]
+        if not split:
+            return (p0, n0), best and best[1:]
+        for f, x, smaller in _split(here, [(f, x) for _, f, x in split]):
+            parts[f].remove(x)
+            parts[f] += smaller
+
+
+def _split(here: DataFrame, wanted: list[tuple[int, Part]]) -> list[tuple[int, Part, list[Part]]]:
+    """Each wanted part of a feature, and the up to BINS parts of equal width in it that hold rows."""
+    by: dict[int, list[Part]] = {}
+    for f, x in sorted(wanted, key=lambda w: (w[0], w[1].lo)):
+        by.setdefault(f, []).append(x)
+    places = []
+    for f, found in by.items():
+        v = F.col("at")[f]
+        lows, highs = (F.array(*map(F.lit, x)) for x in ([x.lo for x in found], [x.hi for x in found]))
+        no = F.size(F.filter(lows, lambda low: low <= v)) - 1
+        low, high = F.get(lows, no), F.get(highs, no)
+        piece = F.least(F.floor((v - low) / (high - low) * BINS), F.lit(BINS - 1)).cast("int")
+        at = F.struct(F.lit(f).alias("feature"), no.alias("no"), piece.alias("piece"), v.alias("v"))
+        places.append(F.when(F.col("bins")[f].isin(sorted({x.bin for x in found})), F.when(v <= high, at)))
+    counts = (here.select("bad", F.explode(F.array_compact(F.array(*places))).alias("a"))
+              .groupBy("a.feature", "a.no", "a.piece")
+              .agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n"), F.min("a.v").alias("lo"), F.max("a.v").alias("hi")).collect())
+    smaller: dict[tuple[int, int], list[Part]] = {}
+    for r in counts:
+        smaller.setdefault((r["feature"], r["no"]), []).append(Part(r["lo"], r["hi"], r["p"], r["n"], by[r["feature"]][r["no"]].bin))
+    return [(f, x, smaller[f, no]) for f, found in by.items() for no, x in enumerate(found)]
 
 
 def _prune(rows: DataFrame, names: list[str], rule: Rule) -> Rule:
@@ -210,7 +263,7 @@ def _prune(rows: DataFrame, names: list[str], rule: Rule) -> Rule:
     held = rows.where("not grow")
     sums = []
     for i in range(1, len(rule) + 1):
-        c = _all([x.on_bins(names.index(x.feature)) for x in rule[:i]])
+        c = _all([x.on_labelled(names) for x in rule[:i]])
         sums += [F.sum(F.when(c, F.col("bad")).otherwise(0)).alias(f"p{i}"),
                  F.sum(F.when(c, 1 - F.col("bad")).otherwise(0)).alias(f"n{i}")]
     r = held.agg(*sums).first()

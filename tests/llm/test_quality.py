@@ -1,5 +1,6 @@
 """Quality statistics against a plain version, and what the rules learn."""
 
+import random
 import re
 from collections import Counter
 
@@ -40,6 +41,43 @@ def test_rules_are_learned_and_kept_to(spark):
     assert q.keep_good(docs, labels).count() == len(good)
 
 
+def labelled(spark, rows):
+    """(id, mean word length, words a line, label) as statistics and labels."""
+    stat = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_capitals long, n_bangs long"
+    stats = spark.createDataFrame([(i, (1000, round(1000 * chars), 0, 0, 0, round(1000 / words), 0, 0)) for i, chars, words, _ in rows],
+                                  f"doc_id long, `{q.STATS}` struct<{stat}>")
+    return stats, spark.createDataFrame([(i, y) for i, _, _, y in rows], "doc_id long, quality int")
+
+
+def missed_and_wrong(stats, labels, rules):
+    judged = stats.join(labels, "doc_id").withColumn("rule", q.verdict(rules))
+    return judged.where("quality = 0 and rule is null").count(), judged.where("quality = 1 and rule is not null").count()
+
+
+def test_rare_bad_kinds_are_learned(spark):
+    r = random.Random(5)
+    rows = [(i, r.gauss(5, 0.4), 10, 1) for i in range(8000)]
+    rows += [(10_000 + i, r.gauss(9, 0.2), 10, 0) for i in range(45)]  # about half a hundredth
+    stats, labels = labelled(spark, rows)
+    assert missed_and_wrong(stats, labels, q.learn_rules(stats, labels)) == (0, 0)
+
+
+def test_more_than_eight_bad_kinds_are_learned(spark):
+    r = random.Random(6)
+    rows = [(i, 2 * r.randrange(2, 14) + r.uniform(0, 0.9), 10, 1) for i in range(3000)]
+    rows += [(10_000 + 100 * k + i, 2 * k + 1 + r.uniform(0.1, 0.8), 10, 0) for k in range(2, 13) for i in range(60)]
+    stats, labels = labelled(spark, rows)
+    rules = q.learn_rules(stats, labels)
+    missed, wrong = missed_and_wrong(stats, labels, rules)
+    assert len(rules) > 8 and missed <= 20 and wrong <= 10
+
+
+def test_noise_gives_no_rules(spark):
+    r = random.Random(7)
+    stats, labels = labelled(spark, [(i, r.gauss(5, 0.4), r.uniform(5, 20), int(r.random() > 0.1)) for i in range(4000)])
+    assert q.learn_rules(stats, labels) == []
+
+
 def test_without_labels_or_documents(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     judged = q.judge(odd_docs.drop(q.STATS), labels)
