@@ -229,6 +229,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows get equal results. Other columns of docs are not read. rk is the row
     key of common.row_key. Empty input gives no rows.
     """
+    out = _grouped(docs, id_col, text_col, width, num, den, k)
+    return out.select(F.col("id").alias(id_col), "rk", F.col("n").alias("n_shingles"), "component_id",
+                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int = 5, num: int = 8, den: int = 10, k: int = 64) -> DataFrame:
+    """(id, rk, n, component, component_id); component: the group's internal number, null for an empty set."""
     ship(docs)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                          row_key(id_col, text_col).alias("rk"))
@@ -260,21 +267,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = classes.select("cid", "k1", "k2", "n", "id").join(labels, "cid", "left") \
         .withColumn("component", F.coalesce("component", "cid"))
     lowest = member.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = member.join(lowest, "component").select("k1", "k2", "n", "component_id")
+    named = member.join(lowest, "component").select("k1", "k2", "n", "component", "component_id")
     out = rows.select("id", "rk", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left") \
         .withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
-    return out.select(F.col("id").alias(id_col), "rk", F.col("n").alias("n_shingles"), "component_id",
-                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("id", "rk", "n", "component", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """docs with one document of each near-duplicate group: the one with the smallest id.
 
-    All columns pass unchanged. Of rows with equal id and text one stays (the
-    smallest in column order).
+    All columns pass unchanged. Null ids come last; of different texts with the
+    same id the one with the smallest row key stays. Of rows with equal id and
+    text one stays (the smallest in column order); documents without words are
+    in no group, and all others of them stay.
     """
-    found = near_duplicates(docs, id_col, text_col, **params).where("kept")
-    keys = written(found.groupBy("rk").agg(F.count("*").alias("copies")), "kept")
+    found = _grouped(docs, id_col, text_col, **params).groupBy("component", "id", "rk").agg(F.count("*").alias("copies"))
+    found = written(found, "grouped")
+    best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rk", "copies"))
+    grouped = found.where("component is not null").groupBy("component").agg(best.alias("r")).select("r.rk", "r.copies")
+    keys = written(grouped.union(found.where("component is null").select("rk", "copies")), "kept")
     key = F.col("`near dup row key`")
     keyed = docs.withColumn("near dup row key", row_key(id_col, text_col))
     once = keys.where("copies = 1").select(F.col("rk").alias("near dup row key"))

@@ -41,6 +41,21 @@ def test_one_of_each_group_stays(odd_docs, odd_rows):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted(want, key=key)
 
 
+def test_one_of_each_group_stays_without_ids_or_with_equal_ids(spark):
+    base = [f"t{i}" for i in range(100)]
+
+    def near(i, of=base):
+        return " ".join([*of[:i], "changed", *of[i + 1:]])
+
+    other, third = [f"u{i}" for i in range(100)], [f"v{i}" for i in range(100)]
+    rows = [(None, near(i)) for i in (3, 50, 97, 97)] + [(7, near(i, other)) for i in (3, 50, 97)] + [(8, near(60, other))]
+    rows += [(None, near(5, third)), (9, near(50, third)), (None, None), (None, ""), (20, " "), (20, " ")]
+    docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, component string").repartition(3)
+    got = [tuple(r) for r in near_dup.drop_near_duplicates(docs, width=5, num=8, den=10).collect()]
+    assert set(got) <= {(*r, "z") for r in rows}
+    assert sorted(str((i, (t or "")[:1])) for i, t, _ in got) == sorted(map(str, [(None, "t"), (7, "u"), (9, "v"), (None, ""), (None, ""), (20, " ")]))
+
+
 def test_least_overlap_is_a_safe_bound():
     assert near_dup.least_overlap(10, 64, 85, 100) == 9
     assert 28 <= near_dup.least_overlap(10**6, 64, 85, 100) <= 36
