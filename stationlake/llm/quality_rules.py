@@ -35,6 +35,8 @@ MIN_COVERED = 3
 
 _SPACE = r"[\x20\x09-\x0D]+"
 STATS = "quality stats"
+#: The input row as one struct, so that no input column meets a column made here.
+ROW = "quality row"
 
 
 def _matches(text: Column, chars: str) -> Column:
@@ -43,14 +45,24 @@ def _matches(text: Column, chars: str) -> Column:
 
 
 def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with a struct column STATS: the counts of the contract and the features of the rules.
+    """docs with a struct column STATS (in place of one of that name): the counts of the contract and the features of the rules.
 
     Words are `[^\\x20\\x09-\\x0D]+`; a null text has none. n_dup_lines: lines
     with a word that equal an earlier line. n_repeat_words: words that lie in a
     three-word window found twice or more in the text (64-bit window hashes).
     Work and memory are n log n in the words of one text.
     """
-    d = docs.withColumn("qs text", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    return _row_stats(docs, text_col).select(*_unpacked(docs, STATS), F.col(f"`{STATS}`"))
+
+
+def _unpacked(docs: DataFrame, *without: str) -> list[Column]:
+    return [F.col(ROW)[c].alias(c) for c in docs.columns if c not in without]
+
+
+def _row_stats(docs: DataFrame, text_col: str) -> DataFrame:
+    """ROW and STATS of each row."""
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
+    d = d.withColumn("qs text", F.coalesce(F.col(ROW)[text_col].cast("string"), F.lit("")))
     lines = F.filter(F.split("qs text", "\n", -1), lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\f\r"))) > 0)
     d = d.withColumn("qs words", F.array_remove(F.split("qs text", _SPACE, -1), "")).withColumn("qs lines", lines)
     w = F.col("qs words")
@@ -75,8 +87,7 @@ def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
               (F.size("qs lines") - F.size(F.array_distinct("qs lines"))).cast("long").alias("n_dup_lines"),
               repeat.cast("long").alias("n_repeat_words"), F.size("qs lines").cast("long").alias("n_lines"),
               _matches(t, "[A-Z]").alias("n_capitals"), _matches(t, "!").alias("n_bangs")]
-    return d.withColumn(STATS, F.struct(*counts)).drop(
-        "qs text", "qs words", "qs lines", "qs grams", "qs sorted", "qs again")
+    return d.select(ROW, F.struct(*counts).alias(STATS))
 
 
 def _features() -> dict[str, Column]:
@@ -293,22 +304,28 @@ def verdict(rules: list[Rule]) -> Column:
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality") -> DataFrame:
-    """docs with STATS, `quality base_failed`, `quality rule` and `quality kept`.
+    """docs with STATS, `quality base_failed`, `quality rule` and `quality kept`, in place of columns of those names.
 
     The statistics are computed once and written, with the columns of docs, to
     the shared folder; learning reads only id and statistics from there. Null
     and empty texts have no words and fail the base rule. Empty tables give no
     rows; without labels only the base rule decides.
     """
-    stats = written(with_stats(docs, text_col), "quality")
-    rules = learn_rules(stats, labels, id_col, label_col)
+    added = [STATS, "quality base_failed", "quality rule", "quality kept"]
+    return _judged(docs, labels, id_col, text_col, label_col).select(*_unpacked(docs, *added), *[F.col(f"`{c}`") for c in added])
+
+
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """ROW and the columns that judge adds."""
+    stats = written(_row_stats(docs, text_col), "quality")
+    rules = learn_rules(stats.select(F.col(ROW)[id_col].alias(id_col), F.col(f"`{STATS}`")), labels, id_col, label_col)
     out = stats.withColumn("quality base_failed", base_failed()).withColumn("quality rule", verdict(rules))
     return out.withColumn("quality kept", ~F.col("quality base_failed") & F.col("quality rule").isNull())
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **names: str) -> DataFrame:
     """The rows of docs that neither the base rule nor a learned rule rejects, unchanged."""
-    return judge(docs, labels, **names).where("`quality kept`").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _judged(docs, labels, **names).where("`quality kept`").select(*_unpacked(docs))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

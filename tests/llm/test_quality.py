@@ -78,6 +78,17 @@ def test_noise_gives_no_rules(spark):
     assert q.learn_rules(stats, labels) == []
 
 
+def test_columns_with_names_used_inside_pass_unchanged(spark, odd_docs):
+    used = [q.STATS, q.ROW, "qs text", "qs words", "qs lines", "qs grams", "qs sorted", "qs again", "quality kept", "quality rule", "quality base_failed", "a.b"]
+    docs = spark.createDataFrame([(i, prose(i, 60), *[f"{c} {i}" for c in used]) for i in range(5)],
+                                 "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in used))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5)], "doc_id long, quality int")
+    kept = q.keep_good(docs, labels)
+    assert kept.schema == docs.schema and sorted(kept.collect()) == sorted(docs.collect())
+    assert {"qs text", "a.b"} <= set(q.judge(docs, labels).columns)
+    assert q.keep_good(odd_docs, labels).columns == odd_docs.columns
+
+
 def test_without_labels_or_documents(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     judged = q.judge(odd_docs.drop(q.STATS), labels)
