@@ -12,15 +12,15 @@ documents whose sketches have c values in common must meet in one of those
 for documents that also hold text of their own. c is the overlap that a pair at
 the threshold falls short of with probability under 1e-10 (see `least_overlap`).
 
-Groups of copies are never expanded into pairs. Equal sets collapse into one
-class first. In each list the member with the most common content (its head) is
+Equal sets collapse into one class first. In each list the member with the most common content (its head) is
 compared with all members, and members linked to it take its label. Classes in
 lists that still hold two labels meet a second time, in lists of their full
 sets: again rarest first, now by the exact prefix of a set, and a pair is only
 compared if what both sets hold from the common value on can still reach the
-overlap of a link. In a large group of copies, a copy too far from the head has
-so much text of its own that this leaves no pair. Connected components are
-computed once, from all links.
+overlap of a link and their distances to a common head allow one. In a large
+group of copies that differ by slightly more than the threshold, such pairs can
+grow with the square of the group's size. Connected components are computed
+once, from all links.
 """
 
 from __future__ import annotations
