@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language_id, pack, periodic_runs, quality_rules, substring_dedup, token_counts, token_files, warc
+from . import collocations, decontaminate, html_text, language_id, pack, periodic_runs, quality_rules, substring_dedup, token_counts, token_files, warc
 from .near_dup import near_duplicates
 
 
@@ -66,6 +66,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(_documents(spark, sf_dir))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dup": op2_near_dup,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_warc": op10_warc,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -102,4 +107,26 @@ ORACLES: dict[str, str] = {
                    list_filter(list_transform(d.w, lambda x, i: CASE WHEN list_contains(k.gone, i) THEN NULL ELSE x END),
                                lambda x: x IS NOT NULL), ' '), '') END) AS kept_sha256
         FROM d LEFT JOIN k USING (doc_id)""",
+    "op12_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents),
+        w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM p),
+        g AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+              UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+              UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+        f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS v, count(*)::HUGEINT AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 10),
+        n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+        c AS (SELECT lang, phrase, f AS a, 1 AS cut, v[1] AS head, array_to_string(v[2:], ' ') AS tail FROM f WHERE k > 1
+              UNION ALL SELECT lang, phrase, f, 2, v[1] || ' ' || v[2], v[3] FROM f WHERE k = 3),
+        s AS (SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f * y.f) AS score,
+                     row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (1000000::HUGEINT * a * a) // (x.f * y.f), cut) AS best
+              FROM c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = tail),
+        o AS (SELECT lang, phrase, max(f) AS longer FROM (
+                  SELECT lang, v[1] || ' ' || v[2] AS phrase, f FROM f WHERE k = 3
+                  UNION ALL SELECT lang, v[2] || ' ' || v[3], f FROM f WHERE k = 3) GROUP BY lang, phrase),
+        t AS (SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+              FROM s LEFT JOIN o ON o.lang = s.lang AND o.phrase = s.phrase
+              WHERE best = 1 AND (longer IS NULL OR 100 * longer < 50 * a))
+        SELECT t.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM t JOIN n ON n.lang = t.lang WHERE rank <= 2000""",
 }
