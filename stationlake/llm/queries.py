@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, decontaminate, html_text, language_id, pack, periodic_runs, quality_rules, substring_dedup, token_counts, token_files, warc
+from . import collocations, decontaminate, html_text, language_id, nearest, pack, periodic_runs, quality_rules, substring_dedup, token_counts, token_files, warc
 from .near_dup import near_duplicates
 
 
@@ -70,6 +70,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir))
 
 
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dup": op2_near_dup,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_collocations": op12_collocations,
+    "op13_nearest": op13_nearest,
 }
 
 ORACLES: dict[str, str] = {
