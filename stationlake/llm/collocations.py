@@ -6,7 +6,7 @@ these values give the fingerprint of any stretch of words by one subtraction.
 Language and length are mixed in. Only fingerprints travel, and only phrases that
 prove frequent are ever spelled out:
 
-1. A chunk of documents (about 4 MB of text) counts its fingerprints and sends
+1. A chunk of documents (about 2 MB of text) counts its fingerprints and sends
    one compressed payload a bucket of fingerprints: the distinct ones, a 16-bit
    check of the words by an independent polynomial, and the counts. The payload
    says which chunk it is from: that is the pointer to an occurrence.
@@ -40,7 +40,7 @@ from . import textvec as tv
 from .common import buckets_for, ship, written
 from .packing_io import blob_to_batch, chunk_packer, pack_sorted, squeeze, unpack_sorted, unsqueeze
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 2 << 20
 _COUNTED = "bucket int, chunk long, mark long, prints binary, checks binary, counts binary"
 _OWNED = "chunk long, mark long, prints binary, counts binary"
@@ -82,7 +82,7 @@ class Phrases:
         start, end = tv.spans(data, offsets, SEPARATORS)
         first = np.searchsorted(start, offsets)
         doc = np.repeat(np.arange(len(batch)), np.diff(first))
-        broken = np.cumsum(BREAKS[data])[start] if len(data) else start
+        broken = np.cumsum(BREAKS[data], dtype=np.int32)[start] if len(data) else start
         new = np.ones(len(start), dtype=bool)
         new[1:] = (broken[1:] != broken[:-1]) | (doc[1:] != doc[:-1])
         piece = np.cumsum(new)
@@ -170,13 +170,17 @@ def _counter(longest: int, buckets: int, bits: int):
                 cut = np.concatenate(([0], np.searchsorted(prints, edges), [len(prints)]))
                 rows = [(b, chunk.as_py(), mark.as_py(), pack_sorted(prints[x:y]), checks[x:y].tobytes(), _planes(counts[x:y]))
                         for b, (x, y) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if y > x]
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+                out = pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+                del p, order, prints, checks, begin, counts, rows
+                tv.lean()
+                yield out
     return run
 
 
 def _adder(least: int):
     """One bucket: the frequent fingerprints, each handed to one chunk, collided ones to all that hold them."""
     def run(table: pa.Table) -> pa.Table:
+        tv.lean()  # of the bucket before
         each = [unpack_sorted(x.as_buffer(), np.uint64) for x in table.column("prints")]
         counts = np.concatenate([_unplanes(x.as_buffer(), np.uint32) for x in table.column("counts")]).astype(np.uint64)
         checks = np.concatenate([np.frombuffer(x.as_buffer(), np.uint16) for x in table.column("checks")])
@@ -213,6 +217,7 @@ def _speller(longest: int, bits: int):
     def run(key: tuple, docs: pa.Table, owned: pa.Table) -> pa.Table:
         if not len(docs) or any(m != docs.column("mark")[0].as_py() for m in owned.column("mark").to_pylist()):
             raise RuntimeError("the documents changed between two reads; give a table, not a random or unordered source")
+        tv.lean()  # of the chunk before
         p = Phrases(blob_to_batch(docs.column("docs")[0].as_buffer()), longest, bits)
         found: Counter = Counter()
         for lang, words in zip(*np.unique(p.lang, return_counts=True)):

@@ -9,6 +9,8 @@ rules agree on UTF-8 text.
 
 from __future__ import annotations
 
+import ctypes
+import os
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -19,6 +21,31 @@ U64 = np.uint64
 _MASK = (1 << 64) - 1
 
 
+#: Resident bytes of a worker above which freed memory is handed back.
+LEAN_BYTES = 240 << 20
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
+
+def lean() -> None:
+    """Hand freed memory back to the system if the worker has grown.
+
+    Arrow's pool and the C allocator keep what is freed; workers are used again
+    by later tasks and stages, so without this each keeps its largest chunk ever.
+    """
+    try:
+        with open("/proc/self/statm") as f:
+            resident = int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+    except OSError:
+        resident = LEAN_BYTES + 1
+    if resident > LEAN_BYTES:
+        pa.default_memory_pool().release_unused()
+        if _trim is not None:
+            _trim(0)
+
+
 def splitmix(x: int) -> int:
     """One splitmix64 output for the integer state x (all 64-bit constants come from this rule)."""
     x = (x + 0x9E3779B97F4A7C15) & _MASK
@@ -200,10 +227,13 @@ def rechunk(batches: Iterable[pa.RecordBatch], size_of: Callable[[pa.RecordBatch
                 held.append(b.slice(at, i - at))
                 yield _joined(held)
                 held, total, at = [], 0, i
+                lean()
             total += s
         held.append(b.slice(at))
     if sum(len(b) for b in held):
         yield _joined(held)
+    held.clear()
+    lean()
 
 
 def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
