@@ -55,16 +55,23 @@ def daily_summary(observations: DataFrame, stations: DataFrame, keep_partitions:
     return t.join(s, "station_id")
 
 
-def monthly_summary(daily: DataFrame, exact_scale: int | None = None) -> DataFrame:
+#: Orders of the ordered forms. They are total as far as a station has one set of attributes, and a station with
+#: many rows is split over range partitions by the later columns.
+MONTHLY_ORDER = ["station_id", "year", "month"]
+ANOMALY_ORDER = ["year", "month", "station_id"]
+
+
+def monthly_summary(daily: DataFrame, exact_scale: int | None = None, ordered: bool = False) -> DataFrame:
     """Monthly averages / extremes / totals per station from the daily rows
     that have a max, min or precipitation value. Uses the daily rows'
     ``year`` / ``month`` columns when present (partition pruning), else
-    derives them from ``date``."""
+    derives them from ``date``. ``ordered``: by station, year and month
+    (range partitions; ``sinks.tables.write_ordered`` keeps the order in files)."""
     d = daily.filter(F.col("max_temp_celsius").isNotNull() | F.col("min_temp_celsius").isNotNull()
                      | F.col("precipitation_mm").isNotNull())
     year = F.col("year") if "year" in daily.columns else F.year("date")
     month = F.col("month") if "month" in daily.columns else F.month("date")
-    return d.groupBy(
+    out = d.groupBy(
         "station_id", "station_name", "country", "state", "latitude", "longitude",
         year.alias("year"), month.alias("month"),
     ).agg(
@@ -76,6 +83,7 @@ def monthly_summary(daily: DataFrame, exact_scale: int | None = None) -> DataFra
         _sum(F.col("precipitation_mm"), exact_scale).alias("total_precipitation"),
         F.count("date").cast("long").alias("days_in_month"),
     )
+    return out.orderBy(*MONTHLY_ORDER) if ordered else out
 
 
 def annual_summary(monthly: DataFrame, exact_scale: int | None = None) -> DataFrame:
@@ -100,21 +108,23 @@ ANNUAL_COLUMNS = ["station_id", "station_name", "country", "state", "latitude",
 
 
 def temp_anomaly(monthly: DataFrame, baseline_from: int, baseline_to: int, report_from: int,
-                 exact_scale: int | None = None) -> DataFrame:
+                 exact_scale: int | None = None, ordered: bool = False) -> DataFrame:
     """Monthly average temperature minus the station's baseline mean for the
     same calendar month over [baseline_from, baseline_to].
 
     The baseline has one row per (station, month), at most 12 a station; AQE
-    measures it and broadcasts it when it is small."""
+    measures it and broadcasts it when it is small. ``ordered``: by year,
+    month and station."""
     avg_scale = None if exact_scale is None else exact_scale + 2
     base = (monthly.filter(F.col("year").between(baseline_from, baseline_to))
             .groupBy("station_id", "month")
             .agg(_avg(F.col("avg_temp"), avg_scale).alias("baseline_temp")))
     cur = monthly.filter(F.col("year") >= report_from)
     j = cur.join(base, ["station_id", "month"])
-    return j.select("year", "month", "station_id", "station_name", "country", "state", "latitude",
-                    "longitude", "avg_temp", "baseline_temp",
-                    (F.col("avg_temp") - F.col("baseline_temp")).alias("temp_anomaly"))
+    out = j.select("year", "month", "station_id", "station_name", "country", "state", "latitude",
+                   "longitude", "avg_temp", "baseline_temp",
+                   (F.col("avg_temp") - F.col("baseline_temp")).alias("temp_anomaly"))
+    return out.orderBy(*ANOMALY_ORDER) if ordered else out
 
 
 def register_views(spark, observations: DataFrame, stations: DataFrame, exact_scale: int | None = None,

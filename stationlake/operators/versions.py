@@ -1,17 +1,15 @@
 """Table versions over a change log.
 
-A versioned table is stored as a change log ``(key..., columns..., op,
-commit_id)`` partitioned by ``commit_id`` (op is ``append``, ``update`` or
-``delete``; a delete carries the row it removes) plus a small commits table
-``(commit_id, parent_id, committed_at, operation, ...)``. Each commit holds
-at most one change per key.
-
-Every state question is one aggregation by key: ``max_by(row, commit_id)``
-over the commits up to the bound, which Spark aggregates partially before the
-shuffle, so a hot key costs one row per map task. Commit bounds that depend
-on the commits table are scalar subqueries; with a partitioned change log
-they show up as partition filters, so only the needed commit folders are
-read.
+A versioned table is a change log ``(key..., columns..., op, commit_id)``
+(op is ``append``, ``update`` or ``delete``; a delete carries the row it
+removes) and a small commits table (see ``sinks.version_log``). Each commit
+holds at most one change per key; a commit whose operation is ``append``
+only adds keys that are not live.
+
+Reads overlay the log: rows of append commits pass as they are, and only the
+keys changed by other commits are folded (``max_by(row, commit_id)``) and
+laid over them. Tables without a key are bags of rows: their versions are
+compared by signed counts.
 """
 
 from __future__ import annotations
@@ -21,10 +19,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-
 OPS = ("append", "update", "delete")
 
+#: Changed rows (by the commits' own counts) up to which the folded keys are broadcast to the log's
+#: readers; beyond it both sides are shuffled by key.
+BROADCAST_CHANGES = 1_000_000
+
 
 # --- commit bounds ----------------------------------------------------------------
 def commit_at_or_before(commits: DataFrame, ts) -> Column:
@@ -56,16 +56,47 @@ def _upto(changes: DataFrame, bound: Column | None) -> DataFrame:
 
 
 # --- reads ------------------------------------------------------------------------
-def as_of(changes: DataFrame, key: list[str], bound: Column | None = None,
-          append_only: bool = False) -> DataFrame:
-    """Table state after commit ``bound`` (latest when None). ``append_only``:
-    every commit is an append, so the state is the filtered log itself."""
+def _folded(changes: DataFrame, key: list[str]) -> DataFrame:
+    """Per key its last change: (key..., _r: values and op, _c: its commit)."""
+    vals = _value_cols(changes, key)
+    return changes.groupBy(*key).agg(F.max_by(F.struct(*vals, "op"), F.col("commit_id")).alias("_r"),
+                                     F.max("commit_id").alias("_c"))
+
+
+def as_of(changes: DataFrame, key: list[str], bound: Column | None = None, commits: DataFrame | None = None,
+          broadcast_changes: int = BROADCAST_CHANGES) -> DataFrame:
+    """Table state after commit ``bound`` (latest when None).
+
+    With ``commits`` the commits' operations decide what has to be folded. If
+    all are appends, the state is the filtered log: no shuffle. Otherwise the
+    rows of the other commits are folded by key, and an appended row stays if
+    its key was not changed, or was changed before it was appended (again).
+    Folded keys are broadcast when the commits count at most
+    ``broadcast_changes`` changed rows. Without ``commits`` every key is folded.
+    """
     vals = _value_cols(changes, key)
     c = _upto(changes, bound)
-    if append_only:
+    if commits is None:
+        last = _folded(c, key)
+        return last.filter(F.col("_r.op") != "delete").select(*key, *[F.col(f"_r.{v}").alias(v) for v in vals])
+    other = _upto(commits, bound).filter(F.col("operation") != "append")
+    if "base_rows" in commits.columns:  # the base of an expiry holds appends only
+        other = other.filter(F.col("base_rows").isNull())
+    ids = [(r["commit_id"], r["n"]) for r in other.select(
+        "commit_id", (F.col("added_rows") + F.col("updated_rows") + F.col("deleted_rows")).alias("n")).collect()]  # one a commit
+    if not ids:
         return c.select(*key, *vals)
-    last = c.groupBy(*key).agg(F.max_by(F.struct(*vals, "op"), F.col("commit_id")).alias("_r"))
-    return last.filter(F.col("_r.op") != "delete").select(*key, *[F.col(f"_r.{v}").alias(v) for v in vals])
+    changed = F.col("commit_id").isin([i for i, _ in ids])
+    last = _folded(c.filter(changed), key)
+    over = last.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], "_c")
+    if sum(n or 0 for _, n in ids) <= broadcast_changes:
+        over = F.broadcast(over)
+    same = F.lit(True)
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    kept = c.filter(~changed).join(over, same, "left").filter(F.col("_c").isNull() | (F.col("commit_id") > F.col("_c")))
+    return kept.select(*key, *vals).unionByName(
+        last.filter(F.col("_r.op") != "delete").select(*key, *[F.col(f"_r.{v}").alias(v) for v in vals]))
 
 
 def as_of_query(changes: DataFrame, commits: DataFrame, key: list[str], snapshot_id=None, timestamp=None,
@@ -73,7 +104,7 @@ def as_of_query(changes: DataFrame, commits: DataFrame, key: list[str], snapshot
                 order_by: list[str] | None = None) -> DataFrame:
     """As-of read + optional WHERE text (parsed as one expression) + LIMIT.
     With ``order_by`` (default: the key) the limit is a distributed top-k."""
-    df = as_of(changes, key, resolve_bound(commits, snapshot_id, timestamp, minutes_ago, now))
+    df = as_of(changes, key, resolve_bound(commits, snapshot_id, timestamp, minutes_ago, now), commits)
     if where:
         df = df.filter(F.expr(where))
     if limit is not None:
@@ -114,8 +145,7 @@ def _two_states(changes: DataFrame, key: list[str], early: Column, late: Column
     return out.filter(F.col("change_type").isNotNull())
 
 
-def version_diff(changes: DataFrame, key: list[str], from_bound: Column, to_bound: Column | None = None
-                 ) -> DataFrame:
+def version_diff(changes: DataFrame, key: list[str], from_bound: Column, to_bound: Column) -> DataFrame:
     """Rows added, removed or changed between two versions (from < to):
     one row per key with ``change_type`` and the before/after values. Only
     keys written after ``from_bound`` can differ, and one aggregation finds
@@ -123,8 +153,52 @@ def version_diff(changes: DataFrame, key: list[str], from_bound: Column, to_boun
     return _two_states(changes, key, from_bound, to_bound)
 
 
+def _bag_sides(copies: Column) -> list[Column]:
+    return [F.when(copies > 0, "added").otherwise("removed").alias("change_type"), F.abs(copies).cast("long").alias("copies")]
+
+
+def version_diff_bag(changes: DataFrame, from_bound: Column, to_bound: Column) -> DataFrame:
+    """Rows added and removed between two versions (from < to) of a table without a key.
+
+    The log holds appended and deleted rows only (a changed row is a delete and
+    an append), and equal rows count one by one. The difference is the signed
+    count of each row over the commits in between, so nothing before
+    ``from_bound`` is read, and rows that come and go cancel in one partially
+    aggregated shuffle: (columns..., change_type, copies).
+    """
+    cols = _value_cols(changes, [])
+    between = changes.filter((F.col("commit_id") > from_bound) & (F.col("commit_id") <= to_bound))
+    sign = F.when(F.col("op") == "append", 1).when(F.col("op") == "delete", -1).otherwise(
+        F.raise_error(F.lit("a table without a key has no updates")).cast("int"))
+    net = between.groupBy(*cols).agg(F.sum(sign).alias("_n")).filter(F.col("_n") != 0)
+    return net.select(*cols, *_bag_sides(F.col("_n")))
+
+
+def bag_difference(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``after`` EXCEPT ALL ``before`` as added rows, ``before`` EXCEPT ALL ``after`` as removed ones, for any two
+    tables of the same columns: (columns..., change_type, copies), a row a distinct row that differs in number.
+
+    Tables that mostly agree are cheap: only a 128-bit hash and a sign a row are
+    shuffled (combined in the map tasks), and whole rows are then read again for
+    the hashes whose counts differ. NULLs are equal to each other.
+    """
+    cols = before.columns
+
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        whole = [F.col(f"`{c}`") for c in cols]
+        # NULL adds nothing to a hash, so a mark of the NULLs goes in as well
+        nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in whole])
+        return df.select(*whole, F.lit(sign).alias("_n"), F.xxhash64(nulls, *whole).alias("_h"),
+                         F.xxhash64(*whole, F.lit(7), nulls).alias("_g"))
+
+    both = signed(before, -1).unionByName(signed(after, 1))
+    differ = both.groupBy("_h", "_g").agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0).select("_h", "_g")
+    rows = both.join(differ, ["_h", "_g"], "left_semi").groupBy(*[f"`{c}`" for c in cols]).agg(F.sum("_n").alias("_n"))
+    return rows.filter(F.col("_n") != 0).select(*[F.col(f"`{c}`") for c in cols], *_bag_sides(F.col("_n")))
+
+
 def restore_changes(changes: DataFrame, key: list[str], to_bound: Column, new_commit_id: Column,
-                    latest: Column | None = None) -> DataFrame:
+                    latest: Column) -> DataFrame:
     """The change rows of a new commit that makes the latest state equal the
     state at ``to_bound``; history is kept (append them to the log).
     ``latest``: the last commit, so rows without a commit stay unseen."""
@@ -154,31 +228,32 @@ def keys_changed_more_than_once(changes: DataFrame, key: list[str]) -> DataFrame
     return changes.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*key)
 
 
-def list_snapshots(commits: DataFrame, changes: DataFrame) -> DataFrame:
-    """Commits newest first with row counts from the log and the live row
-    total after each commit (running sum over the small commits table)."""
-    counts = changes.groupBy("commit_id").agg(
-        F.count_if(F.col("op") == "append").cast("long").alias("added_rows"),
-        F.count_if(F.col("op") == "update").cast("long").alias("updated_rows"),
-        F.count_if(F.col("op") == "delete").cast("long").alias("deleted_rows"))
-    j = commits.select("commit_id", "parent_id", "committed_at", "operation").join(counts, "commit_id", "left")
+def list_snapshots(commits: DataFrame) -> DataFrame:
+    """Commits newest first with the rows and files each added, updated and
+    deleted and the totals after it. All of it was stored when the commits were
+    written, so the log is not read. Totals start from the base's own numbers
+    when older commits have been expired (running sum over the small commits
+    table, one row a commit)."""
     w = Window.orderBy("commit_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return j.select(
+    base = F.col("base_rows").isNotNull()
+    rows = F.when(base, F.col("base_rows")).otherwise(F.col("added_rows") - F.col("deleted_rows"))
+    files = F.when(base, F.col("base_files")).otherwise(F.col("added_files") - F.col("deleted_files"))
+    return commits.select(
         "commit_id", "parent_id", "committed_at",
         F.date_format("committed_at", "yyyy-MM-dd HH:mm:ss.SSS").alias("committed_at_text"),
         F.unix_millis(F.col("committed_at").cast("timestamp")).alias("timestamp_ms"),
-        "operation", "added_rows", "updated_rows", "deleted_rows",
-        F.sum(F.col("added_rows") - F.col("deleted_rows")).over(w).cast("long").alias("total_rows"),
+        "operation", "added_rows", "updated_rows", "deleted_rows", "added_files", "deleted_files",
+        F.sum(rows).over(w).cast("long").alias("total_rows"), F.sum(files).over(w).cast("long").alias("total_files"),
     ).orderBy(F.col("commit_id").desc())
 
 
 # --- maintenance ------------------------------------------------------------------
-def fold_before(changes: DataFrame, key: list[str], oldest_kept: Column) -> DataFrame:
+def fold_before(changes: DataFrame, key: list[str], oldest_kept: Column, commits: DataFrame | None = None) -> DataFrame:
     """New change log in which every commit before ``oldest_kept`` is folded
     into one base commit at ``oldest_kept`` holding that version's state.
     As-of answers for every commit >= oldest_kept are unchanged."""
     vals = _value_cols(changes, key)
-    base = as_of(changes, key, oldest_kept).select(
+    base = as_of(changes, key, oldest_kept, commits).select(
         *key, *vals, F.lit("append").alias("op"), oldest_kept.cast("long").alias("commit_id"))
     return base.unionByName(changes.filter(F.col("commit_id") > oldest_kept))
 
@@ -201,97 +276,3 @@ def expire_older_than(changes: DataFrame, commits: DataFrame, key: list[str], ts
 
 def expire_retain_last(changes: DataFrame, commits: DataFrame, key: list[str], n: int) -> DataFrame:
     return fold_before(changes, key, oldest_of_last(commits, n))
-
-
-def expire_commits(commits: DataFrame, oldest_kept: Column) -> DataFrame:
-    """Commits table after expiry: older commits dropped, the oldest kept one
-    becomes the base (no parent)."""
-    c = commits.filter(F.col("commit_id") >= oldest_kept)
-    return c.withColumn("parent_id", F.when(F.col("commit_id") == oldest_kept, F.lit(None).cast("long"))
-                        .otherwise(F.col("parent_id")))
-
-
-# --- writing ----------------------------------------------------------------------
-def reduce_to_one_op_per_key(batch: DataFrame, key: list[str], seq_col: str | None = None) -> DataFrame:
-    """One change per key: the last by ``seq_col`` when given (aggregated
-    partially, so a hot key is cheap); without it, duplicates are an error
-    (their order would be undefined)."""
-    cols = [c for c in batch.columns if c not in (*key, seq_col)]
-    if seq_col is not None:
-        last = batch.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col(seq_col)).alias("_r"))
-        return last.select(*key, *[F.col(f"_r.{c}").alias(c) for c in cols])
-    dup = batch.groupBy(*key).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError("a commit may hold one change per key; pass seq_col to order them")
-    return batch
-
-
-def commit_changes(spark, log_path: str, commits_path: str, batch: DataFrame, key: list[str],
-                   operation: str, seq_col: str | None = None, commit_id: int | None = None,
-                   committed_at: dt.datetime | None = None) -> int:
-    """Append one commit to a change log folder partitioned by commit_id and
-    to its commits table. ``batch`` holds the key, the value columns and
-    ``op`` (append / update / delete). Re-running with the same
-    ``commit_id`` rewrites just that commit's folder (dynamic overwrite), so a
-    retried job does not duplicate it. Returns the commit id."""
-    jvm = spark.sparkContext._jvm
-    fs_path = jvm.org.apache.hadoop.fs.Path(commits_path)
-    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    commits = spark.read.parquet(commits_path) if fs.exists(fs_path) else None
-    if commit_id is None:
-        last = commits.agg(F.max("commit_id")).first()[0] if commits is not None else None
-        commit_id = (last or 0) + 1
-    rows = reduce_to_one_op_per_key(batch, key, seq_col)
-    bad = rows.filter(~F.col("op").isin(*OPS)).limit(1).count()
-    if bad:
-        raise ValueError(f"op must be one of {OPS}")
-    (rows.withColumn("commit_id", F.lit(commit_id).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("commit_id").parquet(log_path))
-    counts = spark.read.parquet(f"{log_path}/commit_id={commit_id}").agg(
-        F.count_if(F.col("op") != "delete").cast("long").alias("added_rows"),
-        F.count_if(F.col("op") != "append").cast("long").alias("deleted_rows"))
-    when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    row = counts.select(F.lit(commit_id).cast("long").alias("commit_id"),
-                        F.lit(commit_id - 1 if commit_id > 1 else None).cast("long").alias("parent_id"),
-                        F.lit(when).cast("timestamp_ntz").alias("committed_at"),
-                        F.lit(operation).alias("operation"), "added_rows", "deleted_rows")
-    if commits is not None:
-        row = row.unionByName(commits.filter(F.col("commit_id") != commit_id))
-    _replace_small_table(spark, row, commits_path)
-    return commit_id
-
-
-def _replace_small_table(spark, df: DataFrame, path: str) -> None:
-    """Rewrite the (small) commits table without reading and writing the same
-    folder in one job: write a new folder, then swap it in."""
-    import uuid
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.new-{uuid.uuid4().hex[:8]}")
-    df.coalesce(1).write.mode("errorifexists").parquet(tmp.toString())
-    if fs.exists(target):
-        old = jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex[:8]}")
-        fs.rename(target, old)
-        fs.rename(tmp, target)
-        fs.delete(old, True)
-    else:
-        fs.rename(tmp, target)
-
-
-def restore_to(spark, log_path: str, commits_path: str, key: list[str], to_commit: int,
-               schema: str | None = None) -> int:
-    """Make the latest version equal version ``to_commit`` by appending one
-    new commit (history is kept, so the restore itself can be undone). When
-    they are equal already there is no new commit and the last one's id is
-    returned."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    changes = reader.parquet(log_path)
-    commits = spark.read.parquet(commits_path)
-    new_id = commits.agg(F.max("commit_id")).first()[0] + 1
-    batch = restore_changes(changes, key, F.lit(int(to_commit)), F.lit(new_id), F.lit(new_id - 1)).drop("commit_id")
-    if batch.isEmpty():
-        return new_id - 1
-    return commit_changes(spark, log_path, commits_path, batch, key, "restore", commit_id=new_id)

@@ -158,7 +158,19 @@ ORACLES["sink_register_files"] = OBS + "SELECT * FROM obs"
 ORACLES["sink_create_table"] = f"""WITH {OBS_LI}, {ST_SUP}
 SELECT 'stations' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM st
 UNION ALL SELECT 'observations', CAST(COUNT(*) AS BIGINT) FROM obs"""
-ORACLES["describe_table"] = OBS + """SELECT * FROM (VALUES
+ORACLES["describe_table"] = """SELECT * FROM (VALUES
+  ('station_id', 'string', 1, false), ('date', 'date', 2, false), ('element', 'string', 3, false),
+  ('value', 'double', 4, false), ('measurement_flag', 'string', 5, false), ('quality_flag', 'string', 6, false),
+  ('source_flag', 'string', 7, false), ('observation_time', 'timestamp_ntz', 8, false),
+  ('year', 'int', 9, true), ('month', 'int', 10, true)) v(column_name, data_type, ordinal_position, is_partition)"""
+ORACLES["table_files"] = OBS + "SELECT year, month, CAST(COUNT(*) AS BIGINT) AS row_count FROM obs GROUP BY year, month"
+ORACLES["sink_register_outside"] = OBS + "SELECT * FROM obs"
+ORACLES["annual_table"] = ORACLES["annual_refresh"]
+ORACLES["monthly_summary_ordered"] = ORACLES["monthly_summary"].replace(
+    "SELECT * FROM monthly", "SELECT *, row_number() OVER (ORDER BY station_id, year, month) AS position FROM monthly")
+ORACLES["temp_anomaly_ordered"] = f"""SELECT *, row_number() OVER (ORDER BY year, month, station_id) AS position
+FROM ({ORACLES["temp_anomaly"]})"""
+ORACLES["column_profile"] = OBS + """SELECT * FROM (VALUES
   ('station_id', 'string', 1, false), ('date', 'date', 2, false), ('element', 'string', 3, false),
   ('value', 'double', 4, false), ('measurement_flag', 'string', 5, false), ('quality_flag', 'string', 6, false),
   ('source_flag', 'string', 7, false), ('observation_time', 'timestamp_ntz', 8, false),
@@ -273,7 +285,9 @@ ORACLES["observation_time_stream"] = f"""WITH {EV}
 SELECT event_id, CASE c WHEN 6 THEN '' WHEN 8 THEN '2400' ELSE strftime(ts, '%H:%M') END AS observation_time_text,
        CASE WHEN c IN (6, 8) THEN NULL ELSE date_trunc('minute', ts) END AS observation_time
 FROM rr WHERE reject_reason IS NULL OR reject_reason = 'invalid_observation_time'"""
-ORACLES["src_json_file"] = f"WITH {EVQ}\nSELECT {OBS_COLS} FROM acc_msgs"
+# Files: every tenth batch lies there as plain messages, whose envelopes are decoded.
+EVF = EVQ.replace("WHEN 5 THEN 'missing_station_id'", "WHEN 5 THEN CASE WHEN (event_id // 10) % 10 > 0 THEN 'missing_station_id' END")
+ORACLES["src_json_file"] = f"WITH {EVF}\nSELECT {OBS_COLS} FROM acc_msgs"
 ORACLES["src_message_batch"] = f"WITH {EVQ}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"
 ORACLES["stream_ingest"] = f"WITH {EVQ}\nSELECT event_id, {OBS_COLS} FROM acc_msgs"
 
@@ -316,9 +330,11 @@ ORACLES["asof_where_limit"] = f"""WITH {CHG}
 SELECT * FROM {state_at('9')} s WHERE o_orderstatus = 'F' AND o_totalprice > 100000 ORDER BY o_orderkey LIMIT 10"""
 ORACLES["list_snapshots"] = f"""WITH {CHG}
 SELECT commit_id, parent_id, committed_at, strftime(committed_at, '%Y-%m-%d %H:%M:%S.%g') AS committed_at_text,
-       epoch_ms(committed_at) AS timestamp_ms, operation, added_rows, updated_rows, deleted_rows,
-       CAST(SUM(added_rows - deleted_rows) OVER (ORDER BY commit_id) AS BIGINT) AS total_rows
-FROM commits"""
+       epoch_ms(committed_at) AS timestamp_ms, operation, added_rows, updated_rows, deleted_rows, added_files,
+       CAST(0 AS BIGINT) AS deleted_files,
+       CAST(SUM(added_rows - deleted_rows) OVER (ORDER BY commit_id) AS BIGINT) AS total_rows,
+       CAST(SUM(added_files) OVER (ORDER BY commit_id) AS BIGINT) AS total_files
+FROM (SELECT *, (added_rows + updated_rows + deleted_rows + 999) // 1000 AS added_files FROM commits)"""
 DIFF_SELECT = """SELECT COALESCE(a.o_orderkey, b.o_orderkey) AS o_orderkey,
        CASE WHEN a.o_orderkey IS NULL THEN 'added' WHEN b.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change_type,
        a.o_custkey AS before_o_custkey, a.o_orderstatus AS before_o_orderstatus, a.o_totalprice AS before_o_totalprice,
@@ -339,6 +355,31 @@ SELECT o_orderkey,
        CASE change_type WHEN 'added' THEN 'delete' WHEN 'removed' THEN 'append' ELSE 'update' END AS op,
        CAST(10 AS BIGINT) AS commit_id
 FROM d"""
+BAG = """bag AS (
+  SELECT l_suppkey AS suppkey, NULLIF(l_returnflag, 'N') AS flag, l_linestatus AS status, l_linenumber AS line, l_returnflag AS rf,
+         EXTRACT(YEAR FROM l_shipdate) - 1994 AS commit_id
+  FROM lineitem),
+up AS (SELECT suppkey, flag, status, commit_id FROM bag
+       UNION ALL SELECT suppkey, flag, status, 9 FROM bag WHERE rf = 'A' AND line = 2),
+down AS (SELECT suppkey, flag, status, 8 AS commit_id FROM bag WHERE rf = 'R' AND line = 1)"""
+
+
+def both_ways(before: str, after: str) -> str:
+    return f"""SELECT suppkey, flag, status, 'added' AS change_type, CAST(COUNT(*) AS BIGINT) AS copies
+FROM (({after}) EXCEPT ALL ({before})) GROUP BY ALL
+UNION ALL
+SELECT suppkey, flag, status, 'removed', CAST(COUNT(*) AS BIGINT)
+FROM (({before}) EXCEPT ALL ({after})) GROUP BY ALL"""
+
+
+def bag_at(bound: int) -> str:
+    return (f"SELECT suppkey, flag, status FROM up WHERE commit_id <= {bound} "
+            f"EXCEPT ALL SELECT suppkey, flag, status FROM down WHERE commit_id <= {bound}")
+
+
+ORACLES["version_diff_bag"] = f"WITH {BAG}\n" + both_ways(bag_at(5), bag_at(9))
+ORACLES["table_diff_bag"] = f"WITH {BAG}\n" + both_ways(
+    "SELECT suppkey, flag, status FROM up WHERE commit_id <= 7", "SELECT suppkey, flag, status FROM up WHERE commit_id <> 2")
 ORACLES["version_audit"] = f"""WITH {CHG}
 SELECT c.commit_id, c.o_orderkey, c.o_custkey, c.o_orderstatus, c.o_totalprice, c.o_orderdate, c.op,
        m.committed_at, m.operation AS commit_operation
@@ -358,6 +399,8 @@ ORACLES["daily_job"] = (f"WITH {LI_CSV},\nst AS ({ST_FW}),\n"
                         f"obs AS (SELECT * FROM acc WHERE station_id IN (SELECT station_id FROM st)),\n"
                         f"{DAILY},\n{MONTHLY}\n" + ANNUAL_SELECT.format(where=""))
 
+ORACLES["daily_job_rerun"] = ORACLES["daily_job"]
+
 ORACLES["reject_report"] = ORACLES["reject_report"].replace(f"WITH {LI_CSV}", f"WITH {LI_CSV},\n{EV}", 1) + """
 UNION ALL
 SELECT 'messages', reject_reason, CAST(COUNT(*) AS BIGINT) FROM rr WHERE reject_reason IS NOT NULL GROUP BY 2"""

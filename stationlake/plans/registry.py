@@ -20,10 +20,11 @@ from stationlake.operators import tables as TB
 from stationlake.operators import versions as V
 from stationlake.operators.joins import semi_join_stations
 from stationlake.plans.jobs import daily_run
-from stationlake.plans.maintenance import compact_observations
-from stationlake.schemas import OBSERVATION_COLUMNS
+from stationlake.plans.maintenance import compact
+from stationlake.schemas import OBSERVATION_COLUMNS, OBSERVATIONS_SCHEMA, PARTITION_COLUMNS
 from stationlake.session import configure, scratch_path
 from stationlake.sinks import tables as SK
+from stationlake.sinks import version_log as VL
 from stationlake.sources import fixed_width as FW
 from stationlake.sources import fixtures as FX
 from stationlake.sources import messages as M
@@ -224,9 +225,9 @@ def q_sink_create_table(spark, sf_dir):
     SK.create_tables(spark, db, loc, recreate=True)  # drops the filled tables with their rows
     SK.append_stations(FX.st_sup(spark, sf_dir), f"{db}.stations", is_table=True)
     SK.append_observations(FX.obs_li(spark, sf_dir), f"{db}.observations", is_table=True)
-    counts = [spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).cast("long").alias("row_count"))
-              .select(F.lit(t).alias("table_name"), "row_count") for t in ("stations", "observations")]
-    return counts[0].unionByName(counts[1])
+    counts = [(t, spark.table(f"{db}.{t}").count()) for t in ("stations", "observations")]
+    spark.sql(f"DROP DATABASE `{db}` CASCADE")
+    return spark.createDataFrame(counts, "table_name string, row_count long")
 
 
 @register("sink_register_files")
@@ -240,23 +241,71 @@ def q_sink_register_files(spark, sf_dir):
     return spark.table(f"{db}.observations").select(*OBSERVATION_COLUMNS)
 
 
+@register("sink_register_outside")
+def q_sink_register_outside(spark, sf_dir):
+    """Files in a folder of their own become partitions of a catalog table where they lie."""
+    db, loc = _fresh_db(spark)
+    SK.create_tables(spark, db, loc)
+    SK.register_outside(spark, f"{db}.observations", FX.observations_table(spark, sf_dir))
+    return spark.table(f"{db}.observations").select(*OBSERVATION_COLUMNS)
+
+
+@register("annual_table")
+def q_annual_table(spark, sf_dir):
+    """The annual summary as a named table, one year of it replaced."""
+    db, loc = _fresh_db(spark)
+    SK.create_database(spark, db, loc)
+    obs = FX.obs_li(spark, sf_dir)
+    st = FX.st_sup(spark, sf_dir)
+    annual = lambda o: S.annual_summary(
+        S.monthly_summary(S.daily_summary(o, st), exact_scale=EXACT), exact_scale=EXACT)
+    SK.create_annual_table(annual(obs.filter(F.col("date") < F.lit(MATERIALIZED_BEFORE))), f"{db}.annual")
+    SK.refresh_annual_table(spark, annual(obs.filter(F.col("year") == 2000)), f"{db}.annual", 2000)
+    return spark.table(f"{db}.annual").select(*S.ANNUAL_COLUMNS)
+
+
+@register("monthly_summary_ordered")
+def q_monthly_summary_ordered(spark, sf_dir):
+    """The ordered monthly summary in files; each row with its position in them."""
+    path = scratch_path(spark, "monthly-ordered")
+    df = _monthly(spark, sf_dir)
+    SK.write_ordered(df, path, S.MONTHLY_ORDER, max_records_per_file=500)
+    return SK.read_ordered(spark, path, df.schema)
+
+
+@register("temp_anomaly_ordered")
+def q_temp_anomaly_ordered(spark, sf_dir):
+    path = scratch_path(spark, "anomaly-ordered")
+    df = S.temp_anomaly(_monthly(spark, sf_dir), BASELINE_FROM, BASELINE_TO, REPORT_FROM, exact_scale=EXACT)
+    SK.write_ordered(df, path, S.ANOMALY_ORDER)
+    return SK.read_ordered(spark, path, df.schema)
+
+
 @register("describe_table")
 def q_describe_table(spark, sf_dir):
     obs = SK.read_observations(spark, FX.observations_table(spark, sf_dir))
     return TB.describe_table(obs, ["year", "month"])
 
 
+@register("column_profile")
+def q_column_profile(spark, sf_dir):
+    obs = SK.read_observations(spark, FX.observations_table(spark, sf_dir))
+    return TB.column_profile(obs, ["year", "month"])
+
+
 @register("table_files")
 def q_table_files(spark, sf_dir):
-    obs = SK.read_observations(spark, FX.observations_table(spark, sf_dir, max_records_per_file=250))
-    return TB.table_files(obs)
+    """Rows of each partition folder, from the files' footers."""
+    path = FX.observations_table(spark, sf_dir, max_records_per_file=250)
+    return TB.folder_facts(spark, path, OBSERVATIONS_SCHEMA, ["year", "month"]).select("year", "month", "row_count")
 
 
 @register("compact_files")
 def q_compact_files(spark, sf_dir):
-    src = FX.observations_table(spark, sf_dir, max_records_per_file=250)
-    res = compact_observations(spark, src, scratch_path(spark, "observations-compacted"))
-    return SK.read_observations(spark, res["path"])
+    path = scratch_path(spark, "observations")
+    SK.append_observations(FX.obs_li(spark, sf_dir), path, max_records_per_file=250)
+    compact(spark, path, OBSERVATIONS_SCHEMA, PARTITION_COLUMNS)
+    return SK.read_observations(spark, path)
 
 
 # --- raw file parsing ------------------------------------------------------------
@@ -374,35 +423,36 @@ DIFF_FROM, DIFF_TO = 7, 9
 RESTORE_TO = 7
 EXPIRE_BEFORE = _dt.datetime(2001, 6, 1)
 RETAIN_LAST = 2
+BAG_FROM, BAG_TO = 5, 9
 
 
 def _log(spark, sf_dir):
-    chg = FX.read_change_log(spark, sf_dir)
-    return chg, FX.order_commits(spark, chg)
+    path = FX.version_table(spark, sf_dir)
+    return VL.read_changes(spark, path, FX.ORDER_SCHEMA), VL.read_commits(spark, path)
 
 
 @register("asof_snapshot_id")
 def q_asof_snapshot_id(spark, sf_dir):
     chg, commits = _log(spark, sf_dir)
-    return V.as_of(chg, KEY, V.resolve_bound(commits, snapshot_id=ASOF_SNAPSHOT))
+    return V.as_of(chg, KEY, V.resolve_bound(commits, snapshot_id=ASOF_SNAPSHOT), commits)
 
 
 @register("asof_timestamp")
 def q_asof_timestamp(spark, sf_dir):
     chg, commits = _log(spark, sf_dir)
-    return V.as_of(chg, KEY, V.resolve_bound(commits, timestamp=ASOF_TIMESTAMP))
+    return V.as_of(chg, KEY, V.resolve_bound(commits, timestamp=ASOF_TIMESTAMP), commits)
 
 
 @register("asof_minutes_ago")
 def q_asof_minutes_ago(spark, sf_dir):
     chg, commits = _log(spark, sf_dir)
-    return V.as_of(chg, KEY, V.resolve_bound(commits, minutes_ago=MINUTES_AGO, now=NOW))
+    return V.as_of(chg, KEY, V.resolve_bound(commits, minutes_ago=MINUTES_AGO, now=NOW), commits)
 
 
 @register("asof_latest")
 def q_asof_latest(spark, sf_dir):
     chg, commits = _log(spark, sf_dir)
-    return V.as_of(chg, KEY, V.resolve_bound(commits))
+    return V.as_of(chg, KEY, V.resolve_bound(commits), commits)
 
 
 @register("asof_where_limit")
@@ -413,8 +463,7 @@ def q_asof_where_limit(spark, sf_dir):
 
 @register("list_snapshots")
 def q_list_snapshots(spark, sf_dir):
-    chg, commits = _log(spark, sf_dir)
-    return V.list_snapshots(commits, chg)
+    return V.list_snapshots(VL.read_commits(spark, FX.version_table(spark, sf_dir)))
 
 
 @register("version_diff")
@@ -427,7 +476,7 @@ def q_version_diff(spark, sf_dir):
 def q_version_restore(spark, sf_dir):
     chg, commits = _log(spark, sf_dir)
     new_id = commits.agg(F.max("commit_id") + 1).scalar()
-    return V.restore_changes(chg, KEY, F.lit(RESTORE_TO), new_id)
+    return V.restore_changes(chg, KEY, F.lit(RESTORE_TO), new_id, V.resolve_bound(commits))
 
 
 @register("version_audit")
@@ -436,16 +485,36 @@ def q_version_audit(spark, sf_dir):
     return V.version_audit(chg, commits, KEY, V.keys_changed_more_than_once(chg, KEY))
 
 
+@register("version_diff_bag")
+def q_version_diff_bag(spark, sf_dir):
+    """Two versions of a table without a key, from its change log."""
+    return V.version_diff_bag(FX.bag_change_log(spark, sf_dir), F.lit(BAG_FROM), F.lit(BAG_TO))
+
+
+@register("table_diff_bag")
+def q_table_diff_bag(spark, sf_dir):
+    """Two states of a table without a key, row by row."""
+    log = FX.bag_change_log(spark, sf_dir).drop("op")
+    before = log.filter(F.col("commit_id") <= 7).drop("commit_id")
+    after = log.filter(~F.col("commit_id").isin(2, 8)).drop("commit_id")
+    return V.bag_difference(before, after)
+
+
+def _expired(spark, sf_dir, **keep):
+    path = FX.write_version_table(spark, sf_dir)
+    VL.expire(spark, path, FX.ORDER_SCHEMA, KEY, **keep)
+    return VL.read_changes(spark, path, FX.ORDER_SCHEMA)
+
+
 @register("expire_older_than")
 def q_expire_older_than(spark, sf_dir):
-    chg, commits = _log(spark, sf_dir)
-    return V.expire_older_than(chg, commits, KEY, EXPIRE_BEFORE)
+    """The log of a table after a real expiry: base, then later commits."""
+    return _expired(spark, sf_dir, older_than=EXPIRE_BEFORE)
 
 
 @register("expire_retain_last")
 def q_expire_retain_last(spark, sf_dir):
-    chg, commits = _log(spark, sf_dir)
-    return V.expire_retain_last(chg, commits, KEY, RETAIN_LAST)
+    return _expired(spark, sf_dir, retain_last=RETAIN_LAST)
 
 
 # --- JOB-1 ----------------------------------------------------------------------
@@ -459,3 +528,12 @@ def q_daily_job(spark, sf_dir):
     res = daily_run(spark, FX.station_file(spark, sf_dir), FX.observation_files(spark, sf_dir),
                     scratch_path(spark, "warehouse"), JOB_RUN_DATE, filter_stations=True, all_years=True, exact_scale=EXACT)
     return SK.read_annual(spark, res["annual"], S.ANNUAL_COLUMNS)
+
+
+@register("daily_job_rerun")
+def q_daily_job_rerun(spark, sf_dir):
+    """A load of all years, then of one year of the same source, with its refresh and a compaction; the annual table."""
+    args = (FX.station_file(spark, sf_dir), FX.observation_files(spark, sf_dir), scratch_path(spark, "warehouse"))
+    daily_run(spark, *args, JOB_RUN_DATE, filter_stations=True, all_years=True, exact_scale=EXACT)
+    res = daily_run(spark, *args, JOB_RUN_DATE, filter_stations=True, year=1998, compact=True, exact_scale=EXACT)
+    return SK.read_annual(spark, res["annual"], S.ANNUAL_COLUMNS)

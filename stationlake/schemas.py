@@ -29,6 +29,13 @@ OBSERVATIONS_SCHEMA = T.StructType([
     T.StructField("month", T.IntegerType()),
 ])
 
+ANNUAL_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("station_id", "station_name", "country", "state")]
+    + [T.StructField(c, T.DoubleType()) for c in ("latitude", "longitude")] + [T.StructField("year", T.IntegerType())]
+    + [T.StructField(f"yearly_{c}", T.DoubleType()) for c in ("avg_max_temp", "avg_min_temp", "avg_temp", "highest_max_temp",
+                                                              "lowest_min_temp", "total_precipitation")]
+    + [T.StructField("days_with_data", T.LongType())])
+
 STATION_COLUMNS = [f.name for f in STATIONS_SCHEMA.fields]
 OBSERVATION_COLUMNS = [f.name for f in OBSERVATIONS_SCHEMA.fields]
 PARTITION_COLUMNS = ["year", "month"]

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationlake.schemas import (OBSERVATION_COLUMNS, OBSERVATIONS_SCHEMA, PARTITION_COLUMNS,
+from stationlake.schemas import (ANNUAL_SCHEMA, OBSERVATION_COLUMNS, OBSERVATIONS_SCHEMA, PARTITION_COLUMNS,
                                  STATION_COLUMNS, STATIONS_SCHEMA)
 
 
@@ -98,34 +98,119 @@ def register_files(spark: SparkSession, table: str) -> None:
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
+def register_outside(spark: SparkSession, table: str, folder: str,
+                     pattern: str = r"year=(\d+)/month=(\d+)/[^/]*$") -> int:
+    """Make Parquet files anywhere under ``folder`` rows of a catalog table partitioned by year and month, without a copy.
+
+    Partitions are found from the files' paths: ``pattern`` captures year and
+    month. Each becomes a partition with its own location; a folder is
+    registered once, and a partition that the table already holds somewhere
+    else is an error before anything is registered, as a partition has one
+    location. Only paths are read (a listing); the driver sees one row a
+    partition folder. Returns the number of new partitions.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(folder)
+    parts = [F.regexp_extract("path", pattern, i).alias(c) for i, c in enumerate(PARTITION_COLUMNS, 1)]
+    found = files.select(*parts, F.regexp_replace("path", "/[^/]*$", "").alias("location")).distinct().collect()
+    bad = [r["location"] for r in found if not r["year"]]
+    if bad:
+        raise ValueError(f"no year and month in {bad[:3]}")
+    wanted = {(int(r["year"]), int(r["month"])): r["location"] for r in found}
+    if len(wanted) < len(found):
+        raise ValueError("a partition's files lie in several folders")
+    held = {tuple(int(kv.split("=")[1]) for kv in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    new = {}
+    for key, location in wanted.items():
+        if key not in held:
+            new[key] = location
+        elif _location(spark, table, key) != location.split(":", 1)[-1].replace("//", "/"):
+            raise ValueError(f"{table} already holds year={key[0]}, month={key[1]} in another folder")
+    for some in _groups(sorted(new.items()), 200):
+        spark.sql(f"ALTER TABLE {table} ADD " + " ".join(
+            f"PARTITION (year={y}, month={m}) LOCATION '{where}'" for (y, m), where in some))
+    return len(new)
+
+
+def _groups(items: list, n: int) -> list[list]:
+    return [items[i:i + n] for i in range(0, len(items), n)]
+
+
+def _location(spark: SparkSession, table: str, key: tuple[int, int]) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (year={key[0]}, month={key[1]})").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location").split(":", 1)[-1].replace("//", "/")
+
+
+# --- ordered files -----------------------------------------------------------------
+def write_ordered(df: DataFrame, path: str, order: list[str], max_records_per_file: int | None = None) -> None:
+    """Write rows so that file order is row order: files in the order of their names, read one after the other, are
+    sorted by ``order``. The sort is a range partitioning (sampled bounds over all order columns, so a value of the
+    first column that holds much of the data is split by the others); each range is one task's file or files."""
+    w = df.orderBy(*order).write
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of an ordered folder with their ``position`` (from 1) in the whole order. Where a file begins follows from
+    the row counts of the files before it (their footers; one row a file)."""
+    name = F.col("_metadata.file_name")
+    place = [F.regexp_extract(name, r"part-(\d+)", 1).cast("int"), F.expr("try_cast(nullif(regexp_extract(_metadata.file_name, '-c([0-9]+)[.]', 1), '') as int)")]
+    files = (spark.read.schema(schema).parquet(path).select(name.alias("_file"), place[0].alias("_p"), place[1].alias("_c"))
+             .groupBy("_file", "_p", "_c").agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.orderBy("_p", "_c").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    rows = spark.read.schema(schema).parquet(path).select("*", name.alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    return rows.join(starts, "_file").select(*schema.names, (F.col("_start") + F.col("_at") + 1).cast("long").alias("position"))
+
+
+# --- annual table -------------------------------------------------------------------
 ANNUAL_SORT = ["country", "state", "station_id", "year"]
 # Partition columns lead a file sort: otherwise the writer sorts by them itself and the order inside is lost.
 ANNUAL_FILE_SORT = ["year", "country", "state", "station_id"]
 
 
+def _annual_writer(annual: DataFrame):
+    return annual.hint("rebalance", "year").sortWithinPartitions(*ANNUAL_FILE_SORT).write
+
+
 def materialize_annual(annual: DataFrame, path: str) -> None:
-    """CTAS equivalent: Parquet partitioned by year, rows sorted inside each
+    """Parquet folder partitioned by year, rows sorted inside each
     file by (country, state, station_id) for min/max skipping."""
-    (annual.hint("rebalance", "year").sortWithinPartitions(*ANNUAL_FILE_SORT)
-     .write.mode("overwrite").partitionBy("year").parquet(path))
+    _annual_writer(annual).mode("overwrite").partitionBy("year").parquet(path)
+
+
+def create_annual_table(annual: DataFrame, table: str) -> None:
+    """CREATE TABLE .. AS SELECT: the annual summary as a named catalog table, partitioned and sorted as the folder form."""
+    _annual_writer(annual).mode("overwrite").format("parquet").partitionBy("year").saveAsTable(table)
+
+
+def refresh_annual_table(spark: SparkSession, annual: DataFrame, table: str, year: int) -> None:
+    """Replace one year of the named table; a year that has no rows any more loses its partition."""
+    columns = spark.table(table).columns
+    rows = _annual_rows(annual, year).select(*columns)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (year = {int(year)})")
+    rows.write.insertInto(table)
+
+
+def _annual_rows(annual: DataFrame, year: int) -> DataFrame:
+    return annual.filter(F.col("year") == year).hint("rebalance").sortWithinPartitions(*ANNUAL_FILE_SORT)
 
 
 def refresh_annual(annual: DataFrame, path: str, as_of: dt.date | None = None,
-                   mode: str = "replace") -> int:
-    """Recompute the previous year (relative to ``as_of``, default today) and
-    replace only that ``year`` partition. ``mode='append'`` reproduces a
-    plain INSERT. Returns the refreshed year. Build ``annual`` from
-    observations already filtered on their ``year`` partition column, so the
-    scan is pruned to that year (see ``plans.jobs.daily_run``)."""
-    year = (as_of or dt.date.today()).year - 1
-    part = annual.filter(F.col("year") == year)
-    w = part.hint("rebalance", "year").sortWithinPartitions(*ANNUAL_FILE_SORT).write.partitionBy("year")
-    if mode == "append":
-        w.mode("append").parquet(path)
-    else:
-        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+                   mode: str = "replace", year: int | None = None) -> int:
+    """Recompute one year (``year``, or the year before ``as_of``, default
+    today) and replace only that ``year`` partition, also when no row is left in
+    it. ``mode='append'`` reproduces a plain INSERT. Returns the refreshed
+    year. Build ``annual`` from observations already filtered on their
+    ``year`` partition column, so the scan is pruned to that year (see
+    ``plans.jobs.daily_run``)."""
+    if year is None:
+        year = (as_of or dt.date.today()).year - 1
+    rows = _annual_rows(annual, year).drop("year")
+    rows.write.mode("append" if mode == "append" else "overwrite").parquet(f"{path}/year={year}")
     return year
 
 
 def read_annual(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    return spark.read.parquet(path).select(*columns)
+    return spark.read.schema(ANNUAL_SCHEMA).parquet(path).select(*columns)

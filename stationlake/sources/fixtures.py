@@ -66,13 +66,23 @@ def obs_li(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def st_sup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier x nation x region as stations. nation and region are tiny
-    dimension tables, so the joins are broadcast."""
+    """The stations as a stored table, whose size Spark knows when it plans a join."""
+    from stationlake.sinks.tables import append_stations, read_stations
+
+    def build():
+        path = scratch_path(spark, "stations")
+        append_stations(supplier_stations(spark, sf_dir), path)
+        return path
+    return read_stations(spark, _written(spark, ("stations", sf_dir), build))
+
+
+def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier x nation x region as stations."""
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    j = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-         .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey))
+    j = (s.join(n, s.s_nationkey == n.n_nationkey)
+         .join(r, F.col("n_regionkey") == r.r_regionkey))
     return j.select(
         station_id(F.col("s_suppkey")).alias("station_id"),
         F.col("s_name").alias("name"),
@@ -102,8 +112,8 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    j = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-         .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey))
+    j = (s.join(n, s.s_nationkey == n.n_nationkey)
+         .join(r, F.col("n_regionkey") == r.r_regionkey))
     k = F.col("s_suppkey")
     defect = k % 10
     lat = F.when(defect == 3, F.lit("x")).otherwise(
@@ -282,13 +292,14 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return appends.unionByName(deletes).unionByName(updates)
 
 
+ORDER_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+                "o_orderdate TIMESTAMP_NTZ")
+COMMIT_FILE_ROWS = 1000  # most rows of a file of the order log
+
+
 def order_commits(spark: SparkSession, changes: DataFrame) -> DataFrame:
-    """Commit table derived from the change log: one row per commit id."""
-    per = changes.groupBy("commit_id").agg(
-        F.count_if(F.col("op") != "delete").cast("long").alias("added_rows"),
-        F.count_if(F.col("op") != "append").cast("long").alias("deleted_rows"),
-        F.min("op").alias("first_op"),
-    )
+    """When and what the commits of the order log are: (commit_id, parent_id, committed_at, operation)."""
+    per = changes.groupBy("commit_id").agg(F.min("op").alias("first_op"))
     committed = (F.when(F.col("commit_id") <= 7,
                         F.make_timestamp_ntz((F.col("commit_id") + 1994).cast("int"), F.lit(12), F.lit(31),
                                              F.lit(0), F.lit(0), F.lit(0)))
@@ -296,23 +307,51 @@ def order_commits(spark: SparkSession, changes: DataFrame) -> DataFrame:
                                                  F.lit(0), F.lit(0), F.lit(0))))
     operation = (F.when(F.col("first_op") == "append", "append").when(F.col("first_op") == "delete", "delete")
                  .otherwise("overwrite"))
-    return per.select(
-        "commit_id",
-        F.when(F.col("commit_id") > 1, F.col("commit_id") - 1).cast("long").alias("parent_id"),
-        committed.alias("committed_at"),
-        operation.alias("operation"),
-        "added_rows", "deleted_rows",
-    )
+    return per.select("commit_id", F.when(F.col("commit_id") > 1, F.col("commit_id") - 1).cast("long").alias("parent_id"),
+                      committed.alias("committed_at"), operation.alias("operation"))
+
+
+def write_version_table(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as a new versioned table (see ``sinks.version_log``); returns its path. A commit is written by one
+    task, so its number of files follows from its rows."""
+    from stationlake.sinks import version_log as VL
+    path = scratch_path(spark, "orders-versions")
+    (order_changes(spark, sf_dir).repartition("commit_id").write.option("maxRecordsPerFile", COMMIT_FILE_ROWS)
+     .partitionBy("commit_id").parquet(f"{path}/log"))
+    log = spark.read.schema(VL.log_schema(ORDER_SCHEMA)).parquet(f"{path}/log")
+    VL.record_commits(spark, path, order_commits(spark, log.select("op", "commit_id")))
+    return path
 
 
-def change_log_table(spark: SparkSession, sf_dir: str) -> str:
-    """Write the order change log partitioned by commit_id; return its path."""
+def version_table(spark: SparkSession, sf_dir: str) -> str:
+    """The versioned order table that read-only queries share."""
+    return _written(spark, ("orders-versions", sf_dir), lambda: write_version_table(spark, sf_dir))
+
+
+def bag_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change log without a key, with many equal rows: commits 1..7 append the line items of 1995..2001, 8 deletes
+    the first line of returned orders, 9 appends the second line of accepted ones once more."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_linenumber", F.col("l_suppkey").alias("suppkey"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"),
+        F.col("l_linestatus").alias("status"), F.col("l_returnflag"), (F.year("l_shipdate") - 1994).cast("long").alias("commit_id"))
+    cols = ["suppkey", "flag", "status"]
+    gone = li.filter((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1))
+    again = li.filter((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 2))
+    return (li.select(*cols, F.lit("append").alias("op"), "commit_id")
+            .unionByName(gone.select(*cols, F.lit("delete").alias("op"), F.lit(8).cast("long").alias("commit_id")))
+            .unionByName(again.select(*cols, F.lit("append").alias("op"), F.lit(9).cast("long").alias("commit_id"))))
+
+
+BAG_SCHEMA = "suppkey BIGINT, flag STRING, status STRING, op STRING, commit_id BIGINT"
+
+
+def bag_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written log without a key, partitioned by commit_id."""
     def build():
-        path = scratch_path(spark, "orders-changes")
-        (order_changes(spark, sf_dir).hint("rebalance", "commit_id")
-         .write.mode("overwrite").partitionBy("commit_id").parquet(path))
+        path = scratch_path(spark, "bag-changes")
+        bag_changes(spark, sf_dir).hint("rebalance", "commit_id").write.partitionBy("commit_id").parquet(path)
         return path
-    return _written(spark, ("orders-changes", sf_dir), build)
+    return spark.read.schema(BAG_SCHEMA).parquet(_written(spark, ("bag-changes", sf_dir), build))
 
 
 def observations_table(spark: SparkSession, sf_dir: str, max_records_per_file: int | None = None) -> str:
@@ -333,14 +372,16 @@ QUEUE_BATCH_SIZE = 10
 
 
 def message_files(spark: SparkSession, sf_dir: str) -> str:
-    """One JSON document per file: a queue event of at most QUEUE_BATCH_SIZE
-    records, pretty-printed over several lines (so only a whole-file read
-    sees a complete document)."""
+    """One JSON document per file: of every ten queue batches one as plain
+    messages, the others as queue events pretty-printed over several lines (so
+    only a whole-file read sees a complete document)."""
     def build():
         path = scratch_path(spark, "message-files")
-        (queue_events(spark, sf_dir)
-         .select(F.regexp_replace("value", '\\},\\{"messageId"', '},\n  {"messageId"').alias("value"))
-         .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))
+        batch = F.floor(F.col("event_id") / QUEUE_BATCH_SIZE)
+        plain = messages(spark, sf_dir).filter(batch % 10 == 0).select(F.col("body").alias("value"))
+        events = queue_events(spark, sf_dir).filter(F.col("batch") % 10 != 0) \
+            .select(F.regexp_replace("value", '\\},\\{"messageId"', '},\n  {"messageId"').alias("value"))
+        plain.unionByName(events).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
         return path
     return _written(spark, ("message-files", sf_dir), build)
 
@@ -364,13 +405,3 @@ def queue_event_dir(spark: SparkSession, sf_dir: str) -> str:
             .write.mode("overwrite").text(path)
         return path
     return _written(spark, ("queue-events", sf_dir), build)
-
-
-CHANGES_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
-                  "o_orderdate TIMESTAMP_NTZ, op STRING, commit_id BIGINT")
-
-
-def read_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written order change log under its declared schema (a partition
-    column would otherwise come back as INT)."""
-    return spark.read.schema(CHANGES_SCHEMA).parquet(change_log_table(spark, sf_dir))

@@ -17,8 +17,11 @@ QUEUE_EVENT_SCHEMA = "eventId STRING, Records ARRAY<STRUCT<messageId: STRING, bo
 
 def read_message_files(spark: SparkSession, path: str) -> DataFrame:
     """Each file holds one JSON document (it may span lines): a message, an
-    envelope or a queue event; queue events are split into their records."""
-    return queue_records(spark.read.text(path, wholetext=True))
+    envelope or a queue event; queue events are split into their records. What
+    is neither event nor envelope is judged as a message (kind ``message``)."""
+    records = queue_records(spark.read.text(path, wholetext=True))
+    kind = F.when(F.col("event_kind") == "invalid", "message").otherwise(F.col("event_kind"))
+    return records.withColumn("event_kind", kind)
 
 
 def queue_records(events: DataFrame, line_col: str = "value") -> DataFrame:
@@ -62,14 +65,16 @@ def validate_messages(messages: DataFrame, body_col: str = "body") -> DataFrame:
     typed = parsed.select("*", *[c.alias(k) for k, c in type_columns().items()])
     fields = typed.select("*", *[c.alias(k) for k, c in field_columns().items()])
     derived = message_columns()
+    reason = derived.pop("reject_reason")
     if kinds:
-        derived["reject_reason"] = F.when(F.col("event_kind") == "invalid", "invalid_event_format") \
-            .otherwise(derived["reject_reason"])
+        reason = F.when(F.col("event_kind") == "invalid", "invalid_event_format").otherwise(reason)
     out = [*base, "envelope", "station_id", "date", "element", "value", "measurement_flag", "quality_flag",
            "source_flag", "observation_time_text"]
     # A filter on reject_reason would otherwise be pushed below these
     # projections and inline the whole validation tree, JSON parse included.
-    return freeze(fields.select(*out, *[c.alias(k) for k, c in derived.items()]))
+    # What follows from the typed fields is computed above, where it can be left out.
+    fixed = freeze(fields.select(*out, reason.alias("reject_reason")))
+    return fixed.select(*out, *[c.alias(k) for k, c in derived.items()], "reject_reason")
 
 
 def accepted(validated: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -86,19 +91,19 @@ def message_status(validated: DataFrame, id_col: str = "message_id") -> DataFram
                             status_message("reject_reason").alias("status_message"))
 
 
-def batch_status(validated: DataFrame, batch_col: str) -> DataFrame:
+def batch_status(validated: DataFrame, *batch_cols: str) -> DataFrame:
     """Per event: processed / failed counts and the outcome. A queue event:
     500 when something failed and nothing was processed, else 200 (an empty
     event too); a direct message or a line of no known form: its own outcome."""
     kind = F.col("event_kind") if "event_kind" in validated.columns else F.lit("queue")
-    alone = kind.isin("direct", "invalid")
-    agg = validated.groupBy(batch_col).agg(
+    alone = kind.isin("direct", "invalid", "message")
+    agg = validated.groupBy(*batch_cols).agg(
         F.count_if(F.col("reject_reason").isNull() & (kind != "empty")).cast("long").alias("processed"),
         F.count_if(F.col("reject_reason").isNotNull() & (kind != "empty")).cast("long").alias("failed"),
         F.max(F.when(alone, status_code("reject_reason"))).alias("_code"),
         F.max(F.when(alone, status_message("reject_reason"))).alias("_message"))
     return agg.select(
-        batch_col, "processed", "failed",
+        *batch_cols, "processed", "failed",
         F.coalesce("_code", F.when((F.col("failed") > 0) & (F.col("processed") == 0), BATCH_FAILED_STATUS)
                    .otherwise(BATCH_OK_STATUS)).alias("status_code"),
         F.coalesce("_message", F.when(F.col("failed") > 0, F.format_string(BATCH_PARTIAL_MESSAGE, "processed", "failed"))

@@ -93,3 +93,19 @@ def test_event_outcomes(spark):
         "empty": (0, 0, 200, "Successfully processed 0 messages"), "nobody": (0, 1, 500, "Processed 0 messages, failed 1"),
         "inside": (1, 1, 200, "Processed 1 messages, failed 1"), "late": (0, 1, 500, "Processed 0 messages, failed 1"),
         "direct": (1, 0, 200, "Success"), "bare": (0, 1, 400, "Invalid event format"), "text": (0, 1, 400, "Invalid event format")}
+
+
+def test_files_hold_a_message_an_envelope_or_an_event(spark, tmp_path):
+    """A file's content is judged as the message; only lines of a queue have to be events."""
+    event = json.dumps({"Records": [{"messageId": "a", "body": msg()}, {"messageId": "b"}]})
+    docs = {"plain": msg(), "pretty": json.dumps(GOOD, indent=2), "broken": "{bad", "missing": msg(value=...), "array": json.dumps([GOOD]),
+            "envelope": json.dumps({"message": {"data": base64.b64encode(msg().encode()).decode()}}), "event": event, "none": '{"Records": []}'}
+    for name, text in docs.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    v = M.validate_messages(M.read_message_files(spark, str(tmp_path)))
+    got = [(r["event_kind"], r["reject_reason"]) for r in v.collect() if r["event_kind"] != "empty"]
+    assert [k for k, _ in got].count("message") == 5
+    assert sorted(x for _, x in got if x) == ["invalid_json", "invalid_json", "missing_value", "not_an_object"]
+    assert M.accepted(v).count() == 4  # plain, pretty, the envelope, the event's first record
+    status = {r["event_id"]: r for r in M.batch_status(v, "event_id").collect()}
+    assert sorted(r["status_code"] for r in status.values()) == [200, 200, 200, 200, 200, 400, 400, 400]

@@ -23,7 +23,8 @@ def test_restart_and_replay_are_idempotent(spark):
     batch0 = STR.read_log(spark, log).filter("batch_id = 0").select("message_id")
     n0 = batch0.count()
     ids = [r["message_id"] for r in batch0.collect()]
-    STR.write_batch(M.read_queue_events(spark, src).filter(F.col("message_id").isin(ids)), 0, log)
+    STR.write_batch(M.read_queue_events(spark, src).filter(F.col("message_id").isin(ids)), 0, log,
+                    stream_id=STR.stream_identity(ckpt))
     assert n0 > 0 and STR.read_log(spark, log).filter("batch_id = 0").count() == n0
     assert STR.read_log(spark, log).count() == first
     total = M.read_queue_events(spark, src).count()
@@ -80,3 +81,29 @@ def test_processing_time_trigger(spark):
     assert STR.read_log(spark, log).count() == M.read_queue_events(spark, src).count()
     assert STR.dead_letters(spark, log).count() + STR.accepted_observations(spark, log).count() \
         == M.read_queue_events(spark, src).count()
+
+
+def test_two_streams_into_one_table_keep_all_rows(spark):
+    from stationlake.sinks import tables as SK
+    src = scratch_path(spark, "landing")
+    spark.read.text(FX.queue_event_dir(spark, SF_SMALL)).coalesce(1).write.text(src)
+    obs, log = scratch_path(spark, "observations"), scratch_path(spark, "log")
+    assert STR.read_log(spark, log).count() == 0  # before the first batch
+    checkpoints = [scratch_path(spark, "ckpt") for _ in range(2)]
+    counts = []
+    for ckpt in checkpoints:
+        q = STR.start_ingest(spark, src, log, ckpt, observations_path=obs)
+        q.awaitTermination()
+        counts.append((STR.read_log(spark, log).count(), SK.read_observations(spark, obs).count()))
+    assert counts[0][0] > 0 and counts[1] == (2 * counts[0][0], 2 * counts[0][1])
+    assert STR.micro_batch_status(spark, log).select("stream_id").distinct().count() == 2
+    # a replay of one stream's batch replaces its own rows only
+    STR.write_batch(M.read_queue_events(spark, src), 0, log, obs, STR.stream_identity(checkpoints[1] + "/"))
+    assert (STR.read_log(spark, log).count(), SK.read_observations(spark, obs).count()) == counts[1]
+
+
+def test_a_batch_is_written_in_few_files(spark):
+    from stationlake.operators.tables import table_files
+    log = scratch_path(spark, "log")
+    STR.write_batch(M.read_queue_events(spark, FX.queue_event_dir(spark, SF_SMALL)), 0, log)
+    assert table_files(spark, log, STR.LOG_PARTITIONS).groupBy("year", "month", "outcome").count().filter("count > 2").count() == 0
