@@ -12,15 +12,19 @@ documents whose sketches have c values in common must meet in one of those
 for documents that also hold text of their own. c is the overlap that a pair at
 the threshold falls short of with probability under 1e-10 (see `least_overlap`).
 
-Equal sets collapse into one class first. In each list the member with the most common content (its head) is
-compared with all members, and members linked to it take its label. Classes in
-lists that still hold two labels meet a second time, in lists of their full
-sets: again rarest first, now by the exact prefix of a set, and a pair is only
-compared if what both sets hold from the common value on can still reach the
-overlap of a link and their distances to a common head allow one. In a large
-group of copies that differ by slightly more than the threshold, such pairs can
-grow with the square of the group's size. Connected components are computed
-once, from all links.
+Equal sets collapse into one class first. In each list the member with the most
+common content (its head) is compared with all members; links found so far give
+labels (components). Lists whose members still have different labels are looked
+at again through the members' differences to the head, D = set xor head set. The
+difference of two members is the xor of their D, so a link needs an overlap of
+their D that grows with these, and at least one common element if one of the two
+is not linked to the head; what all copies have in common is gone. Within a list,
+elements are ranked rarest first, and a pair meets in the first allowed / 2 + 1
+elements of the smaller D and the first allowed + 1 of the larger one, allowed
+being the most elements in which linked sets can differ. Again the head of each
+such list comes first, then pairs whose labels still differ, and only if what is
+left of both D behind the common element can still reach the overlap. Connected
+components of all links are the result.
 """
 
 from __future__ import annotations
@@ -151,68 +155,92 @@ def _tested(pairs: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> Da
         _verifier(k, num, den), "a long, b long, linked boolean, distance double")
 
 
-def _exploder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, n, label, far, members) -> the same with members as a list."""
-    for b in batches:
-        for i, m in enumerate(b.column("members")):
-            values = np.frombuffer(m.as_buffer(), np.int64)
-            ends = pa.array([0, len(values)], pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(c).slice(i, 1) for c in ("cid", "n", "label", "far")]
-                                             + [pa.ListArray.from_arrays(ends, pa.array(values))],
-                                             names=["cid", "n", "label", "far", "values"])
+def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(head, cid, n, label, sa, sb) -> (head, cid, n, label, d, values): what is in one of the two sets only."""
+    for batch in batches:
+        for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"))):
+            both = np.concatenate((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
+            both.sort()
+            twice = both[1:] == both[:-1]
+            once = np.ones(len(both), dtype=bool)
+            once[1:] &= ~twice
+            once[:-1] &= ~twice
+            values = _signed(both[once])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in ("head", "cid", "n", "label")), pa.array([len(values)], pa.int64()),
+                                              pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))],
+                                             names=["head", "cid", "n", "label", "d", "values"])
 
 
 def _similar_size(a: str, b: str, num: int, den: int) -> Column:
     return (F.least(a, b) * F.lit(den)) >= (F.greatest(a, b) * F.lit(num))
 
 
-def _links(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """All links (a, b) between the classes in lists (key, cid, n, score), but for some inside a component.
+def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """members (cid, ...) with a label: the smallest class within two links.
 
-    First the head of each list is compared with its members, and members linked
-    to it take its label: equal labels mean connected. Members of lists that
-    still hold two labels meet again in lists of their full sets.
+    Classes with equal labels are connected; the members of one head get the
+    same label. That is all the labels are for (to leave out pairs that are
+    connected already), so two passes are enough.
     """
+    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), F.least("a", "m").alias("m"))
+    found = both.join(near, "b").groupBy("a").agg(F.min("m").alias("found"))
+    return (members.join(found.withColumnRenamed("a", "cid"), "cid", "left")
+            .withColumn("label", F.least("cid", F.coalesce("found", "cid"))).drop("found"))
+
+
+def _reach(num: int, den: int) -> Column:
+    """Whether the rest of both differences, from the common element on, can hold the overlap of a link."""
+    rest = F.least(F.col("d") - F.col("rank"), F.col("pd") - F.col("pr")) + 1
+    return rest * F.lit(2 * (den + num)) >= (F.col("d") + F.col("pd")) * F.lit(den + num) - (F.col("n") + F.col("pn")) * F.lit(den - num)
+
+
+def _links(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """All links (a, b) between the classes in lists (key, cid, n, score), but for some inside a component."""
     heads = (lists.groupBy("key").agg(F.max(F.struct("score", F.xxhash64("cid").alias("h"), "cid", "n")).alias("head"),
                                       F.count("*").alias("m"))
              .where("m > 1").select("key", F.col("head.cid").alias("head"), F.col("head.n").alias("head_n")))
     grouped = written(lists.join(heads, "key").where("cid <> head").select("head", "head_n", "cid", "n").distinct(), "heads")
     first = grouped.where(_similar_size("n", "head_n", num, den)).select(
         F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
-    tested = written(_tested(first, sets, k, num, den), "tested")
-
-    linked = (grouped.withColumn("a", F.least("cid", "head")).withColumn("b", F.greatest("cid", "head"))
-              .join(tested, ["a", "b"], "left")
-              .withColumn("label", F.when(F.col("linked"), F.col("head")).otherwise(F.col("cid"))))
-    linked = written(linked.select("head", "cid", "n", "label", "distance"), "labels")
-    still = (linked.groupBy("head").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
-             .where("lo <> hi").select("head", "m"))
-    # far: a member's distance to the head of the largest list it is in
-    left = (linked.join(still, "head").groupBy("cid")
-            .agg(F.min("n").alias("n"), F.min("label").alias("label"), F.max(F.struct("m", "head", "distance")).alias("far"))
-            .select("cid", "n", "label", F.struct("far.head", "far.distance").alias("far")).join(sets, "cid"))
-    kind = "struct<head:bigint,distance:double>"
-    values = left.mapInArrow(_exploder, f"cid long, n long, label long, far {kind}, values array<long>").select(
-        "cid", "n", "label", "far", F.explode("values").alias("v"))
-    values = written(values, "values")
-    own = Window.partitionBy("cid")
-    placed = (values.join(values.groupBy("v").agg(F.count("*").alias("f")).where("f > 1"), "v")
-              .withColumn("rank", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "v")))
-              .where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * F.lit(num) / F.lit(den)) + 1))
-    placed = written(placed.select("v", "cid", "n", "label", "far", "rank"), "prefixes")
-    mixed = placed.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("v")
-    one = placed.join(mixed, "v", "left_semi")
-    two = one.select("v", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"), F.col("far").alias("pf"), F.col("rank").alias("pr"))
-    # what can still be common from the first common value on must reach the least overlap of a link
-    # (nor can two sets at very different distances from a third be similar: Jaccard distance is a metric)
-    apart = F.coalesce((F.col("far.head") == F.col("pf.head")) & (
-        F.abs(F.col("far.distance") - F.col("pf.distance")) > F.lit((den - num) / den + 1e-9)), F.lit(False))
-    reach = F.least(F.col("n") - F.col("rank"), F.col("pn") - F.col("pr")) + 1
-    pairs = (one.join(two, "v").where("cid < p and label <> pl").where(_similar_size("n", "pn", num, den))
-             .where(reach * F.lit(num + den) >= (F.col("n") + F.col("pn")) * F.lit(num)).where(~apart)
-             .select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct())
-    more = written(_tested(pairs, sets, k, num, den), "tested").where("linked").select("a", "b")
-    return tested.where("linked").select("a", "b").union(more)
+    linked = written(_tested(first, sets, k, num, den), "tested").where("linked").select("a", "b")
+
+    members = grouped.select("head", "cid", "n").union(grouped.select("head", F.col("head").alias("cid"), F.col("head_n").alias("n")).distinct())
+    members = written(_labelled(members, linked), "labels")
+    mixed = members.groupBy("head").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("head")
+    left = members.join(mixed, "head", "left_semi").where("cid <> head")
+    both = (left.join(sets.select("cid", F.col("members").alias("sa")), "cid")
+            .join(sets.select(F.col("cid").alias("head"), F.col("members").alias("sb")), "head"))
+    apart = both.select("head", "cid", "n", "label", "sa", "sb").mapInArrow(
+        _differ, "head long, cid long, n long, label long, d long, values array<long>")
+    values = written(apart.select("head", "cid", "n", "label", "d", F.explode("values").alias("v")), "values")
+    shared = values.groupBy("head", "v").agg(F.count("*").alias("f")).where("f > 1")
+    own = Window.partitionBy("head", "cid")
+    allowed = F.floor(F.col("n") * F.lit(den - num) / F.lit(num))
+    placed = (values.join(shared, ["head", "v"])
+              .withColumn("rank", F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "v")))
+              .where(F.col("rank") <= allowed + 1)
+              .withColumn("indexed", F.col("rank") <= F.floor(allowed / 2) + 1))
+    placed = written(placed, "prefixes")
+
+    # the head of each list of a difference, then the pairs that labels still tell apart
+    top = (placed.where("indexed").groupBy("head", "v").agg(F.min(F.struct("d", "cid", "n", "label", "rank")).alias("t"))
+           .select("head", "v", F.col("t.cid").alias("p"), F.col("t.n").alias("pn"), F.col("t.d").alias("pd"), F.col("t.label").alias("pl"), F.col("t.rank").alias("pr")))
+    second = _candidates(placed.join(top, ["head", "v"]).where("cid <> p"), num, den)
+    more = written(_tested(second, sets, k, num, den), "tested").where("linked").select("a", "b")
+    linked = written(linked.union(more), "links")
+    placed = written(_labelled(placed.drop("label"), linked), "prefixes")
+    one = placed.where("indexed").select("head", "v", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("d").alias("pd"),
+                                         F.col("label").alias("pl"), F.col("rank").alias("pr"))
+    several = placed.groupBy("head", "v").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("head", "v")
+    third = _candidates(placed.join(several, ["head", "v"], "left_semi").join(one, ["head", "v"]).where("pd < d or (pd = d and p < cid)"), num, den)
+    return linked.union(written(_tested(third, sets, k, num, den), "tested").where("linked").select("a", "b"))
+
+
+def _candidates(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct (a, b) of the joined rows that can be a new link."""
+    able = pairs.where("label <> pl").where(_similar_size("n", "pn", num, den)).where(_reach(num, den))
+    return able.select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -286,11 +314,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rk", "copies"))
     grouped = found.where("component is not null").groupBy("component").agg(best.alias("r")).select("r.rk", "r.copies")
     keys = written(grouped.union(found.where("component is null").select("rk", "copies")), "kept")
-    key = F.col("`near dup row key`")
-    keyed = docs.withColumn("near dup row key", row_key(id_col, text_col))
-    once = keys.where("copies = 1").select(F.col("rk").alias("near dup row key"))
-    more = keys.where("copies > 1").select(F.col("rk").alias("near dup row key"))
-    single = keyed.join(once, "near dup row key", "left_semi").drop("near dup row key")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = keyed.join(more, "near dup row key", "left_semi").groupBy(key).agg(F.min(whole).alias("r")).select("r.*")
+    rows = docs.select(row_key(id_col, text_col).alias("rk"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    once, more = (keys.where(c).select("rk") for c in ("copies = 1", "copies > 1"))
+    single = rows.join(once, "rk", "left_semi").select("row.*")
+    repeated = rows.join(more, "rk", "left_semi").groupBy("rk").agg(F.min("row").alias("row")).select("row.*")
     return single.union(repeated)
