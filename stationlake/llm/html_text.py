@@ -7,11 +7,12 @@ different pages each hash occurs, and keeps those that recur on many of them:
 the site's template. Pass 2 takes the article where the page marks one, and
 else the page without its template subtrees; it deletes parts that their tag or
 name marks as no main text (menus, forms, adverts, comments ...) and writes the
-blocks. Inside a marked article nothing is taken for template.
+blocks. Inside a marked article nothing is taken for template; a main element
+without an article is treated like a page in this.
 
 Copies meet by host and content, subtrees by host and hash, so a host that holds
 a third of all pages is summed by many tasks; the join that brings a host's
-template to its pages is an equi-join that Spark splits when one host is hot.
+template to its pages has a salt for hosts with many pages.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ CHUNK_BYTES = 2 << 20
 TEMPLATE_SHARE = 0.5
 TEMPLATE_PAGES = 10
 
+#: A host with more than this share of all pages is joined with its template in SALTS parts.
+BUSY_SHARE = 1 / 512
+SALTS = 64
+
 # Element kinds of the HTML standard, and names that sites give to parts other than main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
@@ -44,9 +49,10 @@ BLOCKS = frozenset("""address article aside blockquote body center dd details di
     footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table
     tbody td tfoot th thead tr ul""".split())
 CLOSES_P = BLOCKS - frozenset("body html li dd dt tbody td tfoot th thead tr legend summary figcaption".split())
-SIBLINGS = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
-            "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"),
-            "tbody": ("tbody thead tfoot tr td th", "table"), "tfoot": ("tbody thead tfoot tr td th", "table")}
+SIBLINGS = {tag: (ends.split(), inside.split()) for tag, ends, inside in (
+    ("li", "li", "ul ol menu dir"), ("dt", "dt dd", "dl"), ("dd", "dt dd", "dl"), ("tr", "tr td th", "table"), ("td", "td th", "tr table"),
+    ("th", "td th", "tr table"), ("option", "option", "select"), ("tbody", "tbody thead tfoot tr td th", "table"),
+    ("tfoot", "tbody thead tfoot tr td th", "table"))}
 NOT_MAIN = frozenset("""ad ads advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion nav navbar
     navigation menu menubar breadcrumb breadcrumbs sidebar aside widget cookie cookies consent gdpr notice popup modal overlay
     newsletter subscribe subscription comment comments disqus respond replies reply share sharing social related recommended
@@ -61,7 +67,9 @@ PARTS = frozenset("address center details dir div dl fieldset figure header hgro
 ADVERTS = frozenset("ad ads advert adverts advertisement advertising adbox sponsored".split())
 TEXT_NAMES = frozenset("alert notice".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>", re.S)
+_SPECIAL = re.compile(r"[>\"']")
+_BREAK = re.compile(r"[\s/>]")
+_LETTER = re.compile(r"[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 
@@ -95,78 +103,151 @@ def _attributes(raw: str) -> tuple[frozenset[str], frozenset[str], bool]:
     return frozenset(names), frozenset(ids), hidden
 
 
+class _Tags:
+    """The tags of a page, found from left to right in time linear in its length, whatever its markup is like.
+
+    A tag ends at the first > outside quotes. Where there is none (or a quote stays open), its < is text; what such
+    an attempt has passed is remembered, so that no later attempt passes it again.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+        self.special = self.broken = -1  # next special character, next end of a name, from the last place asked
+        self.dead: set[int] = set()  # special characters from which no tag ends
+
+    def _special(self, at: int) -> int:
+        if self.special < at:
+            m = _SPECIAL.search(self.page, at)
+            self.special = m.start() if m else len(self.page)
+        return self.special
+
+    def _end(self, at: int) -> int:
+        """Place of the > that ends a tag whose name ends at `at`; -1 if there is none."""
+        passed = []
+        at = self._special(at)
+        while at < len(self.page) and at not in self.dead:
+            passed.append(at)
+            c = self.page[at]
+            if c == ">":
+                return at
+            if at == self.last[c]:
+                break
+            after = self.page.find(c, at + 1) + 1
+            m = _SPECIAL.search(self.page, after)
+            at = m.start() if m else len(self.page)
+        self.dead.update(passed)
+        return -1
+
+    def find(self, at: int) -> tuple[int, int, str | None, bool, str, bool] | None:
+        """(start, end, name or None for comments and the like, is an end tag, attributes, closes itself) of the first tag from `at` on."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            c = page[at + 1 : at + 2]
+            if c in ("!", "?"):
+                if page.startswith("<!--", at):
+                    ends = [i for i in (page.find("-->", at + 4), page.find("--!>", at + 4)) if i >= 0]
+                    end = min(ends) if ends else len(page)
+                    return at, min(len(page), end + (3 if page.startswith("-->", end) else 4)), None, False, "", False
+                end = page.find(">", at)
+                return at, end + 1 if end >= 0 else len(page), None, False, "", False
+            begin = at + 2 if c == "/" else at + 1
+            if at < self.last[">"] and _LETTER.match(page, begin):
+                if self.broken < begin:
+                    m = _BREAK.search(page, begin)
+                    self.broken = m.start() if m else len(page)
+                end = self._end(self.broken)
+                if end >= 0:
+                    raw = page[self.broken : end]
+                    own = raw.endswith("/")
+                    return at, end + 1, page[begin : self.broken].lower(), c == "/", raw[:-1] if own else raw, own
+            at += 1
+        return None
+
+
+class _Open:
+    """The open elements, with the places of each tag among them."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack = [root]
+        self.where: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: Node) -> None:
+        self.where.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, at: int) -> None:
+        """Ends the element at this place and all inside it."""
+        while len(self.stack) > at:
+            self.where[self.stack.pop().tag].pop()
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
+
+    def nearest(self, tags) -> int:
+        """Place of the innermost open element of these tags, 0 if there is none."""
+        return max((w[-1] for t in tags if (w := self.where.get(t))), default=0)
+
+    def close(self, tag: str) -> None:
+        at = self.nearest((tag,))
+        if at and (tag in BLOCKS or at > self.nearest(("article", "main", "table"))):
+            self.cut(at)
+
+    def imply(self, tag: str) -> None:
+        """Ends the elements that the start of `tag` ends by rule."""
+        if tag in CLOSES_P and self.blocks and self.stack[self.blocks[-1]].tag == "p":
+            self.cut(self.blocks[-1])
+        if tag in SIBLINGS:
+            ends, inside = SIBLINGS[tag]
+            limit = self.nearest(inside)
+            while (at := self.nearest(ends)) > limit:
+                self.cut(at)
+                if tag not in ("tr", "tbody", "tfoot"):
+                    break
+        if tag == "body" and (at := self.nearest(("head",))):
+            self.cut(at)
+
+
 def parse(page: str) -> Node:
     """The element tree; unclosed elements end where HTML ends them, stray end tags are ignored."""
     root = Node("#root")
-    stack, at = [root], 0
+    tags, opened, at = _Tags(page), _Open(root), 0
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        if m is None:
-            stack[-1].children.append(page[at:])
+        found = tags.find(at)
+        start = found[0] if found else len(page)
+        if start > at:
+            opened.stack[-1].children.append(page[at:start])
+        if found is None:
             break
-        if m.start() > at:
-            stack[-1].children.append(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        _, at, tag, ends, raw, closed = found
+        if tag is None:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            _close(stack, tag)
+        if ends:
+            opened.close(tag)
             continue
-        _imply(stack, tag)
-        node = Node(tag, *_attributes(m[3]))
-        stack[-1].children.append(node)
+        opened.imply(tag)
+        node = Node(tag, *_attributes(raw))
+        opened.stack[-1].children.append(node)
         if tag in WHOLE:
-            for outer in reversed(stack):
+            for outer in reversed(opened.stack):
                 if outer.holds:
                     break
                 outer.holds = True
         if tag in VOID:
             continue
         if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
-            node.children.append(page[at : end.start() if end else len(page)])
-            at = end.end() if end else len(page)
+            end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(page, at)
+            until = page.find(">", end.start()) if end else -1
+            node.children.append(page[at : end.start() if until >= 0 else len(page)])
+            at = until + 1 if until >= 0 else len(page)
             continue
-        if not m[4] or tag in BLOCKS:
-            stack.append(node)
+        if not closed or tag in BLOCKS:
+            opened.push(node)
     return root
 
 
-def _close(stack: list[Node], tag: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if stack[i].tag in ("article", "main", "table") and tag not in BLOCKS:
-            return
-
-
-def _imply(stack: list[Node], tag: str) -> None:
-    """Ends the elements that the start of `tag` ends by rule."""
-    if tag in CLOSES_P:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == "p":
-                del stack[i:]
-                break
-            if stack[i].tag in BLOCKS:
-                break
-    if tag in SIBLINGS:
-        ends, inside = (x.split() for x in SIBLINGS[tag])
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in inside:
-                break
-            if stack[i].tag in ends:
-                del stack[i:]
-                if tag not in ("tr", "tbody", "tfoot"):
-                    break
-    if tag == "body":
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == "head":
-                del stack[i:]
-                break
-
-
 def _post_order(root: Node) -> list[Node]:
     """All elements, children before parents; without recursion, as pages may nest deeply."""
     order, todo = [], [root]
@@ -214,17 +295,21 @@ def _is_main(n: Node, inside: bool) -> bool:
 
 
 def _marked(root: Node) -> list[Node]:
-    """The outermost article and main elements in page order."""
-    marked: list[Node] = []
-    todo = [root]
+    """The outermost article elements in page order; if the page has none, the outermost main elements."""
+    found: dict[str, list[Node]] = {"article": [], "main": []}
+    todo = [(root, False)]
     while todo:
-        n = todo.pop()
-        if n.tag in ("article", "main") and _is_main(n, True):
-            marked.append(n)
+        n, inside = todo.pop()
+        if n.tag in found and _is_main(n, True):
+            if n.tag == "article" or not inside:
+                found[n.tag].append(n)
+            if n.tag == "article":
+                continue
+            inside = True
+        elif n is not root and not _is_main(n, inside):
             continue
-        if n is root or _is_main(n, False):
-            todo.extend(c for c in reversed(n.children) if isinstance(c, Node))
-    return marked
+        todo.extend((c, inside) for c in reversed(n.children) if isinstance(c, Node))
+    return found["article"] or found["main"]
 
 
 def _without_template(n: Node, template: frozenset[int]) -> list[Node | str]:
@@ -237,7 +322,7 @@ def _without_template(n: Node, template: frozenset[int]) -> list[Node | str]:
 
 
 def main_text(root: Node, template: frozenset[int], marked: list[Node] | None = None) -> str:
-    """The blocks of the page's main text; template: hashes of subtrees to delete if the page marks no article.
+    """The blocks of the page's main text; template: hashes of subtrees to delete outside a marked article.
 
     Elements that hold the page as a whole (html, body) are never taken for
     template. marked: what _marked found, if known.
@@ -268,7 +353,7 @@ def main_text(root: Node, template: frozenset[int], marked: list[Node] | None =
                 if block:
                     end_block()
                     work.append(None)
-                work.extend(reversed(c.children if inside else _without_template(c, template)))
+                work.extend(reversed(c.children if top.tag == "article" else _without_template(c, template)))
         end_block()
     return "\n".join(blocks)
 
@@ -318,7 +403,7 @@ def _extractor(id_type: pa.DataType):
                     known[host] = frozenset(np.array(template.as_py() or [], dtype=np.int64).view(np.uint64).tolist())
                 root = parse(page or "")
                 marked = _marked(root)
-                if known[host] and not marked:
+                if known[host] and not (marked and marked[0].tag == "article"):
                     hash_subtrees(root)
                 out.append(main_text(root, known[host], marked))
             yield pa.RecordBatch.from_arrays([b.column("id").cast(id_type), b.column("url"), pa.array(out, pa.string())],
@@ -339,11 +424,23 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     id_field = pages.schema[id_col].dataType
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1)), F.lit(""))
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
-    marked = source.join(templates(source), "host", "left")
+    known = templates(source)
+    busy = _busy_hosts(source)
+    split = F.col("host").isin(busy) if busy else F.lit(False)
+    salt = F.when(split, F.pmod(F.xxhash64("id", "html"), F.lit(SALTS))).otherwise(0).cast("int").alias("salt")
+    salts = F.when(split, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    marked = source.select("*", salt).join(known.select("host", "template", F.explode(salts).alias("salt")), ["host", "salt"], "left")
     return marked.mapInArrow(_extractor(to_arrow_type(id_field)), f"id {id_field.simpleString()}, url string, text string") \
         .withColumnRenamed("id", id_col)
 
 
+def _busy_hosts(source: DataFrame) -> list[str]:
+    """Hosts with more than a BUSY_SHARE of all pages: at most 1 / BUSY_SHARE names."""
+    counts = source.groupBy("host").agg(F.count("*").alias("n"))
+    total = source.count()
+    return [r["host"] for r in counts.where(F.col("n") > total * BUSY_SHARE).select("host").collect()]
+
+
 def digest(pages: DataFrame) -> DataFrame:
     """The contract's columns: the text and its code points."""
     return extract(pages).withColumn("n_chars", F.length("text").cast("long"))

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 
+import numpy as np
 from conftest import prose
 
 from stationlake.llm import html_text, warc
@@ -86,12 +87,88 @@ def test_archive_round_trip(spark, tmp_path):
     assert some.startswith(b"WARC/1.1\r\n")
 
 
-def test_missing_segment_is_an_error(spark):
+def archive(spark, tmp_path, name, records):
+    (tmp_path / name).mkdir()
+    (tmp_path / name / "one.warc").write_bytes("".join(r + "\r\n\r\n" for r in records).encode())
+    return warc.read_warc(spark, str(tmp_path / name))
+
+
+def test_missing_segment_is_an_error(spark, tmp_path):
     import pytest
     records = list(warc.page_records("k", 1, "u", b"z" * 100_000, "d", None))
-    assert len(records) > 2
-    parts = [warc.parse_records((r + "\r\n\r\n").encode()) for r in records]
-    fields = [next(p)[0] for p in parts]
-    assert [f.get("WARC-Segment-Number") for f in fields] == [str(i + 1) for i in range(len(records))]
+    assert len(records) > 3
+    whole = archive(spark, tmp_path, "whole", records[::-1]).collect()
+    assert [(r.page, bytes(r.payload)) for r in whole] == [("1", b"z" * 100_000)]
+    for name, kept in (("middle", records[:1] + records[2:]), ("first", records[1:]), ("last", records[:-1]), ("twice", records + records[1:2])):
+        with pytest.raises(Exception, match="lacks a segment|bytes, not"):
+            archive(spark, tmp_path, name, kept).collect()
+    with pytest.raises(Exception, match="not as long as it says"):
+        archive(spark, tmp_path, "cut", [records[0][:-5], *records[1:]]).collect()
     with pytest.raises(ValueError):
         warc.unframe_chunked(b"5\r\nabc\r\n0\r\n\r\n")
+
+
+def test_revisits_name_their_profile(spark, tmp_path):
+    (one,) = warc.page_records("k", 5, "u", b"x" * 200, "d", 2)
+    fields, block = next(iter(warc.parse_records((one + "\r\n\r\n").encode())))
+    assert fields["WARC-Type"] == "revisit" and fields["WARC-Profile"].endswith("/revisit/identical-payload-digest") and not block
+
+
+def plain_extract(rows):
+    """(id, text) a row: templates counted in one dictionary, pages parsed one by one."""
+    import re
+    from collections import Counter, defaultdict
+    host = lambda u: (m := re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", u or "")) and m[1].lower() or ""
+    different = defaultdict(dict)
+    for _, url, page in sorted(rows, key=lambda r: html_text._word_hash(r[2] or "")):
+        root = html_text.parse(page or "")
+        text = html_text.main_text(root, frozenset())
+        h = np.uint64(html_text._word_hash(page or "")).view(np.int64)
+        held = different[host(url)].get(text)
+        if held is None or h < held[0]:
+            different[host(url)][text] = (h, set(html_text.hash_subtrees(root)))
+    template = {}
+    for h, pages in different.items():
+        counts = Counter(x for _, found in pages.values() for x in found)
+        template[h] = frozenset(x for x, n in counts.items() if n >= 10 and n >= len(pages) / 2)
+    out = []
+    for i, url, page in rows:
+        root = html_text.parse(page or "")
+        html_text.hash_subtrees(root)
+        out.append((i, html_text.main_text(root, template[host(url)])))
+    return out
+
+
+def test_against_a_plain_version(spark):
+    import random
+    r = random.Random(3)
+    parts = ["<div class='tool'><p>Get our app today</p></div>", "<ul class=links><li>One<li>Two</ul>", "<p>Follow us</p>", "<section><h2>More stories</h2></section>"]
+    rows = []
+    for i in range(300):
+        mine = [p for p in parts if r.random() < 0.7]
+        r.shuffle(mine)
+        body = f"<h1>T{i}</h1><p>{prose(i, 12)}</p>"
+        kind = r.choice(["main", "main", "article", "div"])
+        around = f"<{kind}>{mine[0] if mine and kind == 'main' else ''}{body}</{kind}>"
+        rows.append((i, f"http://h{min(r.randrange(12), 3)}.example/{i}", f"<body>{''.join(mine)}{around}</body>"))
+    rows += [(1000 + i, "http://h1.example/copy", rows[5][2]) for i in range(40)] + [(2000, None, None), (2001, None, "")]
+    pages = spark.createDataFrame([(*x, "s", 1) for x in rows], "page_id long, url string, html string, host string, salt int").repartition(4)
+    got = sorted((x.page_id, x.text) for x in html_text.extract(pages).collect())
+    assert got == sorted(plain_extract(rows))
+    assert not any("Get our app today" in t for i, t in got if i < 1000 and "h3" in rows[i][1])
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+    for page_html in ("<a " * 300_000, "<i>" * 80_000 + "</b>" * 120_000, '<a ""' * 150_000 + '">', "<a" * 300_000 + ' ">', "<ul>" + "<div>" * 40_000 + "<li></li>" * 40_000,
+                      "<i>" * 80_000 + "<div></div>" * 50_000, "<script>" + "</script " * 100_000, "<!--" * 200_000, "<a \"'\"" * 120_000 + ">"):
+        start = time.process_time()
+        root = html_text.parse(page_html)
+        html_text.main_text(root, frozenset())
+        assert time.process_time() - start < 20
+
+
+def test_quotes_and_odd_tags():
+    assert text_of("<p title='a>b'>x</p><p title=\"'>\">y") == "x\ny"
+    assert text_of("a <3 b < c <p \"x> d</p> e") == 'a <3 b < c <p "x> d e'
+    assert text_of("<p>a<!-- <p>b --!>c<? x ?>d</P >e<BR/>f") == "acd\ne f"
