@@ -19,8 +19,8 @@ import pyarrow as pa
 
 from . import textvec as tv
 
-#: Segments that a worker keeps; beyond that it starts anew (this bounds memory and never changes a result).
-KEPT_SEGMENTS = 2_000_000
+#: Bytes of segments and ids that a worker keeps; beyond that it starts anew (this bounds memory and never changes a result).
+KEPT_BYTES = 32 << 20
 
 _SPACE = tv.space_separators()
 _LETTER = np.zeros(256, dtype=bool)
@@ -98,7 +98,7 @@ class Encoder:
         start, text_first = segments(data, offsets)
         end = np.append(start[1:], len(data))
         distinct, example, inverse = np.unique(tv.range_hash(data, start, end), return_index=True, return_inverse=True)
-        if len(self.hash) + len(distinct) > KEPT_SEGMENTS:
+        if 24 * (len(self.hash) + len(distinct)) + 4 * self.used > KEPT_BYTES:
             self._reset()
         at = np.searchsorted(self.hash, distinct)
         new = np.ones(len(distinct), dtype=bool)

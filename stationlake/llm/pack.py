@@ -2,8 +2,8 @@
 
 Documents are tokenized and cut at multiples of the capacity; full pieces are
 sequences of their own and the rest of each document is one piece. Spark counts
-the pieces per length class (lengths rounded up to GRID tokens: a bounded
-histogram). On the driver a linear program over cutting patterns is solved by
+the pieces per length class (short lengths exactly, longer ones rounded up by
+less than 1 in FINE: a bounded histogram). On the driver a linear program over cutting patterns is solved by
 the revised simplex method, with a knapsack dynamic program pricing new
 patterns. Pattern counts are rounded down, the few pieces left over are packed
 greedily into further patterns, and Spark gives the pieces of each class, in
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -30,13 +30,15 @@ from .common import ship, written
 from .encode import encoder, with_end
 
 CHUNK_BYTES = 2 << 20
-#: Lengths are rounded up to this many tokens in the histogram.
-GRID = 8
+#: Lengths over `FINE * 2**i` are rounded up to multiples of 2**i; up to 2 * FINE lengths are exact.
+FINE = 64
+#: Parts in which the pieces of a class are ranked, whatever the number of partitions.
+SALTS = 256
 
 
 @dataclass(frozen=True)
 class Pattern:
-    """`times` sequences that each hold count[c] pieces of class c (a class is a length in GRID units)."""
+    """`times` sequences that each hold count[c] pieces of class c (a class is a rounded length in tokens)."""
 
     count: dict[int, int]
     times: int
@@ -64,12 +66,14 @@ def _price(value: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), column
 
 
-def solve(demand: dict[int, int], capacity: int, gap: float = 1e-3, rounds: int = 1500) -> list[Pattern]:
-    """Patterns that hold exactly the demanded pieces; capacity and classes in GRID units.
+def solve(demand: dict[int, int], capacity: int, gap: float = 1e-3, rounds: int = 400, waste: float = 0.01) -> list[Pattern]:
+    """Patterns that hold exactly the demanded pieces; capacity and classes in tokens.
 
     Column generation ends within `gap` of the linear program's optimum (no
-    pattern is worth over 1 + gap), or after `rounds` patterns; either way the
-    patterns cover the demand.
+    pattern is worth over 1 + gap), or after `rounds` patterns. Patterns of the
+    program that leave more than `waste` of a sequence empty are not used; what
+    the others leave over is packed largest first. Either way the patterns cover
+    the demand.
     """
     classes = sorted(c for c, n in demand.items() if n)
     if not classes:
@@ -102,6 +106,8 @@ def solve(demand: dict[int, int], capacity: int, gap: float = 1e-3, rounds: int
     for j in np.argsort(-x):
         column = columns[:, j].astype(np.int64)
         used = column > 0
+        if int((column * sizes).sum()) < capacity * (1 - waste):
+            continue  # its pieces are better off with the others that are left over
         times = int(min(np.floor(x[j] + 1e-9), (left[used] // column[used]).min()))
         if times > 0:
             left -= times * column
@@ -162,22 +168,20 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     schema = f"id {id_field.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long" + (
         ", ids array<int>" if with_ids else "")
     pieces = written(source.mapInArrow(_cutter(tokenizer, end_id, capacity, to_arrow_type(id_field), with_ids), schema)
-                     .withColumn("class", F.ceil(F.col("length") / F.lit(GRID)).cast("int")), "pieces")
-
-    salts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
-    # at most classes x salts rows, whatever the number of documents
+                     .withColumn("class", _class(F.col("length"), capacity))
+                     .withColumn("salt", F.pmod(F.xxhash64("id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")), "pieces")
+    # at most classes x SALTS rows, whatever the number of documents
     counts = pieces.groupBy("class", "salt").agg(F.count("*").alias("n"))
     before = counts.withColumn("before", F.sum("n").over(
         Window.partitionBy("class").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)))
     before = before.select("class", "salt", F.coalesce("before", F.lit(0)).alias("before"))
     demand = {r["class"]: r["n"] for r in counts.groupBy("class").agg(F.sum("n").alias("n")).collect()}
-    slots = spark.createDataFrame(_slots(solve(demand, capacity // GRID)),
+    slots = spark.createDataFrame(_slots(solve(demand, capacity)),
                                   "class int, until array<long>, each array<long>, base array<long>")
 
     rank = F.col("before") + F.row_number().over(
         Window.partitionBy("class", "salt").orderBy("id", "start", "ids_crc32", "doc_tokens")) - 1
-    placed = (pieces.join(F.broadcast(before), ["class", "salt"]).withColumn("rank", rank)
+    placed = (pieces.join(before, ["class", "salt"]).withColumn("rank", rank)
               .join(F.broadcast(slots), "class")
               .withColumn("slot", F.size(F.filter("until", lambda u: u <= F.col("rank")))))
     begin = F.when(F.col("slot") > 0, F.get("until", F.col("slot") - 1)).otherwise(F.lit(0))
@@ -192,6 +196,15 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         *(["ids"] if with_ids else []))
 
 
+def _class(length: Column, capacity: int) -> Column:
+    """The length, rounded up so that less than 1 in FINE is lost and there are at most FINE classes an octave."""
+    out, step = length, 1
+    while FINE * step < capacity:
+        out = F.when(length > FINE * step, F.least(F.ceil(length / step) * step, F.lit(capacity))).otherwise(out)
+        step *= 2
+    return out.cast("int")
+
+
 def _slots(patterns: list[Pattern]) -> list[tuple]:
     """For each class, the patterns that hold it: rank up to which (exclusive), pieces a sequence, first sequence."""
     out: dict[int, tuple[list, list, list]] = {}
