@@ -1,7 +1,7 @@
 """Removal of word passages that occur more than once, by fixed-block anchors.
 
 A repeat of `width` words holds, in each of its places, a whole block of
-`width // 2 + 1` words that starts at a multiple of that length in its document.
+`(width + 1) // 2` words that starts at a multiple of that length in its document.
 So it is enough to index the non-overlapping blocks and to probe them with
 every rolling window of the block length: both places of every repeat are hit.
 Hits are then extended: around each hit the windows of the full width are
@@ -74,7 +74,7 @@ def _place(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _blocks_and_probes(w: tv.Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, hash, starts a block) of the rolling windows of the block length."""
-    block = width // 2 + 1
+    block = (width + 1) // 2
     start = _windows(w, block, width)
     h = tv.window_hash(w.hash, block)[start]
     return start, h, (start - w.first[:-1][w.doc[start]]) % block == 0
@@ -92,12 +92,16 @@ def _probe(text: str, width: int, buckets: int):
                     e = np.sort(bits[own] | is_block[own])
                     last = np.concatenate((e[1:] >> 1 != e[:-1] >> 1, [True]))  # of equal bits the flagged one is last
                     rows.append((b, chunk.as_py(), mark.as_py(), pack_sorted(e[last]), None))
-                yield _entries(rows)
+                out = _entries(rows)
+                del w, h, is_block, bucket, bits, rows
+                tv.lean()
+                yield out
     return run
 
 
 def _match(table: pa.Table) -> pa.Table:
     """One bucket: for each chunk the hashes that two chunks hold, a block among them."""
+    tv.lean()  # of the bucket before
     each = [unpack_sorted(x.as_buffer(), np.uint32) for x in table.column("entries")]
     both = np.sort(np.concatenate(each))
     key = both >> 1
@@ -140,9 +144,10 @@ def _wide(w: tv.Words, start: np.ndarray, width: int, buckets: int) -> tuple[np.
 
 def _extend(text: str, width: int, buckets: int):
     """A chunk and its hits -> distinct full-width windows around the hits; repeated: those found twice in the chunk."""
-    block = width // 2 + 1
+    block = (width + 1) // 2
 
     def run(key: tuple, docs: pa.Table, found: pa.Table) -> pa.Table:
+        tv.lean()  # of the chunk before
         if not len(docs):
             raise RuntimeError("a reply names a chunk that is not there: the documents changed between two reads")
         mark = docs.column("mark")[0].as_py()
@@ -177,6 +182,7 @@ def _extend(text: str, width: int, buckets: int):
 
 def _recur(table: pa.Table) -> pa.Table:
     """One bucket: for each chunk the windows that it holds twice or that another chunk holds too."""
+    tv.lean()  # of the bucket before
     each = [unpack_sorted(x.as_buffer(), np.uint64) for x in table.column("entries")]
     twice = [unpack_sorted(x.as_buffer(), np.uint64) for x in table.column("repeated")]
     values, count = np.unique(np.concatenate(each), return_counts=True)
@@ -220,6 +226,7 @@ def _texts(data: np.ndarray, length: np.ndarray, doc: np.ndarray, n: int, strip:
 
 def _finish(text: str, width: int, buckets: int):
     def run(key: tuple, docs: pa.Table, found: pa.Table) -> pa.Table:
+        tv.lean()  # of the chunk before
         if not len(docs):
             raise RuntimeError("a reply names a chunk that is not there: the documents changed between two reads")
         batch = blob_to_batch(docs.column("docs")[0].as_buffer())
@@ -256,14 +263,16 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = 35) ->
     n_removed` (words) and `repeat kept` (the kept words joined by one space).
     The text of a document that loses nothing is unchanged, a null text stays
     null with 0 words; texts of fewer than `width` words lose nothing; repeated
-    rows are repeats of each other. Other columns pass through whatever their
-    names. Empty input gives no rows. docs is read more than once and must give
+    rows are repeats of each other. Other columns pass through, but for those
+    that have the name of an added column, which takes their place. Empty input gives no rows. docs is read more than once and must give
     the same rows in the same partitions each time, as a table does.
     """
     ship(docs)
+    docs = docs.drop("repeat n_words", "repeat n_removed", "repeat kept")
     buckets = buckets_for(docs, BUCKET_BYTES)
     packed = docs.mapInArrow(chunk_packer(text_col, CHUNK_BYTES), "chunk long, mark long, docs binary")
-    probes = packed.mapInArrow(_probe(text_col, width, buckets), _ENTRY)
+    pack, probe = chunk_packer(text_col, CHUNK_BYTES), _probe(text_col, width, buckets)
+    probes = docs.mapInArrow(lambda batches: probe(pack(batches)), _ENTRY)  # one worker a task instead of two
     hits = probes.groupBy("bucket").applyInArrow(_match, _ENTRY)
     by_chunk = packed.groupBy("chunk")
     wide = by_chunk.cogroup(hits.groupBy("chunk")).applyInArrow(_extend(text_col, width, buckets), _ENTRY)
