@@ -1,6 +1,6 @@
 """Benchmark decontamination over a positional inverted index of the training text.
 
-`build_index` stores, for every chunk of documents (about 4 MB of text), the
+`build_index` stores, for every chunk of documents (about 2 MB of text), the
 sorted terms of the chunk and their postings (word positions), compressed, as a
 Parquet table in the shared folder. `find` answers phrase and proximity queries
 on it: it takes the global count of every query term from the stored lists, and
@@ -29,7 +29,7 @@ from . import textvec as tv
 from .common import ship, written
 from .packing_io import batch_to_blob, blob_to_batch, pack_sorted, squeeze, unpack_sorted, unsqueeze
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BLOCK_QUERIES = 50_000
 _INDEX = "chunk long, docs binary, terms binary, counts binary, positions binary"
 
