@@ -31,6 +31,8 @@ FRAME_BYTES = 8 << 10
 #: Payloads shorter than this are never revisits.
 LEAST_REVISIT = 100
 _EOL = "\r\n"
+#: Fixed value of the format: the profile of revisits with a payload digest.
+_SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 
@@ -78,7 +80,7 @@ def page_records(key: str, page_id, url, payload: bytes, digest: str, refers_to)
     if url is not None:
         about.append(("WARC-Target-URI", "".join(c for c in url if c >= " ")))
     if refers_to is not None:
-        yield _record([("WARC-Type", "revisit"), *named, *about, ("X-Refers-To-Page-ID", str(refers_to))], b"")
+        yield _record([("WARC-Type", "revisit"), *named, ("WARC-Profile", _SAME_PAYLOAD), *about, ("X-Refers-To-Page-ID", str(refers_to))], b"")
         return
     block = _HTTP + frame_chunked(payload)
     pieces = list(_cuts(block, SEGMENT_BYTES))
