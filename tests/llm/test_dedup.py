@@ -61,7 +61,7 @@ def test_least_overlap_is_a_safe_bound():
     assert 28 <= near_dup.least_overlap(10**6, 64, 85, 100) <= 36
 
 
-@pytest.mark.parametrize("width", [3, 35])
+@pytest.mark.parametrize("width", [3, 4, 35])
 def test_repeats(odd_docs, odd_rows, width):
     out = substring_dedup.remove_repeats(odd_docs, width=width)
     assert out.columns[: len(odd_docs.columns)] == odd_docs.columns
@@ -104,3 +104,34 @@ def test_empty_tables(spark, no_docs, odd_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
     assert decontaminate.contamination(no_docs, bench).count() == 0
     assert decontaminate.contamination(odd_docs, bench).where("contaminated or n_hit > 0").count() == 0
+
+
+def test_many_copies_around_the_threshold(spark):
+    """Groups whose members differ by a little more or less than the threshold, several groups over one common half."""
+    import random
+    r = random.Random(11)
+    half = [f"c{i}" for i in range(70)]
+    rows, n = [], 0
+    for g in range(4):
+        base = half + [f"g{g}w{i}" for i in range(50 if g % 2 else 20)]
+        for edits in (0, 1, 2, 2, 3, 3, 3, 4, 4, 5, 6) * 3:
+            words = list(base)
+            for i in r.sample(range(len(words)), edits):
+                words[i] = r.choice([f"e{n}", "same", f"e{g}"])
+            rows.append((n, " ".join(words)))
+            n += 1
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), width=3, num=85, den=100).drop("rk")
+    want = sorted(brute.near_dup(rows, 3, 85, 100))
+    assert 10 < len({w[2] for w in want}) < len(rows)
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_clashing_names_pass(spark):
+    rows = [(1, "a b c d e f g h", "x", 1.0), (2, "a b c d e f g h", "y", 2.0), (3, None, "z", 3.0), (2, "a b c d e f g h", "y", 2.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `near dup row key` string, row double")
+    kept = near_dup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `repeat kept` string, `repeat n_words` double")
+    out = substring_dedup.remove_repeats(docs, width=4)
+    assert out.columns == ["doc_id", "text", "repeat n_words", "repeat n_removed", "repeat kept"]
+    assert sorted((r.doc_id, r["repeat n_removed"]) for r in out.collect()) == [(1, 8), (2, 8), (2, 8), (3, 0)]

@@ -39,3 +39,24 @@ def test_nothing_to_learn(spark, no_docs):
     assert language_id.identify(no_docs).count() == 0
     docs = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in language_id.identify(docs).collect()] == [("und", 0.0)]
+
+
+def test_forward_backward_against_all_paths():
+    """Posteriors of short texts against the sum over every sequence of labels."""
+    from itertools import product
+
+    import numpy as np
+    r = np.random.default_rng(4)
+    lengths, k = [4, 1, 0, 6, 2], 3
+    text = np.concatenate(([0], np.cumsum(lengths)))
+    emission, move, first = r.normal(size=(text[-1], k)), r.normal(size=(k, k)), r.normal(size=k)
+    got = language_id.forward_backward(emission, text, move, first)
+    for a, e in zip(text[:-1], text[1:]):
+        want = np.zeros((e - a, k))
+        for path in product(range(k), repeat=int(e - a)):
+            weight = np.exp(sum(emission[a + i, y] for i, y in enumerate(path)) + sum(move[x, y] for x, y in zip(path, path[1:]))
+                            + (first[path[0]] if path else 0))
+            for i, y in enumerate(path):
+                want[i, y] += weight
+        if e > a:
+            assert np.allclose(got[a:e], want / want.sum(axis=1, keepdims=True))
