@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.llm.common import row_key, written
@@ -32,19 +32,25 @@ def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs, width=5, num=8, den=10)
 
 
+def _whole(docs: DataFrame) -> Column:
+    """A row of docs as one column, so that its columns cannot meet the names an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in passages of 35 words or more that occur elsewhere go; n_chars follows the text."""
-    cut = remove_repeats(docs, width=35).drop("repeat n_words", "repeat kept")
-    n_chars = F.when(F.col("repeat n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    cut = remove_repeats(docs.select(_whole(docs), "text"), width=35)
+    changed = F.col("repeat n_removed") > 0
+    new = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)}
+    return cut.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth or more is benchmark text go."""
-    keyed = docs.withColumn("decontaminate key", row_key("doc_id", "text"))
-    judged = contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="decontaminate key")
-    bad = judged.where("contaminated").select("decontaminate key").distinct()
-    return keyed.join(bad, "decontaminate key", "left_anti").select(*docs.columns)
+    keyed = docs.select(row_key("doc_id", "text").alias("key"), _whole(docs))
+    judged = contamination(docs.select(row_key("doc_id", "text").alias("key"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
+    bad = judged.where("contaminated").select("key").distinct()
+    return keyed.join(bad, "key", "left_anti").select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
