@@ -6,8 +6,9 @@ import math
 import os
 import tempfile
 import zipfile
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -25,6 +26,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 256):
+    """Rows that are long (two whole sets each) go to Python so many at a time; for jobs that run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, held)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Input size as the optimizer sees it (file sizes for a scan); no job runs."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

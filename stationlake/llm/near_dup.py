@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import row_key, ship, written
+from .common import row_key, ship, small_batches, written
 from .components import connected_components
 
 CHUNK_BYTES = 2 << 20
@@ -119,8 +119,8 @@ def _set_writer(width: int):
     return run
 
 
-def compare(a: np.ndarray, b: np.ndarray, k: int, num: int, den: int) -> tuple[bool, float]:
-    """(linked, Jaccard distance): linked by the estimate on the union's sketch and den * |a & b| >= num * |a | b|."""
+def similar(a: np.ndarray, b: np.ndarray, k: int, num: int, den: int) -> bool:
+    """Linked by the estimate on the union's sketch and by den * |a & b| >= num * |a | b|."""
     la, lb = a[:k], b[:k]
     both = np.concatenate((la, lb))
     both.sort()
@@ -131,28 +131,29 @@ def compare(a: np.ndarray, b: np.ndarray, k: int, num: int, den: int) -> tuple[b
         shared = int((both[1:][dup] <= distinct[k - 1]).sum())
     else:
         shared = int(dup.sum())
+    if shared < least_overlap(min(union, k), k, num, den):
+        return False
     common = len(np.intersect1d(a, b, assume_unique=True))
-    union_all = len(a) + len(b) - common
-    likely = shared >= least_overlap(min(union, k), k, num, den)
-    return likely and den * common >= num * union_all, 1 - common / union_all
+    return den * common >= num * (len(a) + len(b) - common)
 
 
 def _verifier(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [compare(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), k, num, den)
-                   for x, y in zip(batch.column("sa"), batch.column("sb"))]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("a"), batch.column("b"), pa.array([x for x, _ in got], pa.bool_()),
-                pa.array([y for _, y in got], pa.float64())], names=["a", "b", "linked", "distance"])
+            got = pa.array([similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), k, num, den)
+                            for x, y in zip(batch.column("sa"), batch.column("sb"))], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(got), batch.column("b").filter(got)], names=["a", "b"])
+        tv.lean()
     return run
 
 
 def _tested(pairs: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(a, b) of the pairs that are links, written."""
     both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("members").alias("sa")), "a")
             .join(sets.select(F.col("cid").alias("b"), F.col("members").alias("sb")), "b"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(
-        _verifier(k, num, den), "a long, b long, linked boolean, distance double")
+    linked = both.select("a", "b", "sa", "sb").mapInArrow(_verifier(k, num, den), "a long, b long").select("a", "b")
+    with small_batches(pairs.sparkSession):
+        return written(linked, "links")
 
 
 def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +204,7 @@ def _links(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> Dat
     grouped = written(lists.join(heads, "key").where("cid <> head").select("head", "head_n", "cid", "n").distinct(), "heads")
     first = grouped.where(_similar_size("n", "head_n", num, den)).select(
         F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
-    linked = written(_tested(first, sets, k, num, den), "tested").where("linked").select("a", "b")
+    linked = _tested(first, sets, k, num, den)
 
     members = grouped.select("head", "cid", "n").union(grouped.select("head", F.col("head").alias("cid"), F.col("head_n").alias("n")).distinct())
     members = written(_labelled(members, linked), "labels")
@@ -213,7 +214,8 @@ def _links(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> Dat
             .join(sets.select(F.col("cid").alias("head"), F.col("members").alias("sb")), "head"))
     apart = both.select("head", "cid", "n", "label", "sa", "sb").mapInArrow(
         _differ, "head long, cid long, n long, label long, d long, values array<long>")
-    values = written(apart.select("head", "cid", "n", "label", "d", F.explode("values").alias("v")), "values")
+    with small_batches(lists.sparkSession):
+        values = written(apart.select("head", "cid", "n", "label", "d", F.explode("values").alias("v")), "values")
     shared = values.groupBy("head", "v").agg(F.count("*").alias("f")).where("f > 1")
     own = Window.partitionBy("head", "cid")
     allowed = F.floor(F.col("n") * F.lit(den - num) / F.lit(num))
@@ -227,14 +229,13 @@ def _links(lists: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> Dat
     top = (placed.where("indexed").groupBy("head", "v").agg(F.min(F.struct("d", "cid", "n", "label", "rank")).alias("t"))
            .select("head", "v", F.col("t.cid").alias("p"), F.col("t.n").alias("pn"), F.col("t.d").alias("pd"), F.col("t.label").alias("pl"), F.col("t.rank").alias("pr")))
     second = _candidates(placed.join(top, ["head", "v"]).where("cid <> p"), num, den)
-    more = written(_tested(second, sets, k, num, den), "tested").where("linked").select("a", "b")
-    linked = written(linked.union(more), "links")
+    linked = linked.union(_tested(second, sets, k, num, den))
     placed = written(_labelled(placed.drop("label"), linked), "prefixes")
     one = placed.where("indexed").select("head", "v", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("d").alias("pd"),
                                          F.col("label").alias("pl"), F.col("rank").alias("pr"))
     several = placed.groupBy("head", "v").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("head", "v")
     third = _candidates(placed.join(several, ["head", "v"], "left_semi").join(one, ["head", "v"]).where("pd < d or (pd = d and p < cid)"), num, den)
-    return linked.union(written(_tested(third, sets, k, num, den), "tested").where("linked").select("a", "b"))
+    return linked.union(_tested(third, sets, k, num, den))
 
 
 def _candidates(pairs: DataFrame, num: int, den: int) -> DataFrame:
