@@ -53,6 +53,7 @@ SIBLINGS = {tag: (ends.split(), inside.split()) for tag, ends, inside in (
     ("li", "li", "ul ol menu dir"), ("dt", "dt dd", "dl"), ("dd", "dt dd", "dl"), ("tr", "tr td th", "table"), ("td", "td th", "tr table"),
     ("th", "td th", "tr table"), ("option", "option", "select"), ("tbody", "tbody thead tfoot tr td th", "table"),
     ("tfoot", "tbody thead tfoot tr td th", "table"))}
+IMPLIES = CLOSES_P | SIBLINGS.keys() | {"body"}
 NOT_MAIN = frozenset("""ad ads advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion nav navbar
     navigation menu menubar breadcrumb breadcrumbs sidebar aside widget cookie cookies consent gdpr notice popup modal overlay
     newsletter subscribe subscription comment comments disqus respond replies reply share sharing social related recommended
@@ -67,8 +68,10 @@ PARTS = frozenset("address center details dir div dl fieldset figure header hgro
 ADVERTS = frozenset("ad ads advert adverts advertisement advertising adbox sponsored".split())
 TEXT_NAMES = frozenset("alert notice".split())
 
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>\"']*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")  # takes nothing back
 _SPECIAL = re.compile(r"[>\"']")
 _BREAK = re.compile(r"[\s/>]")
+_AFTER_NAME = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace() or c == 0x2F)  # what _BREAK finds, without the end of the tag
 _LETTER = re.compile(r"[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
@@ -152,6 +155,11 @@ class _Tags:
                 end = page.find(">", at)
                 return at, end + 1 if end >= 0 else len(page), None, False, "", False
             begin = at + 2 if c == "/" else at + 1
+            if at < self.last[">"] and self._special(at) not in self.dead and (m := _TAG.match(page, at)):
+                end, raw = m.end(), m[3]
+                if not raw or raw[0] in _AFTER_NAME:
+                    own = raw.endswith("/")
+                    return at, end, m[2].lower(), bool(m[1]), raw[:-1] if own else raw, own
             if at < self.last[">"] and _LETTER.match(page, begin):
                 if self.broken < begin:
                     m = _BREAK.search(page, begin)
@@ -191,9 +199,9 @@ class _Open:
         return max((w[-1] for t in tags if (w := self.where.get(t))), default=0)
 
     def close(self, tag: str) -> None:
-        at = self.nearest((tag,))
-        if at and (tag in BLOCKS or at > self.nearest(("article", "main", "table"))):
-            self.cut(at)
+        places = self.where.get(tag)
+        if places and (tag in BLOCKS or places[-1] > self.nearest(("article", "main", "table"))):
+            self.cut(places[-1])
 
     def imply(self, tag: str) -> None:
         """Ends the elements that the start of `tag` ends by rule."""
@@ -227,8 +235,9 @@ def parse(page: str) -> Node:
         if ends:
             opened.close(tag)
             continue
-        opened.imply(tag)
-        node = Node(tag, *_attributes(raw))
+        if tag in IMPLIES:
+            opened.imply(tag)
+        node = Node(tag, *_attributes(raw)) if raw else Node(tag)
         opened.stack[-1].children.append(node)
         if tag in WHOLE:
             for outer in reversed(opened.stack):
