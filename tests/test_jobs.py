@@ -3,7 +3,6 @@ one year, compaction keeps the content."""
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from stationlake.operators import summaries as S
 from stationlake.operators import tables as TB
