@@ -20,6 +20,8 @@ from stationlake.llm.quality_rules import keep_good
 from stationlake.llm.substring_dedup import remove_repeats
 
 TOKENIZER = "word_bpe_49k.json"
+#: Keys (8 bytes each) of contaminated documents up to which they are broadcast.
+BROADCAST_KEYS = 1_000_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +51,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents of which a twentieth or more is benchmark text go."""
     keyed = docs.select(row_key("doc_id", "text").alias("key"), _whole(docs))
     judged = contamination(docs.select(row_key("doc_id", "text").alias("key"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
-    bad = judged.where("contaminated").select("key").distinct()
+    bad = written(judged.where("contaminated").select("key").distinct(), "contaminated")
+    if bad.count() <= BROADCAST_KEYS:  # else both sides are shuffled by key
+        bad = F.broadcast(bad)
     return keyed.join(bad, "key", "left_anti").select("row.*")
 
 
