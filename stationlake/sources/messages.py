@@ -1,4 +1,4 @@
-"""Message sources: one JSON document per file (SRC-4), queue events with
+"""Message sources: JSON documents in files (SRC-4), queue events with
 ``Records[].body`` (SRC-5), envelopes (SRC-6); validation to typed rows."""
 
 from __future__ import annotations
@@ -12,14 +12,20 @@ from stationlake.functions.messages import (BATCH_FAILED_STATUS, BATCH_OK_MESSAG
 from stationlake.functions.frames import freeze
 from stationlake.schemas import OBSERVATION_COLUMNS
 
+#: Begins each document of a JSON text sequence (RFC 7464); a JSON document never begins with it.
+RECORD_MARK = "\x1e"
 QUEUE_EVENT_SCHEMA = "eventId STRING, Records ARRAY<STRUCT<messageId: STRING, body: STRING>>"
 
 
 def read_message_files(spark: SparkSession, path: str) -> DataFrame:
-    """Each file holds one JSON document (it may span lines): a message, an
-    envelope or a queue event; queue events are split into their records. What
-    is neither event nor envelope is judged as a message (kind ``message``)."""
-    records = queue_records(spark.read.text(path, wholetext=True))
+    """Each file holds one JSON document (it may span lines), or many as a JSON
+    text sequence (each begins with RECORD_MARK): a message, an envelope or a
+    queue event; queue events are split into their records. What is neither
+    event nor envelope is judged as a message (kind ``message``)."""
+    whole = F.col("value")
+    several = F.slice(F.split(whole, RECORD_MARK, -1), 2, F.length(whole) + 1)  # before the first mark is nothing
+    documents = F.when(whole.startswith(RECORD_MARK), several).otherwise(F.array(whole))
+    records = queue_records(spark.read.text(path, wholetext=True).select(F.explode(documents).alias("value")))
     kind = F.when(F.col("event_kind") == "invalid", "message").otherwise(F.col("event_kind"))
     return records.withColumn("event_kind", kind)
 
