@@ -3,6 +3,7 @@
 import base64
 import json
 
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from stationlake.plans.registry import REGISTRY
@@ -32,3 +33,10 @@ def test_message_files_hold_many_documents(spark):
     documents = FX.messages(spark, SF_SMALL).count() // FX.QUEUE_BATCH_SIZE
     assert files.count() < documents / 4
     compare(REGISTRY["src_json_file"](spark, SF_SMALL), duck(SF_SMALL), E.oracle_sql()["src_json_file"])
+
+
+def test_described_tables_count_their_values(spark):
+    rows = REGISTRY["describe_table"](spark, SF_SMALL).collect()
+    obs = FX.obs_li(spark, SF_SMALL)
+    assert {r["column_name"]: r["non_null_count"] for r in rows} == {c: obs.filter(F.col(c).isNotNull()).count() for c in obs.columns}
+    compare(REGISTRY["describe_table"](spark, SF_SMALL), duck(SF_SMALL), E.oracle_sql()["describe_table"])
