@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.operators.tables import content_fingerprint
+from stationlake.session import scratch_path
 from stationlake.sinks.version_log import exists, remove, subfolders
 
 #: Partitions that are staged and replaced together (their folder names are on the driver).
@@ -49,7 +50,10 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, partition_colu
     numbers of partitions and files replaced.
     """
     finish_compaction(spark, path, schema, partition_columns)
-    plan = small_file_plan(spark, path, partition_columns, target_file_bytes)
+    chosen = scratch_path(spark, "compaction-plan")  # once: each reading of the listing touches every file
+    made = small_file_plan(spark, path, partition_columns, target_file_bytes)
+    made.write.parquet(chosen)
+    plan = spark.read.schema(made.schema).parquet(chosen)
     folders = [r["folder"] for r in plan.select("folder").distinct().orderBy("folder").collect()]  # names, one a partition
     done = {"path": path, "partitions": len(folders), "files_before": 0, "files_after": 0}
     for i in range(0, len(folders), GROUP_PARTITIONS):

@@ -6,13 +6,29 @@ import json
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from stationlake.operators import tables as TB
+from stationlake.plans import maintenance as MT
 from stationlake.plans.registry import REGISTRY
+from stationlake.session import scratch_path
+from stationlake.sinks import tables as SK
 from stationlake.sources import fixtures as FX
 from stationlake.sources import messages as M
 from tests.conftest import SF_SMALL
 from tests.oracle_util import compare, duck
 
 
+def lineitem(spark, tmp_path, n=6000):
+    """A folder with a lineitem table of n rows in two months, some of them twice and one order without a date."""
+    k = F.col("id")
+    li = spark.range(n).select(
+        F.floor(k / 7).alias("l_orderkey"), (k % 7 + 1).cast("int").alias("l_linenumber"), (k % 50).alias("l_suppkey"),
+        F.when(k != 11, F.make_timestamp_ntz(F.lit(1997) + (k % 2).cast("int"), F.lit(3), (k % 28 + 1).cast("int"), F.lit(0), F.lit(0), F.lit(0))).alias("l_shipdate"),
+        (k % 40).cast("double").alias("l_quantity"), (k * 1.25).cast("double").alias("l_extendedprice"),
+        F.when(k % 3 == 0, "N").otherwise("R").alias("l_returnflag"), F.lit("O").alias("l_linestatus"))
+    li.unionByName(li.limit(40)).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
 def test_a_file_holds_one_document_or_a_sequence(spark, tmp_path):
     good = {"station_id": "XK07", "date": "2021-11-23", "element": "TMIN", "value": -4.25}
     docs = [json.dumps(good), json.dumps(good, indent=2), "{bad", json.dumps([good]), '{"Records": []}',
@@ -40,3 +56,25 @@ def test_described_tables_count_their_values(spark):
     obs = FX.obs_li(spark, SF_SMALL)
     assert {r["column_name"]: r["non_null_count"] for r in rows} == {c: obs.filter(F.col(c).isNotNull()).count() for c in obs.columns}
     compare(REGISTRY["describe_table"](spark, SF_SMALL), duck(SF_SMALL), E.oracle_sql()["describe_table"])
+
+
+def test_small_files_do_not_multiply_with_the_rows(spark, tmp_path, monkeypatch):
+    sf = lineitem(spark, tmp_path)
+    assert FX.small_file_rows(spark, sf) == FX.SMALL_FILE_ROWS
+    monkeypatch.setattr(FX, "SMALL_FILES", 6)
+    path = FX.observations_table(spark, sf, max_records_per_file=FX.small_file_rows(spark, sf))
+    per_folder = [r["count"] for r in TB.table_files(spark, path, ["year", "month"]).groupBy("year", "month").count().collect()]
+    assert len(per_folder) == 3 and max(per_folder) > 2 and sum(per_folder) < 12  # 250 rows a file would be 25
+    counted = REGISTRY["table_files"](spark, sf).agg(F.sum("row_count")).first()[0]
+    assert counted == FX.obs_li(spark, sf).filter("year is not null").count()
+    assert REGISTRY["compact_files"](spark, sf).count() == 6040
+
+
+def test_compaction_lists_the_files_once(spark, monkeypatch):
+    path = scratch_path(spark, "observations")
+    SK.append_observations(FX.obs_li(spark, SF_SMALL), path, max_records_per_file=9)
+    seen = []
+    monkeypatch.setattr(MT, "_stage", lambda *a, _real=MT._stage: (seen.append(a[3].inputFiles()), _real(*a)))
+    done = MT.compact(spark, path, SK.OBSERVATIONS_SCHEMA, ["year", "month"])
+    assert done["files_before"] > done["files_after"] == done["partitions"]
+    assert seen and not any(f.startswith(f"file:{path}/") or f.startswith(f"{path}/") for files in seen for f in files)
