@@ -78,3 +78,16 @@ def test_compaction_lists_the_files_once(spark, monkeypatch):
     done = MT.compact(spark, path, SK.OBSERVATIONS_SCHEMA, ["year", "month"])
     assert done["files_before"] > done["files_after"] == done["partitions"]
     assert seen and not any(f.startswith(f"file:{path}/") or f.startswith(f"{path}/") for files in seen for f in files)
+
+
+def test_raw_files_grow_in_number_and_stay_in_order(spark, tmp_path, monkeypatch):
+    sf = lineitem(spark, tmp_path)
+    monkeypatch.setattr(FX, "FILE_LINES", 500)
+    path = FX.observation_files(spark, sf)
+    files = spark.read.text(path).inputFiles()
+    assert len(files) >= 13  # 6,040 lines; as many as cores before
+    li = FX.table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
+    want = [r["value"] for r in FX.observation_lines(li.filter("year = 1998").orderBy(*FX.LINE_ORDER)).collect()]
+    got = [r["value"] for f in sorted(f for f in files if "year=1998" in f) for r in spark.read.text(f).collect()]
+    assert got == want
+    assert spark.read.text(path).count() == 6040
