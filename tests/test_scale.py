@@ -91,3 +91,23 @@ def test_raw_files_grow_in_number_and_stay_in_order(spark, tmp_path, monkeypatch
     got = [r["value"] for f in sorted(f for f in files if "year=1998" in f) for r in spark.read.text(f).collect()]
     assert got == want
     assert spark.read.text(path).count() == 6040
+
+
+def test_a_commit_is_written_by_several_tasks_in_whole_files(spark, tmp_path):
+    path = str(tmp_path / "log")
+    sizes = {1: 10_530, 2: 2_300, 3: 99, 4: 100, 5: 1}
+    rows = None
+    for commit, n in sizes.items():
+        some = spark.range(n).select((F.col("id") % 500).alias("k"), F.lit(commit).cast("long").alias("commit_id"))
+        rows = some if rows is None else rows.unionByName(some)
+    dealt = FX.dealt_to_files(rows, "commit_id", 100, slots=8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt.write.option("maxRecordsPerFile", 100).partitionBy("commit_id").parquet(path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(path).groupBy("commit_id", F.col("_metadata.file_name").alias("f")).count().collect()
+    assert {c: sum(r["commit_id"] == c for r in files) for c in sizes} == {c: -(-n // 100) for c, n in sizes.items()}
+    assert len({r["f"].split("-")[1] for r in files if r["commit_id"] == 1}) > 1
+    same = lambda df: sorted(map(tuple, df.select("k", "commit_id").collect()))
+    assert same(spark.read.parquet(path)) == same(rows)
