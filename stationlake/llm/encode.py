@@ -6,13 +6,15 @@ and a following punctuation mark. Pre-tokenizers of the byte-level and word
 kinds match from left to right without looking back, and their tokens never
 span such a place, so the ids of a text are the ids of its segments, joined.
 Segments repeat a lot; their ids are kept in a table per worker, looked up by
-64-bit hash.
+64-bit hash. Frequent segments are found in a small direct-mapped copy of it,
+so that only the others of a chunk are sorted.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ from . import textvec as tv
 
 #: Bytes of segments and ids that a worker keeps; beyond that it starts anew (this bounds memory and never changes a result).
 KEPT_BYTES = 32 << 20
+#: Slots of the copy, by the highest bits of a hash (16 bytes each; the segment seen last has the slot).
+SLOT_BITS = 18
 
 _SPACE = tv.space_separators()
 _LETTER = np.zeros(256, dtype=bool)
@@ -75,6 +79,10 @@ class Encoder:
         self.length = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
         self.used = 0
+        self.slot_hash = np.zeros(1 << SLOT_BITS, dtype=np.uint64)
+        self.slot_hash[0] = ~np.uint64(0)  # the hash of another slot: an unused slot matches nothing
+        self.slot_first = np.zeros(1 << SLOT_BITS, dtype=np.int32)
+        self.slot_length = np.zeros(1 << SLOT_BITS, dtype=np.int32)
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -84,7 +92,7 @@ class Encoder:
             grown = np.zeros(max(2 * len(self.ids), self.used + total), dtype=np.uint32)
             grown[: self.used] = self.ids[: self.used]
             self.ids = grown
-        self.ids[self.used : self.used + total] = np.fromiter((i for f in found for i in f), np.uint32, total)
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
         at = np.searchsorted(self.hash, hashes)
         first = self.used + np.cumsum(length) - length
         self.hash = np.insert(self.hash, at, hashes)
@@ -97,9 +105,15 @@ class Encoder:
         data, offsets = tv.string_bytes(texts)
         start, text_first = segments(data, offsets)
         end = np.append(start[1:], len(data))
-        distinct, example, inverse = np.unique(tv.range_hash(data, start, end), return_index=True, return_inverse=True)
+        hashes = tv.range_hash(data, start, end)
+        slots = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        rest = np.flatnonzero(self.slot_hash[slots] != hashes)
+        distinct, example, inverse = np.unique(hashes[rest], return_index=True, return_inverse=True)
         if 24 * (len(self.hash) + len(distinct)) + 4 * self.used > KEPT_BYTES:
             self._reset()
+            rest = np.arange(len(hashes))
+            distinct, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        example = rest[example]
         at = np.searchsorted(self.hash, distinct)
         new = np.ones(len(distinct), dtype=bool)
         if len(self.hash):
@@ -110,8 +124,14 @@ class Encoder:
                 places = example[part]
                 self._learn(distinct[part], [raw[a:b].decode() for a, b in zip(start[places].tolist(), end[places].tolist())])
         at = np.searchsorted(self.hash, distinct)
-        length = self.length[at][inverse] if len(distinct) else np.zeros(0, np.int64)
-        ids = self.ids[tv.ragged(self.first[at][inverse], length)] if len(distinct) else np.zeros(0, np.uint32)
+        first, length = self.slot_first[slots].astype(np.int64), self.slot_length[slots].astype(np.int64)
+        if len(distinct):
+            first[rest], length[rest] = self.first[at][inverse], self.length[at][inverse]
+            slot = (distinct >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+            last = np.flatnonzero(np.concatenate((slot[1:] != slot[:-1], [True])))  # one a slot: they are sorted
+            slot, at = slot[last], at[last]
+            self.slot_hash[slot], self.slot_first[slot], self.slot_length[slot] = distinct[last], self.first[at], self.length[at]
+        ids = self.ids[tv.ragged(first, length)]
         return ids, np.concatenate(([0], np.cumsum(length)))[text_first]
 
 
