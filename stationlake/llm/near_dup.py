@@ -102,6 +102,7 @@ def _sketcher(width: int, k: int, id_type: pa.DataType):
                 pa.array([x for x, _ in keys], pa.int64()), pa.array([y for _, y in keys], pa.int64()),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed(flat))),
             ], names=["id", "rk", "n", "k1", "k2", "sketch"])
+        tv.lean(0)  # idle workers stay: what a task has freed is not left with them
     return run
 
 
@@ -116,6 +117,7 @@ def _set_writer(width: int):
                 b.column("cid").filter(pa.array(same, pa.bool_())),
                 pa.array([s.tobytes() for s, ok in zip(sets, same) if ok], pa.binary()),
             ], names=["cid", "members"])
+        tv.lean(0)
     return run
 
 
@@ -143,7 +145,7 @@ def _verifier(k: int, num: int, den: int):
             got = pa.array([similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), k, num, den)
                             for x, y in zip(batch.column("sa"), batch.column("sb"))], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(got), batch.column("b").filter(got)], names=["a", "b"])
-        tv.lean()
+        tv.lean(0)
     return run
 
 
@@ -170,6 +172,7 @@ def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in ("head", "cid", "n", "label")), pa.array([len(values)], pa.int64()),
                                               pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))],
                                              names=["head", "cid", "n", "label", "d", "values"])
+    tv.lean(0)
 
 
 def _similar_size(a: str, b: str, num: int, den: int) -> Column:
